@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tessera.llm import mixing
+from tessera.llm import mixing, quality
 
 QUERIES = {
     "op1_mixing": mixing.query,
+    "op2_quality": quality.query,
 }
 ORACLE_SQL: dict[str, str] = {}

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from tessera.llm import mixing, quality
+from tessera.llm import mixing, quality, urls
 
 QUERIES = {
     "op1_mixing": mixing.query,
     "op2_quality": quality.query,
+    "op7_urls": urls.query,
+}
+ORACLE_SQL: dict[str, str] = {
+    "op7_urls": urls.SQL,
 }
-ORACLE_SQL: dict[str, str] = {}

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tessera.llm import mixing, pii, quality, urls
+from tessera.llm import bpe, mixing, pii, quality, urls
 
 QUERIES = {
     "op1_mixing": mixing.query,
     "op2_quality": quality.query,
     "op3_pii": pii.query,
+    "op5_bpe": bpe.query,
     "op7_urls": urls.query,
 }
 ORACLE_SQL: dict[str, str] = {

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessera.llm import bpe, mixing, pii, quality, urls
+from tessera.llm import bpe, mixing, pii, quality, tokenfiles, urls
 
 QUERIES = {
     "op1_mixing": mixing.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_pii": pii.query,
     "op5_bpe": bpe.query,
     "op7_urls": urls.query,
+    "op9_tokenfiles": tokenfiles.query,
 }
 ORACLE_SQL: dict[str, str] = {
     "op7_urls": urls.SQL,

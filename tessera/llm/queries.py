@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessera.llm import bpe, mixing, pii, quality, tokenfiles, urls
+from tessera.llm import bpe, jaccard, mixing, pii, quality, tokenfiles, urls
 
 QUERIES = {
     "op1_mixing": mixing.query,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_bpe": bpe.query,
     "op7_urls": urls.query,
     "op9_tokenfiles": tokenfiles.query,
+    "op10_jaccard": jaccard.query,
 }
 ORACLE_SQL: dict[str, str] = {
     "op7_urls": urls.SQL,

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tessera.llm import bpe, jaccard, mixing, pii, quality, tokenfiles, urls
+from tessera.llm import bpe, html, jaccard, mixing, pii, quality, tokenfiles, urls
 
 QUERIES = {
     "op1_mixing": mixing.query,
     "op2_quality": quality.query,
     "op3_pii": pii.query,
     "op5_bpe": bpe.query,
+    "op6_html": html.query,
     "op7_urls": urls.query,
     "op9_tokenfiles": tokenfiles.query,
     "op10_jaccard": jaccard.query,

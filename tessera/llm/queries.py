@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tessera.llm import bpe, html, jaccard, mixing, pii, quality, tokenfiles, urls
+from tessera.llm import bpe, chat, html, jaccard, mixing, pii, quality, tokenfiles, urls
 
 QUERIES = {
     "op1_mixing": mixing.query,
     "op2_quality": quality.query,
     "op3_pii": pii.query,
+    "op4_chat": chat.query,
     "op5_bpe": bpe.query,
     "op6_html": html.query,
     "op7_urls": urls.query,
@@ -15,5 +16,6 @@ QUERIES = {
     "op10_jaccard": jaccard.query,
 }
 ORACLE_SQL: dict[str, str] = {
+    "op4_chat": chat.SQL,
     "op7_urls": urls.SQL,
 }

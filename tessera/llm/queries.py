@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessera.llm import bpe, chat, html, jaccard, mixing, pii, quality, tokenfiles, urls
+from tessera.llm import ann, bpe, chat, html, jaccard, mixing, pii, quality, tokenfiles, urls
 
 QUERIES = {
     "op1_mixing": mixing.query,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_bpe": bpe.query,
     "op6_html": html.query,
     "op7_urls": urls.query,
+    "op8_ann": ann.query,
     "op9_tokenfiles": tokenfiles.query,
     "op10_jaccard": jaccard.query,
 }

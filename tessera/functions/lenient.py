@@ -26,7 +26,7 @@ def count(value: Column, path: str) -> Column:
     kind = kind_of(got)
     as_text = F.trim(F.try_variant_get(value, path, "string"))
     number = F.when(kind == "STRING", F.when(as_text.rlike("^[0-9]{1,18}$"), as_text.cast("bigint"))).when(kind.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)"), F.try_variant_get(value, path, "double").cast("bigint"))
-    return F.greatest(number, F.lit(0).cast("bigint"))
+    return F.when(number.isNotNull(), F.greatest(number, F.lit(0).cast("bigint")))
 
 
 def truthy(value: Column) -> Column:

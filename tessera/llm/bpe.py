@@ -11,7 +11,7 @@ import hashlib
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tessera.llm.common import made, ship, table
+from tessera.llm.common import table
 from tessera.llm.wordtable import decode, encode
 
 
@@ -21,19 +21,21 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def digest(encoded: DataFrame, path: str) -> DataFrame:
-    """Tokens, hash of ids and hash of the decoded text for each row of (doc_id, ids)."""
-    ship(encoded.sparkSession)
-    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
+def digest(docs: DataFrame, path: str) -> DataFrame:
+    """Tokens, hash of ids and hash of the text decoded from them, for each document."""
 
-    def run(batches):
-        for b in batches:
-            ids = b.column("ids").to_pylist()
-            yield made({"doc_id": b.column("doc_id"), "n_tokens": [len(x) // 4 for x in ids], "ids_sha256": [hashlib.sha256(x).hexdigest() for x in ids], "decoded_sha256": [hashlib.sha256(decode(x, path)).hexdigest() for x in ids]}, schema)
+    def then(encoded: pa.Table) -> pa.Table:
+        ids = encoded.column("ids").to_pylist()
+        return pa.table({
+            "doc_id": encoded.column("doc_id"),
+            "n_tokens": pa.array([len(x) // 4 for x in ids], pa.int64()),
+            "ids_sha256": pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
+            "decoded_sha256": pa.array([hashlib.sha256(decode(x, path)).hexdigest() for x in ids], pa.string()),
+        })
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return encode(docs, path, then=(then, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"))
 
 
 def query(spark, sf_dir: str, path: str | None = None) -> DataFrame:
     path = path or vocabulary("byte_bpe_50k.json")
-    return digest(encode(table(spark, sf_dir, "documents"), path), path)
+    return digest(table(spark, sf_dir, "documents"), path)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
+import sys
 import tempfile
 import uuid
 import zipfile
@@ -69,7 +71,14 @@ def shared_dir(spark: SparkSession) -> str:
         at = f"file://{tempfile.mkdtemp()}"
     if not context.getCheckpointDir():
         context.setCheckpointDir(at)
-    return at
+    return at if "://" in at else f"file://{at.removeprefix('file:')}"
+
+
+def store(uri: str):
+    """The file system of a path in the shared folder, and the path in it."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(uri)
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -93,5 +102,14 @@ def small_batches(batches, rows: int = 512, size: int = 16 << 20):
             yield batch.slice(i, step)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker outlives its tasks, next to the executor's heap."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        libc = ctypes.CDLL(None)
+        if hasattr(libc, "malloc_trim"):
+            libc.malloc_trim(0)
+
+
 def made(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)

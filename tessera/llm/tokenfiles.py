@@ -14,7 +14,7 @@ sorts it. A file's name carries the task attempt, and only files in the table th
 attempt that was lost leaves nothing in the result.
 
 Defined results: null and empty text give the end id alone; null doc_id comes before all others; rows with equal
-doc_id stay apart, ordered by their ids; an empty table gives no files and no rows.
+doc_id stay apart, in an order that their ids fix; an empty table gives no files and no rows.
 """
 
 from __future__ import annotations
@@ -29,8 +29,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.bpe import vocabulary
-from tessera.llm.common import cut, made, pick, shared_dir, ship, table
-from tessera.llm.wordtable import WORD_BREAK, encode
+from tessera.llm.common import cut, made, pick, shared_dir, ship, store, table
+from tessera.llm.wordtable import WORD_END, encode
 
 MAGIC, BLOCK, PERCENTILE, END_ID = b"PFR1", 4096, 95, 2
 MAX_SLOTS = 5000
@@ -128,12 +128,6 @@ class Reader:
             start += n
 
 
-def _store(uri: str):
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(uri)
-
-
 def write_tokens(encoded: DataFrame, ids_of: DataFrame, end_id: int | None = END_ID, slots: int | None = None) -> DataFrame:
     """Write (doc_id, ids) in order of doc_id; the table of files: slot, path, documents, ids, and ids before it.
 
@@ -142,7 +136,6 @@ def write_tokens(encoded: DataFrame, ids_of: DataFrame, end_id: int | None = END
     spark = encoded.sparkSession
     ship(spark)
     root = f"{shared_dir(spark)}/tokens-{uuid.uuid4().hex}"
-    root = root if "://" in root else f"file://{root}"
     slots = slots or min(MAX_SLOTS, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     bounds = pick(ids_of, {"doc_id": "bigint"}).select(F.percentile_approx("doc_id", [i / slots for i in range(1, slots)], 20 * slots)).first()[0] if slots > 1 else []
     bounds = sorted(set(bounds or []))
@@ -156,8 +149,8 @@ def write_tokens(encoded: DataFrame, ids_of: DataFrame, end_id: int | None = END
         from pyspark import TaskContext
 
         attempt = TaskContext.get().taskAttemptId()
-        store, base = _store(root)
-        store.create_dir(base, recursive=True)
+        files, base = store(root)
+        files.create_dir(base, recursive=True)
         at, writer, path, n = None, None, "", 0
 
         def done():
@@ -171,7 +164,7 @@ def write_tokens(encoded: DataFrame, ids_of: DataFrame, end_id: int | None = END
                         yield done()
                     at, n = s, 0
                     path = f"{root}/slot-{s:06d}-{attempt}.pfr"
-                    writer = Writer(store.open_output_stream(f"{base}/slot-{s:06d}-{attempt}.pfr"))
+                    writer = Writer(files.open_output_stream(f"{base}/slot-{s:06d}-{attempt}.pfr"))
                 own = np.frombuffer(ids.as_py() or b"", "<u4")
                 own = own if end_id is None else np.append(own, np.uint32(end_id))
                 writer.add(doc_id, own)
@@ -180,9 +173,9 @@ def write_tokens(encoded: DataFrame, ids_of: DataFrame, end_id: int | None = END
             yield done()
 
     dealt = encoded.select("doc_id", "ids", slot.cast("int").alias("slot")).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "slot")
-    files = cut(dealt.sortWithinPartitions("slot", "doc_id", "ids").mapInArrow(run, "slot int, path string, documents bigint, ids bigint"))
+    written = cut(dealt.sortWithinPartitions("slot", "doc_id", "ids").mapInArrow(run, "slot int, path string, documents bigint, ids bigint"))
     before = Window.orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)  # over files, at most MAX_SLOTS + 1
-    return files.withColumn("start", F.coalesce(F.sum("ids").over(before), F.lit(0)))
+    return written.withColumn("start", F.coalesce(F.sum("ids").over(before), F.lit(0)))
 
 
 def read_tokens(files: DataFrame) -> DataFrame:
@@ -193,8 +186,8 @@ def read_tokens(files: DataFrame) -> DataFrame:
     def run(batches):
         for b in batches:
             for path, start in zip(b.column("path").to_pylist(), b.column("start").to_pylist(), strict=True):
-                store, base = _store(path)
-                with store.open_input_stream(base) as f:
+                files, base = store(path)
+                with files.open_input_stream(base) as f:
                     reader = Reader(f.read())
                 out = [(d, start + at, len(ids), zlib.crc32(np.ascontiguousarray(ids, "<u4").tobytes())) for d, at, ids in reader.documents()]
                 yield made(dict(zip(schema.names, zip(*out, strict=True), strict=True)), schema)
@@ -205,5 +198,5 @@ def read_tokens(files: DataFrame) -> DataFrame:
 
 def query(spark, sf_dir: str, path: str | None = None) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    encoded = encode(docs, path or vocabulary("word_bpe_49k.json"), WORD_BREAK)
+    encoded = encode(docs, path or vocabulary("word_bpe_49k.json"), WORD_END)
     return read_tokens(write_tokens(encoded, docs))

@@ -1,16 +1,20 @@
 """BPE encoding through a table of distinct words, and decoding through a table of pieces.
 
-Spark splits each text at places where no token of the vocabulary can reach across. Documents are then read in
-chunks of bounded size. A chunk keeps each document as numbers of its words, most frequent first, and deals its
-distinct words out by hash into buckets; a row holds one chunk's words of one bucket, packed. A bucket's task puts
-the words of all chunks together, encodes each distinct one once with the tokenizers library, and answers each
-chunk; the answers meet the chunk's documents again by position. So what is shuffled is distinct words by chunk,
-not occurrences, a frequent word counts once a chunk, and nothing is broadcast but the vocabulary's pieces.
+Tasks split each text at places where no token of the vocabulary can reach across, and read documents in chunks of
+bounded size. A chunk keeps each document as numbers of its words, most frequent first, in a file of the shared
+folder (one a task), and deals its distinct words out by hash into buckets; a row holds one chunk's words of one
+bucket, packed. A bucket's task puts the words of all chunks together, encodes each distinct one once with the
+tokenizers library, and answers each chunk; the answers meet the chunk's documents again by position. So what is
+shuffled is distinct words by chunk, not occurrences or texts, a frequent word counts once a chunk, and nothing is
+broadcast but the vocabulary's pieces. File names carry the task attempt, and only those in the written table of
+words count, so a lost attempt leaves nothing in the result.
 """
 
 from __future__ import annotations
 
 import os
+import re
+import uuid
 import zlib
 from functools import cache
 
@@ -18,19 +22,50 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tessera.llm.common import keep, pick, ship
+from tessera.llm.common import give_back, keep, pick, shared_dir, ship, small_batches, store
 
 #: Bytes of text after which a chunk ends; a longer document is a chunk of its own.
 CHUNK_BYTES = 16 << 20
 ENCODE_AT_ONCE = 8192
 
-_SOLID = r"[^\s\x1c-\x1f\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200f}\x{2028}\x{2029}\x{202f}\x{205f}\x{2060}\x{3000}\x{feff}]"
-#: Where byte-level BPE always breaks: before a single space or line end between solid characters, and after the latter.
-BYTE_LEVEL_BREAK = rf"(?<={_SOLID})(?=[ \n]{_SOLID})|(?<={_SOLID}\n)(?={_SOLID})"
-#: Where BPE with word ends always breaks: at white space, which it drops.
-WORD_BREAK = r"[\x20\x09-\x0D]+"
+#: How texts may be split. Byte-level BPE always breaks before a single space or line end between solid characters,
+#: and after such a line end; BPE with word ends always breaks before white space, which it drops.
+BYTE_LEVEL, WORD_END = "byte level", "word end"
+_SOLID = r"[^\s\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f\u2060\u3000\ufeff]"
+_BREAK = re.compile(rf"(?<={_SOLID})(?=[ \n]{_SOLID})|(?<={_SOLID}\n)(?={_SOLID})")
+
+
+def word_starts(data: np.ndarray, offsets: np.ndarray, how: str) -> np.ndarray:
+    """Where words begin in UTF-8 texts that lie end to end; a text's first byte is always one."""
+    if how == WORD_END:
+        space = (data == 32) | ((data >= 9) & (data <= 13))
+        starts = space.copy()
+        starts[1:] &= ~space[:-1]
+    else:
+        line = data == 10
+        gap = line | (data == 32)
+        starts = gap.copy()
+        starts[1:] |= line[:-1]
+        # Texts in which white space is anything but single spaces and line ends inside are split by the pattern.
+        odd = ((data >= 9) & (data <= 13) & ~line) | ((data >= 28) & (data <= 31))
+        odd[1:] |= gap[1:] & gap[:-1]
+        a, b, c = data[:-2], data[1:-1], data[2:]
+        if (data >= 0xC2).any():
+            two = (data[:-1] == 0xC2) & ((data[1:] == 0x85) | (data[1:] == 0xA0))
+            odd[:-1] |= two
+            three = ((a == 0xE1) & ((b == 0x9A) | (b == 0xA0))) | ((a == 0xE2) & (((b == 0x80) & ((c <= 0x8F) | (c >= 0xA8))) | (b == 0x81))) | ((a == 0xE3) & (b == 0x80) & (c == 0x80)) | ((a == 0xEF) & (b == 0xBB))
+            odd[:-2] |= three
+        full = np.flatnonzero(offsets[1:] > offsets[:-1])
+        ends = gap[offsets[full]] | gap[offsets[full + 1] - 1]
+        strange = set(full[ends].tolist()) | set((np.searchsorted(offsets, np.flatnonzero(odd), side="right") - 1).tolist())
+        for i in sorted(strange):
+            low, high = int(offsets[i]), int(offsets[i + 1])
+            starts[low:high] = False
+            sizes = [len(x.encode()) for x in _BREAK.split(data[low:high].tobytes().decode())]
+            starts[low + np.cumsum([0, *sizes[:-1]])] = True
+    starts[offsets[:-1][offsets[1:] > offsets[:-1]]] = True
+    return np.flatnonzero(starts)
 
 
 @cache
@@ -70,7 +105,7 @@ def unpack(raw: bytes) -> np.ndarray:
 
 
 def pack_words(words: pa.Array) -> bytes:
-    words = pa.concat_arrays([words.cast(pa.large_binary())])  # its buffers begin with its first word
+    words = words.cast(pa.large_binary())
     sizes = pack(pc.binary_length(words).to_numpy(zero_copy_only=False))
     offsets = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
     blob = words.buffers()[2].to_pybytes()[offsets[0] : offsets[-1]] if len(words) and words.buffers()[2] else b""
@@ -93,42 +128,57 @@ def gather(starts: np.ndarray, counts: np.ndarray, flat: np.ndarray) -> np.ndarr
     return flat[np.repeat(starts - (ends - counts), counts) + np.arange(total)] if total else flat[:0]
 
 
-_CHUNKS = pa.schema([("chunk", pa.string()), ("bucket", pa.int32()), ("words", pa.binary()), ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.binary()), ("numbers", pa.binary()), ("buckets", pa.binary())])
+_WORDS = pa.schema([("chunk", pa.string()), ("bucket", pa.int32()), ("words", pa.binary()), ("path", pa.string()), ("place", pa.int64()), ("size", pa.int64())])
 
 
-def _chunk_rows(name: str, batches: list, buckets: int):
-    """One chunk's rows: its documents (bucket -1), then its distinct words by bucket."""
+def _split(batches: list, how: str) -> tuple[pa.ChunkedArray, np.ndarray, pa.DictionaryArray]:
+    """One chunk's doc_ids, its texts' numbers of words, and all its words."""
     texts = pa.Table.from_batches(batches).combine_chunks()
-    lists = texts.column("words").chunk(0) if texts.column("words").num_chunks else texts.column("words").combine_chunks()
-    coded = lists.flatten().dictionary_encode()
-    counts = np.bincount(coded.indices.to_numpy(zero_copy_only=False), minlength=len(coded.dictionary))
-    order = np.argsort(-counts, kind="stable")
+    column = pc.fill_null(texts.column("text"), "").cast(pa.large_binary())
+    text = pa.concat_arrays([c for c in column.chunks if len(c)] or [pa.array([], pa.large_binary())])
+    offsets = np.frombuffer(text.buffers()[1], np.int64)[text.offset : text.offset + len(text) + 1] if len(text) else np.zeros(1, np.int64)
+    data = np.frombuffer(text.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    offsets = offsets - offsets[0]
+    starts = word_starts(data, offsets, how)
+    words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(np.append(starts, len(data))), pa.py_buffer(data)])
+    return texts.column("doc_id"), np.diff(np.searchsorted(starts, offsets)), words.dictionary_encode()
+
+
+def _chunk(batches: list, buckets: int, how: str) -> tuple[bytes, list[tuple[int, bytes]]]:
+    """One chunk: its documents, packed, and its distinct words by bucket."""
+    ids, sizes, coded = _split(batches, how)
+    ids = ids.to_pylist()
+    numbers, words = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
+    order = np.argsort(-np.bincount(numbers, minlength=len(words)), kind="stable")
     rank = np.empty(len(order), np.uint32)
     rank[order] = np.arange(len(order), dtype=np.uint32)
-    words = coded.dictionary.cast(pa.binary()).take(pa.array(order))
+    words = words.take(pa.array(order))
     bucket = np.fromiter((zlib.crc32(w) % buckets for w in words.to_pylist()), np.int64, len(words))
-    sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
-    yield name, -1, None, texts.column("doc_id").to_pylist(), pack(sizes), pack(rank[coded.indices.to_numpy(zero_copy_only=False)]), pack(bucket)
+    parts = [np.array([i or 0 for i in ids], "<i8").tobytes(), np.array([i is None for i in ids], np.uint8).tobytes(), pack(sizes), pack(rank[numbers]), pack(bucket)]
+    packed = np.array([len(p) for p in parts], "<u8").tobytes() + b"".join(parts)
     by = np.argsort(bucket, kind="stable")
     ends = np.searchsorted(bucket[by], np.arange(buckets + 1))
     words = words.take(pa.array(by))
-    for b in range(buckets):
-        if ends[b + 1] > ends[b]:
-            yield name, b, pack_words(words.slice(ends[b], ends[b + 1] - ends[b])), None, None, None, None
+    rows = [(b, pack_words(words.slice(ends[b], ends[b + 1] - ends[b]))) for b in range(buckets) if ends[b + 1] > ends[b]]
+    return packed, rows or [(0, pack_words(words))]
 
 
-def _encode_bucket(path: str, rows: pa.Table) -> pa.Table:
-    """All chunks' words of one bucket: each distinct word encoded once, and every chunk answered."""
-    each = [unpack_words(x.as_py()) for x in rows.column("words")]
-    coded = pa.concat_arrays(each).dictionary_encode()
-    distinct, model = coded.dictionary, tokenizer(path)
-    counts, flat = np.zeros(len(distinct), np.int64), []
+def _encode_words(distinct: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """Each word's number of ids, and all ids end to end."""
+    model, counts, flat = tokenizer(path), np.zeros(len(distinct), np.int64), []
     for i in range(0, len(distinct), ENCODE_AT_ONCE):
         some = [w.decode("utf-8", "replace") for w in distinct.slice(i, ENCODE_AT_ONCE).to_pylist()]
         found = [e.ids for e in model.encode_batch(some, add_special_tokens=False)]
         counts[i : i + len(found)] = [len(x) for x in found]
         flat.append(np.fromiter((t for x in found for t in x), np.uint32))
-    flat = np.concatenate(flat) if flat else np.zeros(0, np.uint32)
+    return counts, np.concatenate(flat) if flat else np.zeros(0, np.uint32)
+
+
+def _encode_bucket(path: str, rows: pa.Table) -> pa.Table:
+    """All chunks' words of one bucket: each distinct word encoded once, and every chunk answered."""
+    each = [unpack_words(x.as_py()) for x in rows.column("words")]
+    coded = pa.concat_arrays(each).dictionary_encode()
+    counts, flat = _encode_words(coded.dictionary, path)
     starts, at, lengths, ids = np.cumsum(counts) - counts, 0, [], []
     numbers = coded.indices.to_numpy(zero_copy_only=False)
     for words in each:
@@ -136,65 +186,92 @@ def _encode_bucket(path: str, rows: pa.Table) -> pa.Table:
         at += len(words)
         lengths.append(pack(counts[own]))
         ids.append(pack(gather(starts[own], counts[own], flat)))
-    return pa.table({"chunk": rows.column("chunk"), "bucket": rows.column("bucket"), "lengths": pa.array(lengths, pa.binary()), "ids": pa.array(ids, pa.binary())})
-
-
-def _assemble(docs: pa.Table, answers: pa.Table) -> pa.Table:
-    """One chunk's documents as ids."""
-    out_ids, out = [], []
-    for row in docs.to_pylist():
-        bucket = unpack(row["buckets"])
-        by = np.argsort(bucket, kind="stable")
-        answers = answers.sort_by("bucket")
-        lengths = [unpack(x.as_py()) for x in answers.column("lengths")]
-        flat = np.concatenate([unpack(x.as_py()) for x in answers.column("ids")] or [np.zeros(0, np.uint32)])
-        counts, starts = np.zeros(len(bucket), np.int64), np.zeros(len(bucket), np.int64)
-        counts[by] = np.concatenate(lengths or [np.zeros(0, np.uint32)])
-        starts[by] = np.cumsum(counts[by]) - counts[by]
-        numbers, at = unpack(row["numbers"]), 0
-        for doc_id, size in zip(row["doc_ids"], unpack(row["sizes"]).tolist(), strict=True):
-            own = numbers[at : at + size]
-            at += size
-            out_ids.append(doc_id)
-            out.append(np.ascontiguousarray(gather(starts[own], counts[own], flat), "<u4").tobytes())
-    return pa.table({"doc_id": pa.array(out_ids, pa.int64()), "ids": pa.array(out, pa.binary())})
-
-
-def encode(docs: DataFrame, path: str, at: str = BYTE_LEVEL_BREAK, chunk_bytes: int = CHUNK_BYTES, buckets: int | None = None) -> DataFrame:
+    kept = {c: rows.column(c) for c in ("chunk", "bucket", "path", "place", "size")}
+    return pa.table(kept | {"lengths": pa.array(lengths, pa.binary()), "ids": pa.array(ids, pa.binary())}).select(["chunk", "bucket", "lengths", "ids", "path", "place", "size"])
+
+
+def _assemble(answers: pa.Table) -> pa.Table:
+    """One chunk's documents as ids, from its answers and its packed documents."""
+    first = answers.slice(0, 1).to_pylist()[0]
+    answers = answers.sort_by("bucket")
+    files, base = store(first["path"])
+    with files.open_input_file(base) as f:
+        f.seek(first["place"])
+        raw = f.read(first["size"])
+    ends = np.cumsum(np.append(np.uint64(40), np.frombuffer(raw, "<u8", 5))).astype(int)
+    doc_ids, nulls, sizes, numbers, bucket = (raw[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True))
+    sizes, numbers, bucket = unpack(sizes), unpack(numbers), unpack(bucket)
+    by = np.argsort(bucket, kind="stable")
+    flat = np.concatenate([unpack(x) for x in answers.column("ids").to_pylist()])
+    counts, starts = np.zeros(len(bucket), np.int64), np.zeros(len(bucket), np.int64)
+    counts[by] = np.concatenate([unpack(x) for x in answers.column("lengths").to_pylist()])
+    starts[by] = np.cumsum(counts[by]) - counts[by]
+    at, out = 0, []
+    for size in sizes.tolist():
+        own = numbers[at : at + size]
+        at += size
+        out.append(np.ascontiguousarray(gather(starts[own], counts[own], flat), "<u4").tobytes())
+    return pa.table({"doc_id": pa.array(np.frombuffer(doc_ids, "<i8"), pa.int64(), mask=np.frombuffer(nulls, np.uint8).astype(bool)), "ids": pa.array(out, pa.binary())})
+
+
+def encode(docs: DataFrame, path: str, how: str = BYTE_LEVEL, chunk_bytes: int = CHUNK_BYTES, buckets: int | None = None, then=None) -> DataFrame:
     """(doc_id, ids), a row for each row of docs; ids is binary, little-endian unsigned 32-bit integers.
 
+    then, if given, is (function of such a table, schema of what it returns), and runs where the ids are made.
     Null and empty text give no ids; rows with equal or null doc_id stay apart.
     """
     spark = docs.sparkSession
     ship(spark)
     buckets = buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    split = pick(docs, {"doc_id": "bigint", "text": "string"}).select("doc_id", F.split(F.coalesce("text", F.lit("")), at).alias("words"))
+    root = f"{shared_dir(spark)}/encoding-{uuid.uuid4().hex}"
 
     def run(batches):
         from pyspark import TaskContext
 
-        part, n, held, size = TaskContext.get().partitionId(), 0, [], 0
+        task, n, at, held, size = TaskContext.get(), 0, 0, [], 0
+        name = f"{root}/{task.partitionId()}-{task.taskAttemptId()}.docs"
+        files, base = store(name)
+        files.create_dir(os.path.dirname(base), recursive=True)
+        out = None
 
         def rows():
-            for row in _chunk_rows(f"{part}-{n}", held, buckets):
-                yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, _CHUNKS, strict=True)], schema=_CHUNKS)
-
-        for batch in batches:
-            step = max(1, min(batch.num_rows, batch.num_rows * chunk_bytes // max(1, batch.nbytes)))
-            for i in range(0, batch.num_rows, step):
-                held.append(batch.slice(i, step))
-                size += held[-1].nbytes
-                if size >= chunk_bytes:
-                    yield from rows()
-                    n, held, size = n + 1, [], 0
+            packed, words = _chunk(held, buckets, how)
+            out.write(packed)
+            for b, raw in words:
+                yield pa.RecordBatch.from_pylist([{"chunk": f"{task.partitionId()}-{n}", "bucket": b, "words": raw, "path": name, "place": at, "size": len(packed)}], schema=_WORDS)
+
+        for batch in small_batches(batches, 4096, chunk_bytes // 4):
+            out = out or files.open_output_stream(base)
+            held.append(batch)
+            size += batch.nbytes
+            if size >= chunk_bytes:
+                for row in rows():
+                    yield row
+                n, at, held, size = n + 1, at + row.column("size")[0].as_py(), [], 0
+                give_back()
         if held:
             yield from rows()
-
-    chunks = keep(split.mapInArrow(run, "chunk string, bucket int, words binary, doc_ids array<bigint>, sizes binary, numbers binary, buckets binary"), "chunks")
-    words = chunks.where("bucket >= 0").select("chunk", "bucket", "words")
-    answers = words.groupBy("bucket").applyInArrow(lambda rows: _encode_bucket(path, rows), "chunk string, bucket int, lengths binary, ids binary")
-    whole = chunks.where("bucket = -1").select("chunk", "doc_ids", "sizes", "numbers", "buckets")
-    return whole.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_assemble, "doc_id bigint, ids binary")
+            held.clear()
+            give_back()
+        if out:
+            out.close()
+
+    some = pick(docs, {"doc_id": "bigint", "text": "string"})
+    words = keep(some.mapInArrow(run, "chunk string, bucket int, words binary, path string, place bigint, size bigint"), "words")
+    finish, schema = then or (lambda out: out, "doc_id bigint, ids binary")
+
+    def answer(rows: pa.Table) -> pa.Table:
+        out = _encode_bucket(path, rows)
+        give_back()
+        return out
+
+    def assemble(rows: pa.Table) -> pa.Table:
+        out = finish(_assemble(rows))
+        give_back()
+        return out
+
+    answers = words.groupBy("bucket").applyInArrow(answer, "chunk string, bucket int, lengths binary, ids binary, path string, place bigint, size bigint")
+    return answers.groupBy("chunk").applyInArrow(assemble, schema)
 
 
 def decode(ids: bytes, path: str) -> bytes:

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.bpe import vocabulary
 from tessera.llm.common import cut, made, pick, shared_dir, ship, store, table
-from tessera.llm.wordtable import WORD_END, encode
+from tessera.llm.wordtable import WORD_END, encode_within_chunks, unpack
 
 MAGIC, BLOCK, PERCENTILE, END_ID = b"PFR1", 4096, 95, 2
 MAX_SLOTS = 5000
@@ -129,7 +129,7 @@ class Reader:
 
 
 def write_tokens(encoded: DataFrame, ids_of: DataFrame, end_id: int | None = END_ID, slots: int | None = None) -> DataFrame:
-    """Write (doc_id, ids) in order of doc_id; the table of files: slot, path, documents, ids, and ids before it.
+    """Write (doc_id, packed) in order of doc_id; the table of files: slot, path, documents, ids, and ids before it.
 
     ids_of has the doc_id column of the same rows; slot bounds are quantiles of it.
     """
@@ -158,22 +158,22 @@ def write_tokens(encoded: DataFrame, ids_of: DataFrame, end_id: int | None = END
             return made({"slot": [at], "path": [path], "documents": [len(writer.docs)], "ids": [n]}, schema)
 
         for b in batches:
-            for s, doc_id, ids in zip(b.column("slot").to_pylist(), b.column("doc_id").to_pylist(), b.column("ids"), strict=True):
+            for s, doc_id, ids in zip(b.column("slot").to_pylist(), b.column("doc_id").to_pylist(), b.column("packed"), strict=True):
                 if s != at:
                     if writer:
                         yield done()
                     at, n = s, 0
                     path = f"{root}/slot-{s:06d}-{attempt}.pfr"
                     writer = Writer(files.open_output_stream(f"{base}/slot-{s:06d}-{attempt}.pfr"))
-                own = np.frombuffer(ids.as_py() or b"", "<u4")
+                own = unpack(ids.as_py())
                 own = own if end_id is None else np.append(own, np.uint32(end_id))
                 writer.add(doc_id, own)
                 n += len(own)
         if writer:
             yield done()
 
-    dealt = encoded.select("doc_id", "ids", slot.cast("int").alias("slot")).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "slot")
-    written = cut(dealt.sortWithinPartitions("slot", "doc_id", "ids").mapInArrow(run, "slot int, path string, documents bigint, ids bigint"))
+    dealt = encoded.select("doc_id", "packed", slot.cast("int").alias("slot")).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "slot")
+    written = cut(dealt.sortWithinPartitions("slot", "doc_id", "packed").mapInArrow(run, "slot int, path string, documents bigint, ids bigint"))
     before = Window.orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)  # over files, at most MAX_SLOTS + 1
     return written.withColumn("start", F.coalesce(F.sum("ids").over(before), F.lit(0)))
 
@@ -198,5 +198,5 @@ def read_tokens(files: DataFrame) -> DataFrame:
 
 def query(spark, sf_dir: str, path: str | None = None) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    encoded = encode(docs, path or vocabulary("word_bpe_49k.json"), WORD_END)
+    encoded = encode_within_chunks(docs, path or vocabulary("word_bpe_49k.json"), WORD_END)
     return read_tokens(write_tokens(encoded, docs))

@@ -274,6 +274,41 @@ def encode(docs: DataFrame, path: str, how: str = BYTE_LEVEL, chunk_bytes: int =
     return answers.groupBy("chunk").applyInArrow(assemble, schema)
 
 
+def encode_within_chunks(docs: DataFrame, path: str, how: str = BYTE_LEVEL, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """(doc_id, packed), without a shuffle: each chunk encodes its own distinct words once, and `unpack` gives ids.
+
+    A word is encoded again in each chunk that has it, so this takes more CPU than `encode`, and no disk.
+    """
+    ship(docs.sparkSession)
+    schema = pa.schema([("doc_id", pa.int64()), ("packed", pa.binary())])
+
+    def chunk(held: list) -> pa.RecordBatch:
+        ids, sizes, coded = _split(held, how)
+        counts, flat = _encode_words(coded.dictionary, path)
+        starts, numbers, at, out = np.cumsum(counts) - counts, coded.indices.to_numpy(zero_copy_only=False), 0, []
+        for size in sizes.tolist():
+            own = numbers[at : at + size]
+            at += size
+            out.append(pack(gather(starts[own], counts[own], flat)))
+        return pa.RecordBatch.from_arrays([ids.combine_chunks(), pa.array(out, pa.binary())], schema=schema)
+
+    def run(batches):
+        held, size = [], 0
+        for batch in small_batches(batches, 4096, chunk_bytes // 4):
+            held.append(batch)
+            size += batch.nbytes
+            if size >= chunk_bytes:
+                yield chunk(held)
+                held, size = [], 0
+                give_back()
+        if held:
+            yield chunk(held)
+            held.clear()
+            give_back()
+
+    return pick(docs, {"doc_id": "bigint", "text": "string"}).mapInArrow(run, "doc_id bigint, packed binary")
+
+
 def decode(ids: bytes, path: str) -> bytes:
     """The text of ids, in UTF-8; each id is looked up in the table of pieces."""
     table = pieces(path)

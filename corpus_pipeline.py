@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from tessera.llm import bpe, jaccard, mixing, pii, quality
 from tessera.llm.common import DOCUMENT, keep, table
-from tessera.llm.wordtable import encode
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +37,7 @@ def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document's tokens, as digests of its ids and of the text decoded from them."""
     path = bpe.vocabulary("byte_bpe_50k.json")
-    return bpe.digest(encode(docs, path), path)
+    return bpe.digest(docs, path)
 
 
 STAGES = [

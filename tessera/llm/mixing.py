@@ -61,7 +61,7 @@ def plan_mix(docs: DataFrame, cycle=(1, 2, 3), cap: float = 3.0, seed: int = 17,
     if targets.count() <= broadcast_sources:
         out = docs.join(F.broadcast(targets), same)
     else:
-        targets = targets.withColumn("target_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long"))
+        targets = targets.withColumn("target_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
         out = docs.withColumn("salt", F.pmod(draw, F.lit(SALTS))).join(targets, same & (F.col("salt") == F.col("target_salt")))
     rate = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(float(cap)))).otherwise(F.lit(0.0))
     chance = F.pmod(F.shiftrightunsigned(draw, 11), F.lit(1 << 53)) / F.lit(float(1 << 53))

@@ -2,10 +2,11 @@
 
 The forest is grown on a bounded sample of labelled rows, taken by smallest hash; each tree splits 256 of them at
 random, of which at most BAD_SHARE are labelled bad: were junk as common there as in the corpus, it would not be
-isolated early. A document whose mean path over the trees is short is anomalous. The threshold on the anomaly score comes
-from the labels of the same sample: the one that separates good from bad rows best among those that reject at most
-`max_loss` of the good ones. Statistics are rates of what exceeds a small allowance, so neither long nor short documents are anomalous for their
-length, and ordinary ones lie close together.
+isolated early. A document whose mean path over the trees is short is anomalous. The threshold on the anomaly score
+comes from the labels of the same sample, without rows that the base rules reject: the one that separates good from
+bad rows best among those that reject at most `max_loss` of the good ones, or one. Statistics are rates of what
+exceeds a small allowance, so neither long nor short documents are anomalous for their length, and ordinary ones
+lie close together.
 
 Defined results: null or blank text has no words, fails the base rules and isn't kept; without any labelled rows of
 both kinds nothing but the base rules rejects; a label that is null or belongs to no document is passed over, and
@@ -67,7 +68,7 @@ def statistics(text: str | None) -> tuple[list[int], list[float]]:
     upper = len(_UPPER.findall(text))
     rates = [
         max(0.0, symbols - 3) / (n + 20), max(0.0, dup - 1) / (len(lines) + 10), max(0.0, repeat - n / 5 - 10) / (n + 20),
-        max(0.0, upper - n / 4) / (chars + 60), max(0.0, len(_BANG.findall(text)) - n / 20) / (n + 20), max(0.0, max(most.values()) - n / 10 - 4) / (n + 20),
+        max(0.0, upper - 0.3 * chars) / (chars + 60), max(0.0, len(_BANG.findall(text)) - n / 20) / (n + 20), max(0.0, max(most.values()) - n / 10 - 4) / (n + 20),
     ]
     return [n, chars, symbols, dup, repeat], rates
 
@@ -133,10 +134,11 @@ def threshold(scores: np.ndarray, good: np.ndarray, max_loss: float = MAX_LOSS)
     if not good.any() or good.all():
         return float("inf")
     ok, bad = np.sort(scores[good]), np.sort(scores[~good])
-    lowest = ok[max(0, int(np.ceil(len(ok) * (1 - max_loss))) - 1)]
+    lowest = ok[max(0, len(ok) - 1 - max(1, int(len(ok) * max_loss)))]
     cuts = np.unique(scores[scores >= lowest])
     gain = [np.mean(bad > c) - np.mean(ok > c) for c in cuts]
-    return float(cuts[int(np.argmax(gain))])
+    best = int(np.argmax(gain))
+    return float(cuts[best : best + 2].mean())  # halfway to the next score, for scores not seen here
 
 
 SCHEMA = "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, rates array<double>"
@@ -162,7 +164,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, max_
     good = good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     some = pick(docs, {"doc_id": "bigint", "text": "string"}).join(F.broadcast(good.select("doc_id")), "doc_id")
     rows = {}
-    for r in rule_statistics(some.select("doc_id", "text")).where(f"n_words >= {MIN_WORDS}").select("doc_id", "rates").limit(4 * sample_rows).collect():
+    for r in rule_statistics(some.select("doc_id", "text")).where(f"n_words >= {MIN_WORDS} AND 100 * n_repeat_words <= {MAX_REPEAT} * n_words").select("doc_id", "rates").limit(4 * sample_rows).collect():
         rows[r.doc_id] = min(tuple(r.rates), rows.get(r.doc_id, tuple(r.rates)))
     quality = {r.doc_id: r.quality for r in good.collect()}
     if len(rows) < 8:

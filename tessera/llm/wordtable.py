@@ -30,18 +30,38 @@ CHUNK_BYTES = 16 << 20
 ENCODE_AT_ONCE = 8192
 
 #: How texts may be split. Byte-level BPE always breaks before a single space or line end between solid characters,
-#: and after such a line end; BPE with word ends always breaks before white space, which it drops.
+#: and after such a line end; BPE with word ends always breaks before white space, which it drops, and between a
+#: Latin letter and a mark other than an apostrophe. (<, | and > don't count as marks: special tokens hold them.)
 BYTE_LEVEL, WORD_END = "byte level", "word end"
 _SOLID = r"[^\s\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f\u2060\u3000\ufeff]"
 _BREAK = re.compile(rf"(?<={_SOLID})(?=[ \n]{_SOLID})|(?<={_SOLID}\n)(?={_SOLID})")
 
 
+_KIND = np.zeros(256, np.uint8)
+_KIND[[*range(65, 91), *range(97, 123)]] = 1
+_KIND[[c for c in [*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)] if chr(c) not in "'<|>"]] = 2
+
+
+def plain(data: np.ndarray) -> np.ndarray:
+    """Bytes of texts for BPE with word ends, alike where it makes no difference: white space, and capital letters.
+
+    Capitals stay where a special token may be written in them.
+    """
+    out = data.copy()
+    out[(data >= 9) & (data <= 13)] = 32
+    if not ((data[:-1] == 60) & (data[1:] == 124)).any():
+        out[(data >= 65) & (data <= 90)] += 32
+    return out
+
+
 def word_starts(data: np.ndarray, offsets: np.ndarray, how: str) -> np.ndarray:
     """Where words begin in UTF-8 texts that lie end to end; a text's first byte is always one."""
     if how == WORD_END:
         space = (data == 32) | ((data >= 9) & (data <= 13))
         starts = space.copy()
         starts[1:] &= ~space[:-1]
+        kind = _KIND[data]
+        starts[1:] |= kind[1:] + kind[:-1] == 3
     else:
         line = data == 10
         gap = line | (data == 32)
@@ -139,6 +159,7 @@ def _split(batches: list, how: str) -> tuple[pa.ChunkedArray, np.ndarray, pa.Dic
     offsets = np.frombuffer(text.buffers()[1], np.int64)[text.offset : text.offset + len(text) + 1] if len(text) else np.zeros(1, np.int64)
     data = np.frombuffer(text.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
     offsets = offsets - offsets[0]
+    data = plain(data) if how == WORD_END else data
     starts = word_starts(data, offsets, how)
     words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(np.append(starts, len(data))), pa.py_buffer(data)])
     return texts.column("doc_id"), np.diff(np.searchsorted(starts, offsets)), words.dictionary_encode()

@@ -9,10 +9,12 @@ signature of a part that isn't empty. The few sets with more empty parts also gi
 filter, which finds pairs of two such sets. (This is PartEnum with one second-level part: enumerating subsets of
 more of them needs more signatures for the same k.)
 
-Candidates are verified exactly, on the sets. Within a group with one signature not all pairs are compared: first
-each member with the least; then, where a group still spans several components, with a member drawn by hash for
-each signature; and last, what is left of such groups across components, so no link between components is lost.
-Groups are found in chunks first and only one member of each goes on, so a frequent signature is no large group.
+Candidates are verified exactly, on the sets. Within a group with one signature no pairs are made: first each member
+meets the least; then, where a group still spans several components, a member drawn by hash for each signature; and
+what groups are left open are joined in blocks: their members, by connected groups, are cut into blocks of bounded
+size, and a task counts all intersections of two blocks at once and returns the links between components. So no
+link between components is lost. Groups are found in chunks first and only one member of each goes on, so a
+frequent signature is no large group.
 
 Defined results: null and blank text is the empty set, linked with nothing; shorter texts are one shingle; rows with
 equal sets are linked; component_id is the least doc_id, null only if all in it are null. Class keys have 64 bits.
@@ -26,12 +28,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import DOCUMENT, cut, keep, made, pick, ship, small_batches, table
-from tessera.llm.components import connected
+from tessera.llm.common import DOCUMENT, cut, give_back, keep, made, pick, ship, small_batches, table
+from tessera.operators.components import connected
 
 CHUNK_BYTES = 16 << 20
 MAX_BLOOM_BLOCKS = 1 << 17
 MEMBERS_A_SALT = 2000
+#: A block of an open cluster holds about so many sets and bytes.
+BLOCK_SETS, BLOCK_BYTES = 384, 6 << 20
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _P, _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -173,6 +177,7 @@ def candidate_groups(docs: DataFrame, n: int, bands: Bands, chunk_bytes: int = C
             if size >= chunk_bytes:
                 yield from chunk_rows(sets, number)
                 sets, size, number = {}, 0, number + 1
+                give_back()
         if sets:
             yield from chunk_rows(sets, number)
 
@@ -284,6 +289,64 @@ def _open_members(groups: DataFrame, labels: DataFrame) -> DataFrame:
     return cut(members.join(spread, "sig", "left_semi"))
 
 
+def intersections(sets: list[np.ndarray]) -> np.ndarray:
+    """The sizes of all intersections of the sets, as a matrix whose upper half counts."""
+    m = len(sets)
+    doc = np.repeat(np.arange(m), [len(s) for s in sets])
+    _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    order = np.lexsort((doc, column))
+    doc, column = doc[order], column[order]
+    starts = np.cumsum(count) - count
+    out = np.zeros(m * m, np.int64)
+    for d in np.unique(count[(count > 1) & (count <= 24)]).tolist():  # in few sets: count their pairs
+        rows = doc[starts[count == d][:, None] + np.arange(d)]
+        for i in range(d):
+            for j in range(i + 1, d):
+                out += np.bincount(rows[:, i] * m + rows[:, j], minlength=m * m)
+    out = out.reshape(m, m)
+    many = np.flatnonzero(count > 24)
+    for i in range(0, len(many), 2048):  # in many: a product of incidence matrices
+        some = many[i : i + 2048]
+        x = np.zeros((m, len(some)), np.float32)
+        for c, (a, n) in enumerate(zip(starts[some].tolist(), count[some].tolist(), strict=True)):
+            x[doc[a : a + n], c] = 1
+        out += (x @ x.T).astype(np.int64)
+    return out
+
+
+def open_links(members: DataFrame, sets: DataFrame, num: int, den: int, block_sets: int = BLOCK_SETS) -> DataFrame:
+    """(u, v): links between the components of members (sig, key, label), at least one for each two that are linked.
+
+    Members are compared if a chain of groups connects them, so all of a group are.
+    """
+    least = members.groupBy("sig").agg(F.min("key").alias("least"))
+    clusters = connected(members.join(least, "sig").select(F.col("key").alias("u"), F.col("least").alias("v")))
+    every = members.select("key", "label").distinct().join(clusters.withColumnRenamed("label", "cluster"), F.col("key") == F.col("node"))
+    every = cut(every.select("key", F.col("label").alias("part_of"), "cluster").join(sets, "key"))
+    size = every.groupBy("cluster").agg(F.greatest(F.ceil(F.count("*") / block_sets), F.ceil(F.sum(F.length("features")) / BLOCK_BYTES)).cast("int").alias("blocks"))
+    every = every.join(size, "cluster").withColumn("block", F.pmod(F.hash("key"), "blocks")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    every = every.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
+
+    def meet(rows: pa.Table) -> pa.Table:
+        u, v = [], []
+        label = rows.column("part_of").to_numpy()
+        if len(set(label.tolist())) > 1:
+            key = rows.column("key").to_numpy()
+            given = [np.frombuffer(x, np.uint64) for x in rows.column("features").to_pylist()]
+            both, n = intersections(given), np.array([len(s) for s in given])
+            i, j = np.nonzero(np.triu(den * both >= num * (n[:, None] + n[None, :] - both), 1) & (label[:, None] != label[None, :]))
+            seen = set()
+            for a, b in zip(i.tolist(), j.tolist(), strict=True):
+                pair = (min(label[a], label[b]), max(label[a], label[b]))
+                if pair not in seen:
+                    seen.add(pair)
+                    u.append(int(key[a]))
+                    v.append(int(key[b]))
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+    return every.select("cluster", "low", "high", "key", "part_of", "features").groupBy("cluster", "low", "high").applyInArrow(meet, "u bigint, v bigint")
+
+
 def link_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """(doc_id, n_shingles, key, component_id) for each row of docs."""
     ship(docs.sparkSession)
@@ -297,25 +360,18 @@ def link_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
     if not pairs.isEmpty():
         wanted = pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct()
         sets = keep(sets_of(docs, n, cut(wanted)), "sets")
-        tried = pairs
         edges = cut(verified(pairs, sets, num, den))
         labels = cut(connected(edges))
-        for last in (False, True):
-            open_ = _open_members(groups, labels)
-            if open_.isEmpty():
-                break
-            if last:
-                one, two = open_.alias("x"), open_.alias("y")
-                more = one.join(two, F.expr("x.sig = y.sig and x.label < y.label")).select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b"))
-            else:
-                drawn = open_.groupBy("sig").agg(F.min_by(F.struct("key", "label"), F.xxhash64("sig", "key")).alias("p"))
-                more = open_.join(drawn, "sig").where("label <> p.label").select(F.least("key", "p.key").alias("a"), F.greatest("key", "p.key").alias("b"))
-            more = cut(more.distinct().join(tried, ["a", "b"], "left_anti"))
-            if more.isEmpty():
-                continue
-            tried = tried.union(more)
+        open_ = _open_members(groups, labels)
+        if not open_.isEmpty():
+            drawn = open_.groupBy("sig").agg(F.min_by(F.struct("key", "label"), F.xxhash64("sig", "key")).alias("p"))
+            more = open_.join(drawn, "sig").where("label <> p.label").select(F.least("key", "p.key").alias("a"), F.greatest("key", "p.key").alias("b"))
+            more = cut(more.distinct().join(pairs, ["a", "b"], "left_anti"))
             edges = cut(edges.union(verified(more, sets, num, den)))
             labels = cut(connected(edges))
+            open_ = _open_members(groups, labels)
+            if not open_.isEmpty():
+                labels = cut(connected(edges.union(open_links(open_, sets, num, den))))
     by_key = rows.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("first_id"))
     by_key = by_key.join(labels, F.col("key") == F.col("node"), "left").select("key", "first_id", F.coalesce("label", "key").alias("label"))
     least = by_key.groupBy("label").agg(F.min("first_id").alias("component_id"))

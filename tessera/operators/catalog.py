@@ -62,7 +62,7 @@ def deny(entries: DataFrame, index: DataFrame, denied: DataFrame) -> tuple[DataF
     """Entries (owner, ...) without those that a denied key resolves to; and the denied keys that resolve to none."""
     hit = denied.join(index, "key", "left")
     gone = hit.where(F.col("owner").isNotNull()).select("owner").distinct()
-    return entries.join(F.broadcast(gone) if denied.isLocal() else gone, "owner", "left_anti"), hit.where(F.col("owner").isNull()).select("key")
+    return entries.join(gone, "owner", "left_anti"), hit.where(F.col("owner").isNull()).select("key")
 
 
 def overlay(entries: DataFrame, overrides: DataFrame, fields: list[str]) -> DataFrame:

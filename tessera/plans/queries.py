@@ -447,3 +447,38 @@ def entry_tail(spark, sf_dir):
     icons = F.create_map(F.lit("BUILDING"), F.lit("home"), F.lit("MACHINERY"), F.lit("gear"))
     note = F.when(F.col("n_orders").isNull(), "no orders").otherwise(F.concat(F.lit("has "), "n_orders", F.lit(" orders")))
     return scored(spark, sf_dir).select("key", F.coalesce(F.try_element_at(icons, F.col("segment")), F.lit("box")).alias("icon"), ((F.col("tier") != "curated") & (F.col("balance") < 0)).alias("url_unverified"), note.alias("note"), F.least(F.coalesce("n_events", F.lit(0)), F.lit(200)).cast("bigint").alias("tool_count"))
+
+
+@query("""SELECT 'nation' AS source, CAST(n_nationkey AS BIGINT) AS id, n_name AS label, 'region ' || n_regionkey AS note FROM nation
+UNION ALL SELECT 'supplier', s_suppkey, s_name, CASE WHEN s_acctbal < 0 THEN 'in debt' ELSE 'nation ' || s_nationkey END FROM supplier
+UNION ALL SELECT 'part', p_partkey, p_name, coalesce(nullif(trim(p_type), ''), p_brand) FROM part
+UNION ALL SELECT 'customer', c_custkey, c_name, coalesce(nullif(trim(c_mktsegment), ''), 'none') FROM customer
+UNION ALL SELECT 'page', page_id, regexp_extract(url, '^[a-z]+://([^/?#]*)', 1), regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1) FROM pages""")
+def source_projections(spark, sf_dir):
+    """Five sources in one shape, each field the first of its spellings that says anything."""
+    t = lambda name: read(spark, sf_dir, name)
+    shape = lambda df, source, id_, label, note: df.select(F.lit(source).alias("source"), F.col(id_).cast("bigint").alias("id"), label.alias("label"), note.alias("note"))
+    debt = F.when(F.col("s_acctbal") < 0, "in debt").otherwise(F.concat(F.lit("nation "), F.col("s_nationkey")))
+    parts = [
+        shape(t("nation"), "nation", "n_nationkey", F.col("n_name"), F.concat(F.lit("region "), F.col("n_regionkey"))),
+        shape(t("supplier"), "supplier", "s_suppkey", F.col("s_name"), debt),
+        shape(t("part"), "part", "p_partkey", F.col("p_name"), L.first_text(F.col("p_type"), F.col("p_brand"))),
+        shape(t("customer"), "customer", "c_custkey", F.col("c_name"), L.first_text(F.col("c_mktsegment"), F.lit("none"))),
+        shape(t("pages"), "page", "page_id", K.url_host(F.col("url")), K.url_path(F.col("url"))),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query("""WITH RECURSIVE e AS (SELECT DISTINCT user_id, event_type || ':' || CAST(floor(value) AS BIGINT) AS key FROM events), f AS (SELECT key, min(user_id) AS first FROM e GROUP BY 1),
+b AS (SELECT DISTINCT user_id AS u, first AS v FROM e JOIN f USING (key)), s AS (SELECT u, v FROM b UNION SELECT v, u FROM b),
+r(node, seen) AS (SELECT DISTINCT u, u FROM s UNION SELECT r.node, s.v FROM r JOIN s ON r.seen = s.u), c AS (SELECT node, min(seen) AS component FROM r GROUP BY 1)
+SELECT component, count(DISTINCT node) AS members, min(value) AS least, count(*) AS events FROM events JOIN c ON node = user_id GROUP BY 1""")
+def component_audit(spark, sf_dir):
+    """Users linked by equal type and whole value: each component's members, least value and events."""
+    events = read(spark, sf_dir, "events")
+    key = F.concat_ws(":", "event_type", F.floor("value"))
+    own = components_by_key(events.select(F.col("user_id").alias("id"), key.alias("key")).distinct())
+    return events.join(own, F.col("user_id") == F.col("id")).groupBy("component").agg(F.count_distinct("user_id").alias("members"), F.min("value").alias("least"), F.count("*").alias("events"))

@@ -9,8 +9,8 @@ signature of a part that isn't empty. The few sets with more empty parts also gi
 filter, which finds pairs of two such sets. (This is PartEnum with one second-level part: enumerating subsets of
 more of them needs more signatures for the same k.)
 
-Candidates are verified exactly, on the sets. Within a group with one signature no pairs are made: first each member
-meets the least; then, where a group still spans several components, a member drawn by hash for each signature; and
+Candidates are verified exactly, on the sets. Within a group with one signature no pairs are made: first each class
+meets the least of all its groups; then, where groups still span several components, one drawn by hash from them; and
 what groups are left open are joined in blocks: their members, by connected groups, are cut into blocks of bounded
 size, and a task counts all intersections of two blocks at once and returns the links between components. So no
 link between components is lost. Groups are found in chunks first and only one member of each goes on, so a
@@ -355,17 +355,18 @@ def link_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
     rows = keep(classes(docs, n), "classes")
     groups = keep(candidate_groups(docs, n, bands, chunk_bytes), "groups")
     nothing = docs.sparkSession.createDataFrame([], "node bigint, label bigint")
-    pairs = cut(groups.select(F.col("least").alias("a"), F.col("key").alias("b")).distinct())
+    pairs = cut(groups.groupBy(F.col("key").alias("b")).agg(F.min("least").alias("a")).select("a", "b"))
     labels = nothing
     if not pairs.isEmpty():
-        wanted = pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct()
+        wanted = groups.select("key").union(groups.select(F.col("least").alias("key"))).distinct()
         sets = keep(sets_of(docs, n, cut(wanted)), "sets")
         edges = cut(verified(pairs, sets, num, den))
         labels = cut(connected(edges))
         open_ = _open_members(groups, labels)
         if not open_.isEmpty():
             drawn = open_.groupBy("sig").agg(F.min_by(F.struct("key", "label"), F.xxhash64("sig", "key")).alias("p"))
-            more = open_.join(drawn, "sig").where("label <> p.label").select(F.least("key", "p.key").alias("a"), F.greatest("key", "p.key").alias("b"))
+            more = open_.join(drawn, "sig").where("label <> p.label").groupBy("key").agg(F.min_by("p.key", F.xxhash64("key", "sig")).alias("other"))
+            more = more.select(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b"))
             more = cut(more.distinct().join(pairs, ["a", "b"], "left_anti"))
             edges = cut(edges.union(verified(more, sets, num, den)))
             labels = cut(connected(edges))

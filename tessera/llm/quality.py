@@ -34,7 +34,8 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 RATES = ("symbols", "dup_lines", "repeats", "upper", "bangs", "top_word")
 
 _BANG = re.compile(r"[!?]")
-_UPPER = re.compile(r"[^\W\d_a-zß-öø-ÿ]")
+_UPPER = re.compile("[A-Z]")
+_BEYOND = re.compile(r"[^\x00-\x7f]")
 
 
 def statistics(text: str | None) -> tuple[list[int], list[float]]:
@@ -66,6 +67,8 @@ def statistics(text: str | None) -> tuple[list[int], list[float]]:
     for w in words:
         most[w] = most.get(w, 0) + 1
     upper = len(_UPPER.findall(text))
+    if not text.isascii():
+        upper += sum(map(str.isupper, _BEYOND.findall(text)))
     rates = [
         max(0.0, symbols - 3) / (n + 20), max(0.0, dup - 1) / (len(lines) + 10), max(0.0, repeat - n / 5 - 10) / (n + 20),
         max(0.0, upper - 0.3 * chars) / (chars + 60), max(0.0, len(_BANG.findall(text)) - n / 20) / (n + 20), max(0.0, max(most.values()) - n / 10 - 4) / (n + 20),

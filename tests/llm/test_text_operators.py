@@ -83,6 +83,32 @@ def test_quality_on_held_out_labels(spark):
     assert np.mean(good) >= 0.98 and np.mean(bad) <= 0.2
 
 
+CLEAN = [
+    "съешь же ещё этих мягких французских булок да выпей потом чаю на кухне у окна вечером",
+    "η γρήγορη αλεπού πηδάει πάνω από τον τεμπέλη σκύλο και τρέχει μετά στο δάσος",
+    "كتب الولد رسالة طويلة إلى صديقه في المدينة البعيدة وأرسلها مع أخيه في الصباح",
+    "私 は 昨日 友達 と 一緒 に 新しい 本 を 買い に 行き ました",
+    "zażółć gęślą jaźń mówi ćma źrebięciu śpiąc pod łóżkiem gdzieś między książkami i półką",
+]
+
+
+def test_quality_of_other_scripts(spark):
+    assert all(quality.statistics(t)[1] == [0.0] * 6 for t in CLEAN)
+    assert all(quality.statistics(t.upper())[1][3] > 0.2 for t in (*CLEAN[:2], CLEAN[4], "clean text in capital letters " * 2))
+    assert quality.statistics("ÀÉÎÕÜŽŁŐĆŚ" * 9)[1][3] == quality.statistics("ABCDEFGHIJ" * 9)[1][3]
+    # Where capitals are what marks junk, clean text in any script is kept and capitals in any are rejected.
+    draw = np.random.default_rng(3)
+    latin = [" ".join("".join(draw.choice(list("abcdefghij"), 5)) for _ in range(30)) for _ in range(430)]
+    rows = [(i, t.upper() if i % 10 == 0 else t) for i, t in enumerate(latin)]
+    mixed = lambda t: " ".join(draw.permutation([w + t[i] for i in (0, 2, 3) for w in t.split()]))
+    long = [mixed(t) for t in CLEAN]
+    rows += [(-1 - i, t) for i, t in enumerate([*long, *(long[i].upper() for i in (0, 1, 4))])]
+    labels = spark.createDataFrame([(i, int(i % 10 > 0)) for i in range(400)], "doc_id bigint, quality int")
+    got = {r.doc_id: r.kept for r in quality.judge(spark.createDataFrame(rows, "doc_id bigint, text string"), labels).where("doc_id < 0 OR doc_id >= 400").collect()}
+    assert all(got[i] == (i % 10 > 0) for i in range(400, 430))
+    assert [got[-1 - i] for i in range(8)] == [True] * 5 + [False] * 3
+
+
 def plain_pii(t):
     out = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
     out += [("ip", *m.span()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t) if all(int(p) <= 255 for p in m[0].split("."))]

@@ -45,12 +45,15 @@ _KIND[[c for c in [*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 1
 def plain(data: np.ndarray) -> np.ndarray:
     """Bytes of texts for BPE with word ends, alike where it makes no difference: white space, and capital letters.
 
-    Capitals stay where a special token may be written in them.
+    Capitals stay where a special token may be written in them, and before any byte beyond ASCII: a mark there may
+    compose with the small letter and not with the capital, and the tokenizer composes first.
     """
     out = data.copy()
     out[(data >= 9) & (data <= 13)] = 32
     if not ((data[:-1] == 60) & (data[1:] == 124)).any():
-        out[(data >= 65) & (data <= 90)] += 32
+        capital = (data >= 65) & (data <= 90)
+        capital[:-1] &= data[1:] < 128
+        out[capital] += 32
     return out
 
 

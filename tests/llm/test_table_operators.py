@@ -2,6 +2,8 @@
 
 import hashlib
 import random
+import sys
+import unicodedata
 import zlib
 
 import numpy as np
@@ -70,6 +72,21 @@ def test_encoding_is_the_library_s(spark, sf_dir, name):
         assert back == {i: t or "" for i, t in enumerate(texts)}
 
 
+def test_capitals_before_marks_encode_as_the_library_does(spark):
+    path = bpe.vocabulary("word_bpe_49k.json")
+    tk = Tokenizer.from_file(path)
+    texts = ["H\u0331", "J\u030c", "T\u0308", "W\u030a", "Y\u030a", "aJ\u030cb H\u0331AT", "J\u0323\u030c", "<|x"]
+    want = [tk.encode(t, add_special_tokens=False).ids for t in texts]
+    for some in (texts, texts[:-1]):
+        docs = spark.createDataFrame(list(enumerate(some)), "doc_id bigint, text string").coalesce(1)
+        got = {r.doc_id: wordtable.unpack(r.packed).tolist() for r in wordtable.encode_within_chunks(docs, path, wordtable.WORD_END).collect()}
+        assert got == dict(enumerate(want[: len(some)]))
+    beyond = [chr(c) for c in range(128, sys.maxunicode) if unicodedata.combining(chr(c))]
+    every = [a + c for a in "ABCDEFGHIJKLMNOPQRSTUVWXYZ" for c in beyond]
+    plain = [wordtable.plain(np.frombuffer(t.encode(), np.uint8)).tobytes().decode() for t in every]
+    assert [e.ids for e in tk.encode_batch(plain, add_special_tokens=False)] == [e.ids for e in tk.encode_batch(every, add_special_tokens=False)]
+
+
 def test_encoding_of_odd_rows(spark):
     docs, path = odd_documents(spark), bpe.vocabulary("byte_bpe_50k.json")
     assert bpe.digest(docs, path).count() == len(ODD) and bpe.digest(docs.where("false"), path).count() == 0

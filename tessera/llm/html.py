@@ -25,12 +25,14 @@ from tessera.llm.common import made, pick, ship, small_batches, table
 #: Pages that the field is trained on, and its gradient steps.
 TRAINING_PAGES, STEPS = 400, 240
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|template|noscript|iframe|svg|math|title|textarea|object)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/<>]*)((?:[^<>\"']++|\"[^\"<]{0,4096}\"|'[^'<]{0,4096}'|\"[^\"]{0,4096}\"|'[^']{0,4096}'|[\"'])*+)>|<[!?][^>]*>",
-    re.S | re.I,
-)
-_NAMES = re.compile(r"(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|template|noscript|iframe|svg|math|title|textarea|object)\b|<(/?)([a-zA-Z][^\s/<>]*)|<[!?]", re.S | re.I)
+# The attributes of a tag, to its end or to what keeps it from being one. A quote opens a value only after an equals
+# sign; one that is never closed is passed over, of which there is at most one of a kind on a page.
+_REST = re.compile(r"((?:[^<>\"'=]++|=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|[\"'=])*+)(>?)")
+_RAW_END = {t: re.compile(rf"</{t}\s*>", re.I) for t in "script style template noscript iframe svg math title textarea object".split()}
+_VALUE = r"=\s*(?:\"[^\"]*\"|'[^']*')"
+_NAMES = re.compile(rf"(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|{_VALUE}", re.I)
+_OTHER = re.compile(rf"((?<![\w-])(?:class|style|aria-hidden)\s*{_VALUE})|{_VALUE}", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 # Fixed values of the HTML standard: elements without end tag, and elements inside a line of text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -62,6 +64,32 @@ _SAYS = (
 _END = re.compile(r"[.!?…。:;][\"'»”)]?$")
 
 
+def tags(page: str):
+    """(start, end, tag, slash, attributes) of each tag; comments and elements whose content isn't text have no tag.
+
+    No character is passed twice, whatever the lengths of values: what turns out not to be a tag is text up to there.
+    """
+    at = 0
+    while m := _TOKEN.search(page, at):
+        start, at = m.span()
+        if page.startswith("<!--", start):
+            yield start, at, "", "", ""
+            continue
+        rest = _REST.match(page, at) if m[1] or m[3] else None
+        if m[3]:
+            at = rest.end()
+            if rest[2]:
+                yield start, at, m[3].lower(), m[2], rest[1]
+            continue
+        at = rest.end() if rest and rest[2] else page.find(">", at) + 1
+        if not at:
+            return
+        if m[1]:
+            end = _RAW_END[m[1].lower()].search(page, at)
+            at = end.end() if end else len(page)
+        yield start, at, "", "", ""
+
+
 def leaf_blocks(page: str | None):
     """(text, features) of each leaf block with text, in page order."""
     page = page or ""
@@ -76,10 +104,10 @@ def leaf_blocks(page: str | None):
         if tag in _TAGS:
             more.add(f"in {tag}")
         if "=" in attributes:
-            names = " ".join(a or b or c for a, b, c in _NAMES.findall(attributes))
+            names = " ".join(x for a, b, c in _NAMES.findall(attributes) if (x := a or b or c))
             if names:
                 more.update(f"named {g}" for g, p in GROUPS if p.search(names))
-        if attributes and _HIDDEN.search(attributes):
+        if attributes and _HIDDEN.search(attributes) and _HIDDEN.search(_OTHER.sub(lambda m: m[1] or "=", attributes)):
             more.add("hidden")
         return frozenset(more)
 
@@ -100,15 +128,14 @@ def leaf_blocks(page: str | None):
                 return
 
     at = 0
-    for m in _TOKEN.finditer(page):
-        if m.start() > at:
-            piece = page[at : m.start()]
+    for start, end, tag, closing, attributes in tags(page):
+        if start > at:
+            piece = page[at:start]
             held.append(piece)
             linked += len(piece) if in_link else 0
-        at = m.end()
-        if not m[3]:
+        at = end
+        if not tag:
             continue
-        tag, closing = m[3].lower(), m[2]
         if tag in INLINE:
             if tag == "br":
                 held.append(" ")
@@ -126,7 +153,7 @@ def leaf_blocks(page: str | None):
                     pop_to(p, ("article", "div", "section", "body", "li", "td", "blockquote"))
             if tag in ENDS_OWN:
                 pop_to(tag, ENDS_OWN[tag])
-            stack.append((tag, stack[-1][1] | own(tag, m[4])))
+            stack.append((tag, stack[-1][1] | own(tag, attributes)))
     if at < len(page):
         held.append(page[at:] if not page[at:].startswith("<") or " " in page[at : at + 2] else "")
     flush()

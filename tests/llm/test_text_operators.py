@@ -159,6 +159,26 @@ def test_html_cases(page, want):
     assert html.main_text(page, html.trained()) == want
 
 
+@pytest.mark.parametrize("size", [10, 5000, 200_000])
+@pytest.mark.parametrize("quote", ["'", '"'])
+def test_html_attributes_of_any_length(size, quote):
+    other = "'" if quote == '"' else '"'
+    text = "<p>The text of an article, which has a few words and ends.</p>"
+    for fill in ("a>b ", f"<p>Not, the text {other}ad{other} here.</p> ", "{x} hidden display:none ", f"<div class={other}footer{other}>© rights</div>"):
+        value = quote + (fill * (size // len(fill) + 1)) + quote
+        for page in (f"<article data-props={value} class=story>{text}</article>", f"<article><iframe srcdoc={value}></iframe>{text}</article>", f"<nav class=menu data-x = {value}>a b</nav><article>{text}</article>"):
+            short = page.replace(value, quote + "v" + quote)
+            assert html.leaf_blocks(page) == html.leaf_blocks(short)
+    page = f"<article><iframe srcdoc={quote}<iframe></iframe><p>Not text.</p>{quote}></iframe>{text}</article>"
+    assert [t for t, _ in html.leaf_blocks(page)] == ["The text of an article, which has a few words and ends."]
+    assert [t for t, _ in html.leaf_blocks(f"<p title=it{quote}s>One.</p><p>It{quote}s two.</p>")] == ["One.", f"It{quote}s two."]
+
+
+def test_html_tags_in_linear_time():
+    for part in ('<a b="', "<a b='<a c=\"", "<a b=\"<a c='\" d='\"'", "<script ", "<!x ", "<a b= ", '<a b="" ', "<a ='=\"<", "<iframe a='"):
+        html.leaf_blocks(part * 100_000)
+
+
 def test_html_long_and_broken_pages():
     for page in ("<a " * 50_000, '<a "' * 50_000, "<div>" * 50_000 + "x", "<p>x" * 20_000, "<!--" * 20_000):
         html.main_text(page, html.trained())

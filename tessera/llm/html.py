@@ -167,8 +167,7 @@ def told(text: str, linked: int, tag: str) -> list[str]:
     out = [f"tag {tag}", f"size {0 if n < 25 else 1 if n < 80 else 2 if n < 200 else 3}", f"links {0 if share == 0 else 1 if share < 0.5 else 2}", f"words {min(3, words // 5)}"]
     if _END.search(text[-3:]):
         out.append("ends")
-    head = text[:400]
-    out += [f"says {name}" for name, p in _SAYS if p.search(head)]
+    out += [f"says {name}" for name, p in _SAYS if p.search(text)]
     return out
 
 

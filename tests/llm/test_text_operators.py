@@ -174,6 +174,12 @@ def test_html_attributes_of_any_length(size, quote):
     assert [t for t, _ in html.leaf_blocks(f"<p title=it{quote}s>One.</p><p>It{quote}s two.</p>")] == ["One.", f"It{quote}s two."]
 
 
+def test_html_telling_words_anywhere_in_a_block():
+    long = "Some words that say nothing come first here. " * 40
+    for word, name in (("All rights reserved.", "rights"), ("Your privacy.", "cookies"), ("Sign up!", "sign"), ("A sponsor.", "sold")):
+        assert f"says {name}" in html.told(long + word, 0, "div") and f"says {name}" not in html.told(long, 0, "div")
+
+
 def test_html_tags_in_linear_time():
     for part in ('<a b="', "<a b='<a c=\"", "<a b=\"<a c='\" d='\"'", "<script ", "<!x ", "<a b= ", '<a b="" ', "<a ='=\"<", "<iframe a='"):
         html.leaf_blocks(part * 100_000)

@@ -1,7 +1,7 @@
 """Personal data: fixed base rules, and a boosted-tree verdict on further candidate spans.
 
 Generators with high recall propose overlapping spans (written-out e-mail addresses, national phone numbers, card
-numbers with odd separators, version-6 addresses); boosted trees score each by its format and its context; a span
+numbers with odd separators, version-6 addresses whole or compressed); boosted trees score each by its format and its context; a span
 is taken where the score passes its threshold, set on held-out spans to a precision of at least PRECISION. The
 trees are trained here, on spans made from the templates below, since no table marks spans. Base spans always stay;
 of overlapping further spans the more probable stays, and none may overlap a base span.
@@ -16,6 +16,7 @@ import random
 import re
 from bisect import bisect_left, insort
 from functools import cache
+from ipaddress import IPv6Address
 
 import numpy as np
 import pyarrow as pa
@@ -35,10 +36,11 @@ _DIGIT = re.compile(r"[0-9]")
 
 # Candidate patterns.
 _WRITTEN = re.compile(r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]{1,64}+ ?(?:\[at\]|\(at\)|\{at\}|(?<= )at(?= )) ?[a-z0-9-]{1,63}(?: ?(?:\[dot\]|\(dot\)|\{dot\}|(?<= )dot(?= )|\.) ?[a-z0-9-]{1,63}){1,6}")
-_WRITTEN_GATE = re.compile(r"(?i)[\[({]at[\])}]| dot ")
+_WRITTEN_GATE = re.compile(r"(?i)[\[({]at[\])}]| at ")
 _NATIONAL = re.compile(r"(?<![\w+.-])(?:\([0-9]{2,5}\)|00[0-9]{1,3}|[0-9]{2,5})(?:[ ./-]{1,2}[0-9]{2,5}){2,5}(?![\w-])")
 _ODD_CARD = re.compile(r"(?<![\w.-])[0-9]{4}(?:[ ._/-]{1,2}[0-9]{4}){3}(?![\w])")
-_SIX = re.compile(r"(?<![\w:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![\w:])")
+_SIX = re.compile(r"(?:(?<![\w:])|(?<=[^\W0-9A-Fa-f_]:))[0-9A-Fa-f]{0,4}+(?::[0-9A-Fa-f]{0,4}+){2,8}(?![\w:]|\.[0-9])")
+_SIX_GATE = re.compile(r":[0-9A-Fa-f]{0,4}:")
 _TELL = (
     ("email", re.compile(r"(?i)mail|contact|write|reach|correo|courriel|kontakt")),
     ("phone", re.compile(r"(?i)phone|\btel|call|mobile|fax|cell|anruf|telefon|llam|appel|whatsapp")),
@@ -100,8 +102,23 @@ def candidates(text: str) -> list[tuple[str, int, int]]:
     if _DIGIT.search(text):
         out += [("phone", *m.span()) for m in _NATIONAL.finditer(text)]
         out += [("card", *m.span()) for m in _ODD_CARD.finditer(text)]
-        if ":" in text:
-            out += [("ip", *m.span()) for m in _SIX.finditer(text)]
+    if ":" in text and _SIX_GATE.search(text):
+        out += sixes(text)
+    return out
+
+
+def sixes(text: str) -> list[tuple[str, int, int]]:
+    """Version-6 addresses, whole or compressed; a colon after one isn't part of it."""
+    out = []
+    for m in _SIX.finditer(text):
+        start, end = m.span()
+        if text[end - 1] == ":" != text[end - 2]:
+            end -= 1
+        try:
+            IPv6Address(text[start:end])
+        except ValueError:
+            continue
+        out.append(("ip", start, end))
     return out
 
 
@@ -110,11 +127,13 @@ def features(text: str, kind: str, start: int, end: int) -> list[float]:
     digits = "".join(_DIGIT.findall(span))
     groups = re.findall(r"[0-9]+", span)
     near = before.rsplit("\n", 1)[-1]
+    local = re.split(r"(?i)[\[({ ]at[\])} ]", span, maxsplit=1)[0].strip() if kind == "email" else ""
     return [
         KINDS.index(kind), len(span), len(digits), len(groups), max(map(len, groups), default=0), min(map(len, groups), default=0),
         float(luhn(digits)) if digits else 0.0, len(set(digits)), span.count("/"), span.count("."), span.count("-"), span.count(" "), float("(" in span and ")" in span),
         float(bool(re.search(r"[\[({](?:at|dot)", span.lower()))), float(" dot " in span.lower()), float(bool(re.search(r"(?i)(?:com|org|net|edu|io|de|fr|es|uk)$", span))),
         float(len(groups) == 3 and groups[0][:2] in ("19", "20") and len(groups[0]) == 4), float(before[-1:].isalnum()), float(after[:1].isalnum()),
+        span.count(":"), float("::" in span), float(bool(re.search(r"[0-9._%+-]", local))), float(". " in span), float(" at " in span.lower()),
         *[float(bool(p.search(near))) for _, p in _TELL],
     ]
 
@@ -169,13 +188,50 @@ def _examples(n: int, seed: int) -> list[tuple[str, int, int, str, int]]:
     return out
 
 
+def _further(n: int, seed: int) -> list[tuple[str, int, int, str, int]]:
+    """Such examples of addresses written with a plain dot, and of compressed version-6 addresses."""
+    r = random.Random(seed)
+    word = lambda: "".join(r.choice(("an", "er", "on", "th", "re", "st", "la", "de", "ou", "ing", "ver")) for _ in range(r.randint(1, 4)))
+    ending = lambda: r.choice(("com", "org", "net", "de", "fr", "es", "io"))
+    group = lambda: "%x" % r.choice((r.randrange(16), r.randrange(256), r.randrange(65536), r.randrange(65536)))
+    digit = re.compile(r"[0-9]")
+
+    def address() -> str:
+        head = r.choice(("2001:db8", "fe80", "fd00", "2a02:" + group(), "2606:" + group(), "", group() + ":" + group()))
+        tail = [group() for _ in range(r.randint(0 if head else 1, 4))]
+        out = head + "::" + ":".join(tail)
+        return out if digit.search(out) else address()
+
+    def one() -> tuple[str, str, str, int]:
+        what, filler = r.randrange(8), " ".join(word() for _ in range(r.randint(1, 6)))
+        if what in (0, 1):
+            return "email", r.choice((filler, "mail: ", "please mail ", "contact me: ", "write to ")), f"{word()}{r.choice('._-')}{r.choice((word(), str(r.randrange(100))))} at {word()}.{ending()}", 1
+        if what == 2:
+            return "email", filler, f"{word()} at {word()}.{ending()}", 0
+        if what == 3:
+            return "email", r.choice((filler, "mail ", "contact ", "write ")), f"{r.choice((word(), str(r.randrange(3000)), word() + '-' + word()))} at {word()}. {word().capitalize()}", 0
+        if what in (4, 5):
+            return "ip", r.choice(("login from ", "host ", "ip ", "ping ", filler)), address(), 1
+        if what == 6:
+            return "ip", r.choice(("class ", "call ", "use ", "namespace ", filler)), "::".join(r.choice(("a", "b", "add", "bad", "cafe", "face", "dead", "beef", "fed", "ace", "be", "de")) for _ in range(2)), 0
+        return "ip", r.choice(("serial ", "ref ", "version ", "id ")), ":".join(str(r.randrange(10, 100)) for _ in range(8)), 0
+
+    out = []
+    for _ in range(n):
+        kind, lead, span, truth = one()
+        text = f"{word()} {word()} {lead.strip()} {span}"
+        out.append((text + r.choice(("", ".", ", ", " ") if kind == "email" else ("", ", ", " ")) + " " + word(), len(text) - len(span), len(text), kind, truth))
+    return out
+
+
 @cache
 def model(n: int = 3000, seed: int = 11) -> tuple[Boosted, dict[str, float]]:
     """Trees, and for each kind the lowest threshold that reaches the precision on spans held out."""
-    made_up = _examples(n, seed)
+    made_up = _examples(n, seed) + _further(n // 2, seed)
+    random.Random(seed).shuffle(made_up)
     x = np.array([features(t, k, a, b) for t, a, b, k, _ in made_up])
     y, kinds = np.array([e[4] for e in made_up]), np.array([e[3] for e in made_up])
-    cut = 2 * n // 3
+    cut = 2 * len(made_up) // 3
     trees = Boosted().fit(x[:cut], y[:cut])
     p, truth, kinds = trees.probability(x[cut:]), y[cut:], kinds[cut:]
     least = {}

@@ -140,6 +140,25 @@ def test_added_spans():
     assert pii.redacted("a b@c.de f", [("email", 2, 8)]) == "a [EMAIL] f"
 
 
+def test_plain_dots_and_compressed_addresses():
+    trees, least = pii.model()
+    find = lambda t: [t[a:b] for _, a, b in pii.all_spans(t, trees, least)[1]]
+    assert find("please mail jane.doe at site.com today") == ["jane.doe at site.com"] == find("mail jane.doe at site.com today or the red dot here")
+    for x in ("2001:db8::1", "fe80::1ff:fe23:4567:890a", "::1", "2a02:26f0::", "2001:db8:0:0:1:0:0:1"):
+        for t in (f"login from {x} today", f"host {x}", f"host {x}, and", f"host:{x} up", f"[{x}]:443", f"ping {x}/64 now"):
+            assert [t[a:b] for _, a, b in pii.candidates(t)] == [x]
+        assert find(f"login from {x} today") == [x]
+    assert pii.candidates("2001:db8::1: down") == [("ip", 0, 11)]
+    for t in ("at 12:30:45 and 1:2:3", "mac 00:1a:2b:3c:4d:5e", "std::vector<int>::x", "1::2::3", "a:::b", "12345::1", ":" * 100_000, "1:" * 50_000):
+        assert pii.candidates(t) == []
+    for t in ("we stayed at home. Then we left.", "take a look at site.com today", "use add::face here"):
+        assert find(t) == []
+    made = pii._further(1500, 99)
+    got = np.array([any(a < e and s < b for _, a, b in pii.all_spans(t, trees, least)[1]) for t, s, e, _, _ in made])
+    truth = np.array([y for *_, y in made]) > 0
+    assert np.mean(~truth[got]) < 0.02 and np.mean(got[truth]) > 0.85
+
+
 def test_html_held_out_pages():
     field = html.trained()
     right = sum(html.main_text(page, field) == "\n\n".join(main) for page, main in (html.labelled_page(5_000_000 + i) for i in range(120)))

@@ -1,50 +1,88 @@
-"""Connected components by alternating large-star and small-star steps, on DataFrames."""
+"""Connected components by contraction, on DataFrames.
+
+Each round hangs every node on the neighbour that a hash of the round ranks least, itself included, and goes on with
+the edges between what they hang on. Ranks are drawn anew, so a path shrinks by half or so a round whatever its ids,
+and a star in one round; edges never grow in number.
+
+A node with very many edges would make one task of a join on nodes. Such hubs, at most MOST_HUBS by the way their
+least degree is set, are looked up by broadcast instead; all other joins see fewer edges a node than that degree.
+Minima are combined before their shuffle.
+"""
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Nodes of more than max(HUB_EDGES, edges / MOST_HUBS) edges are hubs: at most 2 * MOST_HUBS, of 16 bytes each.
+HUB_EDGES, MOST_HUBS = 64, 20_000
+
 
 def _cut(df: DataFrame) -> DataFrame:
-    """df computed and kept in the shared folder of spark.checkpoint.dir, or of our own where that is unset."""
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp()}")
-    return df.checkpoint()
+    """df, written as Parquet to the shared folder that spark.checkpoint.dir names, and reread.
 
+    Unlike a checkpoint, a table's size is known, so that small rounds are joined by broadcast.
+    """
+    spark = df.sparkSession
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not shared:
+        raise ValueError("spark.checkpoint.dir is not set: components need a folder that driver and executors share")
+    at = f"{shared}/components-{uuid.uuid4().hex}"
+    df.write.parquet(at)
+    return spark.read.schema(df.schema).parquet(at)
 
-def _star(edges: DataFrame, least: DataFrame) -> DataFrame:
-    """(u, v, m): each edge with the least vertex that u is told of."""
-    return edges.join(least.withColumnRenamed("u", "u0"), F.col("u") == F.col("u0")).select("u", "v", "m")
 
+def _looked_up(rows: DataFrame, at: str, stars: DataFrame, hubs: DataFrame | None) -> DataFrame:
+    """rows with column at replaced by what that node hangs on; nodes that aren't in stars stay as they are."""
+    others = [c for c in rows.columns if c != at]
+    pairs = stars.select(F.col("node").alias("_node"), F.col("to").alias("_to"))
+    if hubs is None:
+        return rows.join(pairs, F.col(at) == F.col("_node"), "left").select(*others, F.coalesce("_to", at).alias(at)).select(*rows.columns)
+    known = F.broadcast(hubs.select(F.col("node").alias("_hub"), F.col("to").alias("_at_hub")))
+    marked = rows.join(known, F.col(at) == F.col("_hub"), "left")
+    done = marked.where("_hub IS NOT NULL").select(*others, F.col("_at_hub").alias(at))
+    rest = marked.where("_hub IS NULL").join(pairs, F.col(at) == F.col("_node"), "left").select(*others, F.coalesce("_to", at).alias(at))
+    return done.select(*rows.columns).union(rest.select(*rows.columns))
 
-def connected(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+
+def connected(edges: DataFrame, most_rounds: int = 60, hub_edges: int = HUB_EDGES) -> DataFrame:
     """(node, label) of all nodes in edges (u, v): label is the least node that can be reached.
 
-    Each step hangs neighbours onto the least one that their node knows; path lengths shrink fast, so rounds grow
-    with the logarithm of the longest path. Minima are combined before the shuffle, and the join that takes them
-    back to the edges is one that Spark can split where a node has very many.
+    Null ends and edges from a node to itself make no node; edges may repeat and have either direction.
     """
-    now = _cut(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct())
-    seen = None
-    for _ in range(most_rounds):
-        both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = _star(both, least).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = _star(large, low).select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
-        now = _cut(small.where("u <> v").distinct())
-        mark = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if mark == seen:
+    now = _cut(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u IS NOT NULL AND v IS NOT NULL AND u <> v").distinct())
+    steps = []
+    for k in range(most_rounds):
+        count = now.count()
+        if not count:
             break
-        seen = mark
+        rank = lambda c: F.struct(F.xxhash64(F.col(c), F.lit(k)).alias("r"), F.col(c).alias("to"))  # noqa: B023, E731
+        both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        stars = both.groupBy("u").agg(F.min(rank("v")).alias("m"), F.count("*").alias("degree"))
+        stars = _cut(stars.select(F.col("u").alias("node"), F.least(rank("u"), "m")["to"].alias("to"), "degree"))
+        least = max(hub_edges, count // MOST_HUBS)
+        hubs = stars.where(F.col("degree") > least)
+        hubs = None if hubs.isEmpty() else hubs
+        steps.append((stars, hubs))
+        moved = _looked_up(_looked_up(now, "u", stars, hubs), "v", stars, hubs)
+        now = _cut(moved.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct())
     else:
         raise RuntimeError(f"components didn't settle in {most_rounds} rounds")
-    nodes = now.groupBy("u").agg(F.min("v").alias("label")).select(F.col("u").alias("node"), "label")
-    return nodes.union(now.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())
+    if not steps:
+        return now.select(F.col("u").alias("node"), F.col("v").alias("label"))
+    hangs = steps[0][0].select("node", F.col("to").alias("label"))
+    for stars, _ in steps[1:]:
+        # What has gathered at a label may be most of all rows, whatever its degree was.
+        heavy = hangs.groupBy("label").count().where(F.col("count") > hub_edges).orderBy(F.desc("count"), "label").limit(MOST_HUBS)
+        heavy = heavy.join(stars.select("node", "to"), F.col("label") == F.col("node"), "left").select(F.col("label").alias("node"), F.coalesce("to", "label").alias("to"))
+        hangs = _cut(_looked_up(hangs, "label", stars, _cut(heavy)))
+    least = hangs.groupBy("label").agg(F.min("node").alias("least"), F.count("*").alias("n"))
+    heavy = F.broadcast(least.where(F.col("n") > hub_edges).orderBy(F.desc("n"), "label").limit(MOST_HUBS).select(F.col("label").alias("_hub"), F.col("least").alias("_least")))
+    marked = hangs.join(heavy, F.col("label") == F.col("_hub"), "left")
+    rest = marked.where("_hub IS NULL").select("node", "label").join(least.select("label", "least"), "label").select("node", F.col("least").alias("label"))
+    return marked.where("_hub IS NOT NULL").select("node", F.col("_least").alias("label")).union(rest)
 
 
 def components_by_key(rows: DataFrame) -> DataFrame:
@@ -52,6 +90,7 @@ def components_by_key(rows: DataFrame) -> DataFrame:
 
     Each key hangs its ids on the least of them, so a key with very many ids makes as many edges, not their square.
     """
+    rows = rows.select("id", "key").distinct()
     least = rows.groupBy("key").agg(F.min("id").alias("first"))
     edges = rows.join(least, "key").where("id <> first").select(F.col("id").alias("u"), F.col("first").alias("v"))
     found = connected(edges)

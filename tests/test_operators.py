@@ -1,3 +1,5 @@
+import random
+
 from pyspark.sql import functions as F
 
 from tessera.operators import catalog, components
@@ -14,6 +16,26 @@ def test_components_of_path_star_and_cycle(spark):
     assert 300 not in got
 
 
+def test_components_of_random_graphs_with_hubs(spark):
+    r = random.Random(1)
+    for hub_edges in (1, 64):
+        edges = [(r.randrange(300), r.randrange(300)) for _ in range(220)] + [(1000, 1000 + i) for i in range(200)] + [(1100, 2000 - i) for i in range(90)] + [(None, 3), (5, None)]
+        parent = {}
+
+        def find(a, parent=parent):
+            while parent.setdefault(a, a) != a:
+                a = parent[a]
+            return a
+
+        for a, b in edges:
+            if a is not None and b is not None and a != b:
+                a, b = sorted((find(a), find(b)))
+                parent[b] = a
+        got = dict(rows(components.connected(spark.createDataFrame(edges, "u bigint, v bigint"), hub_edges=hub_edges)))
+        assert got == {a: find(a) for a in list(parent)}
+    assert components.connected(spark.createDataFrame([(1, 1)], "u bigint, v bigint")).count() == 0
+
+
 def test_components_by_key_leave_loners(spark):
     got = rows(components.components_by_key(spark.createDataFrame([(1, "a"), (2, "a"), (2, "b"), (3, "b"), (4, "c")], "id bigint, key string")))
     assert got == [(1, 1), (2, 1), (3, 1), (4, 4)]

@@ -5,8 +5,9 @@ the edges between what they hang on. Ranks are drawn anew, so a path shrinks by
 and a star in one round; edges never grow in number.
 
 A node with very many edges would make one task of a join on nodes. Such hubs, at most MOST_HUBS by the way their
-least degree is set, are looked up by broadcast instead; all other joins see fewer edges a node than that degree.
-Minima are combined before their shuffle.
+least degree is set, are looked up by broadcast instead; the others have fewer edges than that degree. Minima are
+combined before their shuffle. At the end each node follows what it hung on, through joins whose rows with one label
+Spark can split, since nothing but the join needs them together.
 """
 
 from __future__ import annotations
@@ -63,8 +64,8 @@ def connected(edges: DataFrame, most_rounds: int = 60, hub_edges: int = HUB_EDGE
         stars = both.groupBy("u").agg(F.min(rank("v")).alias("m"), F.count("*").alias("degree"))
         stars = _cut(stars.select(F.col("u").alias("node"), F.least(rank("u"), "m")["to"].alias("to"), "degree"))
         least = max(hub_edges, count // MOST_HUBS)
-        hubs = stars.where(F.col("degree") > least)
-        hubs = None if hubs.isEmpty() else hubs
+        hubs = stars.where(F.col("degree") > least) if count > hub_edges else None
+        hubs = None if hubs is None or hubs.isEmpty() else hubs
         steps.append((stars, hubs))
         moved = _looked_up(_looked_up(now, "u", stars, hubs), "v", stars, hubs)
         now = _cut(moved.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct())
@@ -72,17 +73,14 @@ def connected(edges: DataFrame, most_rounds: int = 60, hub_edges: int = HUB_EDGE
         raise RuntimeError(f"components didn't settle in {most_rounds} rounds")
     if not steps:
         return now.select(F.col("u").alias("node"), F.col("v").alias("label"))
-    hangs = steps[0][0].select("node", F.col("to").alias("label"))
-    for stars, _ in steps[1:]:
-        # What has gathered at a label may be most of all rows, whatever its degree was.
-        heavy = hangs.groupBy("label").count().where(F.col("count") > hub_edges).orderBy(F.desc("count"), "label").limit(MOST_HUBS)
-        heavy = heavy.join(stars.select("node", "to"), F.col("label") == F.col("node"), "left").select(F.col("label").alias("node"), F.coalesce("to", "label").alias("to"))
-        hangs = _cut(_looked_up(hangs, "label", stars, _cut(heavy)))
-    least = hangs.groupBy("label").agg(F.min("node").alias("least"), F.count("*").alias("n"))
-    heavy = F.broadcast(least.where(F.col("n") > hub_edges).orderBy(F.desc("n"), "label").limit(MOST_HUBS).select(F.col("label").alias("_hub"), F.col("least").alias("_least")))
-    marked = hangs.join(heavy, F.col("label") == F.col("_hub"), "left")
-    rest = marked.where("_hub IS NULL").select("node", "label").join(least.select("label", "least"), "label").select("node", F.col("least").alias("label"))
-    return marked.where("_hub IS NOT NULL").select("node", F.col("_least").alias("label")).union(rest)
+    hangs = None
+    for i, (stars, _) in enumerate(reversed(steps)):  # from the last and smallest, so that most lookups are broadcast
+        one = stars.select("node", F.col("to").alias("label"))
+        if hangs is not None:
+            one = one.join(hangs.select(F.col("node").alias("_node"), F.col("label").alias("_to")), F.col("label") == F.col("_node"), "left").select("node", F.coalesce("_to", "label").alias("label"))
+        hangs = _cut(one) if i % 4 == 3 else one
+    hangs = _cut(hangs)
+    return hangs.join(hangs.groupBy("label").agg(F.min("node").alias("least")), "label").select("node", F.col("least").alias("label"))
 
 
 def components_by_key(rows: DataFrame) -> DataFrame:

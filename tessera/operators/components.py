@@ -12,27 +12,17 @@ Spark can split, since nothing but the join needs them together.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.shared import keep
+
 #: Nodes of more than max(HUB_EDGES, edges / MOST_HUBS) edges are hubs: at most 2 * MOST_HUBS, of 16 bytes each.
 HUB_EDGES, MOST_HUBS = 64, 20_000
 
 
-def _cut(df: DataFrame) -> DataFrame:
-    """df, written as Parquet to the shared folder that spark.checkpoint.dir names, and reread.
-
-    Unlike a checkpoint, a table's size is known, so that small rounds are joined by broadcast.
-    """
-    spark = df.sparkSession
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not shared:
-        raise ValueError("spark.checkpoint.dir is not set: components need a folder that driver and executors share")
-    at = f"{shared}/components-{uuid.uuid4().hex}"
-    df.write.parquet(at)
-    return spark.read.schema(df.schema).parquet(at)
+def _keep(df: DataFrame) -> DataFrame:
+    return keep(df, "components")
 
 
 def _looked_up(rows: DataFrame, at: str, stars: DataFrame, hubs: DataFrame | None) -> DataFrame:
@@ -53,7 +43,7 @@ def connected(edges: DataFrame, most_rounds: int = 60, hub_edges: int = HUB_EDGE
 
     Null ends and edges from a node to itself make no node; edges may repeat and have either direction.
     """
-    now = _cut(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u IS NOT NULL AND v IS NOT NULL AND u <> v").distinct())
+    now = _keep(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u IS NOT NULL AND v IS NOT NULL AND u <> v").distinct())
     steps = []
     for k in range(most_rounds):
         count = now.count()
@@ -62,13 +52,13 @@ def connected(edges: DataFrame, most_rounds: int = 60, hub_edges: int = HUB_EDGE
         rank = lambda c: F.struct(F.xxhash64(F.col(c), F.lit(k)).alias("r"), F.col(c).alias("to"))  # noqa: B023, E731
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         stars = both.groupBy("u").agg(F.min(rank("v")).alias("m"), F.count("*").alias("degree"))
-        stars = _cut(stars.select(F.col("u").alias("node"), F.least(rank("u"), "m")["to"].alias("to"), "degree"))
+        stars = _keep(stars.select(F.col("u").alias("node"), F.least(rank("u"), "m")["to"].alias("to"), "degree"))
         least = max(hub_edges, count // MOST_HUBS)
         hubs = stars.where(F.col("degree") > least) if count > hub_edges else None
         hubs = None if hubs is None or hubs.isEmpty() else hubs
         steps.append((stars, hubs))
         moved = _looked_up(_looked_up(now, "u", stars, hubs), "v", stars, hubs)
-        now = _cut(moved.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct())
+        now = _keep(moved.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct())
     else:
         raise RuntimeError(f"components didn't settle in {most_rounds} rounds")
     if not steps:
@@ -78,8 +68,8 @@ def connected(edges: DataFrame, most_rounds: int = 60, hub_edges: int = HUB_EDGE
         one = stars.select("node", F.col("to").alias("label"))
         if hangs is not None:
             one = one.join(hangs.select(F.col("node").alias("_node"), F.col("label").alias("_to")), F.col("label") == F.col("_node"), "left").select("node", F.coalesce("_to", "label").alias("label"))
-        hangs = _cut(one) if i % 4 == 3 else one
-    hangs = _cut(hangs)
+        hangs = _keep(one) if i % 4 == 3 else one
+    hangs = _keep(hangs)
     return hangs.join(hangs.groupBy("label").agg(F.min("node").alias("least")), "label").select("node", F.col("least").alias("label"))
 
 

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import os
 import sys
 import tempfile
-import uuid
 import zipfile
 from pathlib import Path
 
@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.shared import keep, shared_dir  # noqa: F401
+
 #: A word, in every operator: a run of anything but space, tab, newline, vertical tab, form feed and return.
 WORD = r"[^\x20\x09-\x0D]+"
 #: The columns of documents, with their types.
@@ -63,15 +65,10 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
-    context = spark.sparkContext
-    at = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not at:
-        at = f"file://{tempfile.mkdtemp()}"
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(at)
-    return at if "://" in at else f"file://{at.removeprefix('file:')}"
+def settle(spark: SparkSession) -> None:
+    """Let Spark's cleaner take the shuffle files of finished steps; it looks only when the driver collects garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def store(uri: str):
@@ -87,13 +84,6 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def keep(df: DataFrame, name: str) -> DataFrame:
-    """df, written as Parquet to the shared folder and reread: columns can be pruned and filters pushed down."""
-    at = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(at)
-    return df.sparkSession.read.schema(df.schema).parquet(at)
-
-
 def small_batches(batches, rows: int = 512, size: int = 16 << 20):
     """Slices of at most so many rows and, beyond one row, about so many bytes."""
     for batch in batches:

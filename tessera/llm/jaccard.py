@@ -2,19 +2,21 @@
 
 A text is the set of its distinct n-word shingles, as 64-bit hashes; equal sets are one class. Sizes fall into bands
 so wide that sets similar enough lie in the same or in neighbouring bands, and instance i serves the pairs within
-band i-1 and between it and band i. There, similar sets differ in at most k features, so if the domain of features
-is dealt into k + 1 + e parts, they agree on at least 1 + e parts; of these at most e are empty in both, if one of
-them has at most e empty parts. A signature is the hash of a set's features in one part, so such pairs share a
-signature of a part that isn't empty. The few sets with more empty parts also give the signatures of a prefix
-filter, which finds pairs of two such sets. (This is PartEnum with one second-level part: enumerating subsets of
-more of them needs more signatures for the same k.)
-
-Candidates are verified exactly, on the sets. Within a group with one signature no pairs are made: first each class
-meets the least of all its groups; then, where groups still span several components, one drawn by hash from them; and
-what groups are left open are joined in blocks: their members, by connected groups, are cut into blocks of bounded
-size, and a task counts all intersections of two blocks at once and returns the links between components. So no
-link between components is lost. Groups are found in chunks first and only one member of each goes on, so a
-frequent signature is no large group.
+band i-1 and between it and band i. There, similar sets differ in at most k features.
+
+Signatures have two levels. The domain of features is dealt into k // 2 + 1 + e first-level parts, so that similar sets
+differ by at most one feature in at least 1 + e of these. Each is dealt into three second-level parts, and every
+subset of two of them is enumerated: its signature is a hash of the set's features there. One feature can spoil only
+one second-level part, so in each of those 1 + e parts one subset agrees. Subsets without features give no signature:
+a set that has such in at most e first-level parts shares a signature with every set similar to it. The few that
+have more are dealt again by other hashes, up to LEVELS times, and at the last their empty subsets sign as well. So no
+similar pair is missed.
+
+Groups of classes with one signature are gathered in chunks first, and only one member of each goes on to meet the
+others, so a frequent signature is no large group; groups of the same classes are one. Within a group, in blocks of
+bounded size, classes are compared by parity sketches: the parities of their features dealt into some bits differ in at
+most as many bits as the sets differ in features, so a sketch rules pairs out and never wrongly. What it leaves is
+verified on the sets: first each class's nearest, twice, and then all that still lie in different components.
 
 Defined results: null and blank text is the empty set, linked with nothing; shorter texts are one shingle; rows with
 equal sets are linked; component_id is the least doc_id, null only if all in it are null. Class keys have 64 bits.
@@ -22,20 +24,27 @@ equal sets are linked; component_id is the least doc_id, null only if all in it
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import DOCUMENT, cut, give_back, keep, made, pick, ship, small_batches, table
+from tessera.llm.common import DOCUMENT, give_back, keep, made, pick, settle, ship, small_batches, table
 from tessera.operators.components import connected
 
-CHUNK_BYTES = 16 << 20
+#: Bytes of sets after which a chunk ends; a larger set is a chunk of its own.
+CHUNK_BYTES = 24 << 20
+#: A filter has at most so many blocks of 64 bytes; beyond 5 million keys it lets more pass, and a join takes those out.
 MAX_BLOOM_BLOCKS = 1 << 17
 MEMBERS_A_SALT = 2000
-#: A block of an open cluster holds about so many sets and bytes.
-BLOCK_SETS, BLOCK_BYTES = 384, 6 << 20
+#: Members of a group that are compared at once with each other, or with so many others.
+BLOCK_MEMBERS = 1024
+#: How often a set with too many empty subsets is dealt anew.
+LEVELS = 8
+SUBSETS = ((0, 1), (0, 2), (1, 2))
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _P, _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -46,6 +55,10 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _seed(*numbers: int) -> np.uint64:
+    return np.uint64(xxhash.xxh3_64_intdigest(repr(numbers).encode()))
+
+
 class _Hashes(dict):
     def __missing__(self, word: bytes) -> int:
         if len(self) > 300_000:
@@ -72,10 +85,10 @@ def class_key(s: np.ndarray) -> int:
 
 
 class Bands:
-    """Size bands, and for each instance the number of parts and of empty ones that it allows for."""
+    """Size bands; for each instance the distance of similar sets, its first-level parts, and how many may be empty."""
 
     def __init__(self, num: int, den: int):
-        self.num, self.den, self.low, self.high = num, den, [1], [den // num]
+        self.num, self.den, self.low, self.high, self._parts = num, den, [1], [den // num], {}
 
     def of(self, size: int) -> int:
         while self.high[-1] < size:
@@ -83,32 +96,94 @@ class Bands:
             self.high.append(self.low[-1] * self.den // self.num)
         return int(np.searchsorted(np.array(self.high), size))
 
-    def parts(self, instance: int) -> tuple[int, int]:
+    def distance(self, instance: int) -> int:
         while len(self.high) <= instance:
             self.of(self.high[-1] + 1)
         most = self.high[instance] + (self.high[instance - 1] if instance else self.high[instance])
-        k = most * (self.den - self.num) // (self.den + self.num)
-        empty = 0 if k == 0 else 3 + k // 50
-        return k + 1 + empty, empty
-
-
-def signatures(s: np.ndarray, bands: Bands) -> np.ndarray:
-    """A set's signatures: for its two instances, and the prefix where it has too many empty parts."""
-    out, sparse = [], False
-    band = bands.of(len(s))
-    for instance in (band, band + 1):
-        parts, empty = bands.parts(instance)
-        at = ((s >> np.uint64(20)) % np.uint64(parts)).astype(np.int64)
-        total = np.zeros(parts, np.uint64)
-        np.add.at(total, at, s)
-        full = np.bincount(at, minlength=parts) > 0
-        sparse |= parts - int(full.sum()) > empty
-        where = np.flatnonzero(full)
-        out.append(_mix(total[where] + _P * (where.astype(np.uint64) + np.uint64(1)) + np.uint64(int(_A) * (instance + 1) % 2**64)))
-    if sparse:
-        prefix = len(s) - -(-bands.num * len(s) // bands.den) + 1
-        out.append(_mix(s[:prefix] ^ _B))
-    return np.concatenate(out)
+        return most * (self.den - self.num) // (self.den + self.num)
+
+    def parts(self, instance: int) -> tuple[int, int]:
+        """(first-level parts, e): e so that few of the smallest sets have more empty parts; any e is exact."""
+        if instance not in self._parts:
+            k, smallest = self.distance(instance), self.low[max(0, instance - 1)]
+            best = None
+            for e in range(0, 60 + k // 8):
+                n = k // 2 + 1 + e
+                mean = n * min(1.0, 3 * (1 - 2 / (3 * n)) ** smallest)
+                term, more = math.exp(-mean), 1.0
+                for i in range(e + 1):
+                    more -= term
+                    term *= mean / (i + 1)
+                if best is None or more < best[0] - 1e-12:
+                    best = (more, n, e)
+                if more < 0.02:
+                    break
+            self._parts[instance] = best[1:]
+        return self._parts[instance]
+
+    def bits(self, size: int) -> int:
+        """Bits of a sketch: a power of two, about 16 for each feature that similar sets may differ in."""
+        k = self.distance(self.of(size) + 1)
+        return 1 << max(6, (16 * k - 1).bit_length())
+
+
+def sketch(s: np.ndarray, bands: Bands) -> bytes:
+    """Parities of the features dealt into bits; halves of it, put together by exclusive or, are a shorter sketch."""
+    bits = bands.bits(len(s))
+    odd = np.bincount((_mix(s ^ _A) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def _signed(sets: list[np.ndarray], instance: int, level: int, bands: Bands) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For sets of bands that the instance serves: signatures, whose each is, and which sets have to be dealt anew."""
+    parts, empty = bands.parts(instance)
+    sizes = [len(s) for s in sets]
+    h = _mix(np.concatenate(sets) + _seed(instance, level))
+    at = np.repeat(np.arange(len(sets)), sizes) * parts
+    at += ((h >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
+    at *= 3
+    at += (h % np.uint64(3)).astype(np.int64)
+    total = np.zeros(len(sets) * parts * 3, np.uint64)
+    np.add.at(total, at, h)
+    count = np.bincount(at, minlength=len(total)).reshape(len(sets), parts, 3)
+    total = _mix(total ^ _B).reshape(len(sets), parts, 3)
+    place = np.arange(1, parts + 1, dtype=np.uint64) * _A
+    some_empty, out, owner, last = np.zeros((len(sets), parts), bool), [], [], level == LEVELS - 1
+    for i, (a, b) in enumerate(SUBSETS):
+        full = (count[:, :, a] + count[:, :, b]) > 0
+        some_empty |= ~full
+        sig = _mix(total[:, :, a] * np.uint64(3) + total[:, :, b] * np.uint64(5) + place + _seed(instance, level, i))
+        given = np.ones_like(full) if last else full
+        out.append(sig[given])
+        owner.append(np.nonzero(given)[0])
+    again = np.zeros(len(sets), bool) if last else some_empty.sum(axis=1) > empty
+    return np.concatenate(out), np.concatenate(owner), np.flatnonzero(again)
+
+
+def signatures(sets: list[np.ndarray], bands: Bands, at_once: int = 1 << 19) -> tuple[np.ndarray, np.ndarray]:
+    """All sets' signatures for both of their instances, and whose each is. Pairs that must be equal need none."""
+    by_instance: dict[int, list[int]] = {}
+    for i, s in enumerate(sets):
+        band = bands.of(len(s))
+        for instance in (band, band + 1):
+            if bands.distance(instance):
+                by_instance.setdefault(instance, []).append(i)
+    out, owner = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for instance, every in by_instance.items():
+        start = 0
+        while start < len(every):
+            end, size = start, 0
+            while end < len(every) and (end == start or size + len(sets[every[end]]) <= at_once):
+                size += len(sets[every[end]])
+                end += 1
+            some, level = np.array(every[start:end]), 0
+            while len(some):
+                sig, whose, again = _signed([sets[i] for i in some], instance, level, bands)
+                out.append(sig)
+                owner.append(some[whose])
+                some, level = some[again], level + 1
+            start = end
+    return np.concatenate(out), np.concatenate(owner)
 
 
 def _runs(keys: np.ndarray) -> np.ndarray:
@@ -128,43 +203,67 @@ def _grouped(sig: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return sig, key, least, key == least
 
 
-def classes(docs: DataFrame, n: int) -> DataFrame:
-    """(doc_id, n_shingles, key) for each row; key is null for the empty set."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("key", pa.int64())])
-
-    def run(batches):
-        hashes = _Hashes()
-        for b in small_batches(batches):
-            sets = [shingles(t, n, hashes) for t in b.column("text").to_pylist()]
-            yield made({"doc_id": b.column("doc_id"), "n_shingles": [len(s) for s in sets], "key": [class_key(s) if len(s) else None for s in sets]}, schema)
-
-    return docs.mapInArrow(run, "doc_id bigint, n_shingles bigint, key bigint")
+_PART = pa.schema([("part", pa.int32()), ("sig", pa.binary()), ("at", pa.binary()), ("known", pa.binary()), ("tree", pa.binary()), ("keys", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("sketches", pa.list_(pa.binary()))])
+_GROUP = "sig bigint, least bigint, key bigint, size int, sketch binary"
+#: A signature is shipped as so many bits; its part of the shuffle is told apart by more. A chance agreement does no harm.
+SHIPPED_BITS = 40
+
+
+def _packed_chunk(sets: dict[int, np.ndarray], number: int, parts: int, bands: Bands):
+    """A chunk's rows by part: its signatures, each with its class; groups within the chunk; its classes' sketches."""
+    every = np.fromiter(sets, np.int64, len(sets))
+    sig, owner = signatures(list(sets.values()), bands)
+    sig, key, least, first = _grouped(sig, every[owner])
+    full = lambda s: (((s % np.uint64(parts)) << np.uint64(SHIPPED_BITS)) | (s >> np.uint64(64 - SHIPPED_BITS))).view(np.int64)
+    tree = np.stack([full(sig[~first]), least[~first], key[~first]])
+    sig, key = sig[first], key[first]
+    part = (sig % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    ends = np.searchsorted(part[order], np.arange(parts + 1))
+    home = np.argsort(every % parts, kind="stable")
+    homes = np.searchsorted((every % parts)[home], np.arange(parts + 1))
+    for p in range(parts):
+        own, classes = order[ends[p] : ends[p + 1]], every[home[homes[p] : homes[p + 1]]]
+        inner = tree[:, (number + p) % parts :: parts]  # dealt out evenly, whatever the signature
+        if not (len(own) or inner.shape[1] or len(classes)):
+            continue
+        known, at = np.unique(key[own], return_inverse=True)
+        width = 2 if len(known) <= 1 << 16 else 4
+        shipped = np.ascontiguousarray((sig[own] >> np.uint64(64 - SHIPPED_BITS)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, : SHIPPED_BITS // 8])
+        row = [p, shipped.tobytes(), at.astype(f"<u{width}").tobytes(), known.tobytes(), np.ascontiguousarray(inner).tobytes(), classes, [len(sets[c]) for c in classes.tolist()], [sketch(sets[c], bands) for c in classes.tolist()]]
+        yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, _PART, strict=True)], schema=_PART)
+
+
+def _meet(rows: pa.Table) -> pa.Table:
+    """Groups of a part over all chunks, and each class that is at home there once."""
+    part, sigs, keys = rows.column("part")[0].as_py(), [], []
+    for sig, at, known in zip(*[rows.column(c).to_pylist() for c in ("sig", "at", "known")], strict=True):
+        size = SHIPPED_BITS // 8
+        wide = np.zeros((len(sig) // size, 8), np.uint8)
+        wide[:, :size] = np.frombuffer(sig, np.uint8).reshape(-1, size)
+        sigs.append(wide.view("<u8").ravel())
+        known = np.frombuffer(known, np.int64)
+        keys.append(known[np.frombuffer(at, "<u2" if len(known) <= 1 << 16 else "<u4")])
+    sig, key, least, first = _grouped(np.concatenate(sigs), np.concatenate(keys))
+    sig = (sig | (np.uint64(part) << np.uint64(SHIPPED_BITS))).view(np.int64)
+    inner = [np.frombuffer(x, np.int64).reshape(3, -1) for x in rows.column("tree").to_pylist()]
+    groups = np.concatenate([np.stack([sig[~first], least[~first], key[~first]]), *inner], axis=1)
+    flat = lambda c: np.array([x for c_ in rows.column(c).to_pylist() for x in c_], np.int64)
+    classes, place = np.unique(flat("keys"), return_index=True)
+    sketches = [x for s in rows.column("sketches").to_pylist() for x in s]
+    none, empty = pa.nulls(groups.shape[1], pa.int32()), pa.nulls(groups.shape[1], pa.binary())
+    out = [pa.table({"sig": groups[0].copy(), "least": groups[1].copy(), "key": groups[2].copy(), "size": none, "sketch": empty})]
+    gone = pa.nulls(len(classes), pa.int64())
+    out.append(pa.table({"sig": gone, "least": gone, "key": classes, "size": pa.array(flat("sizes")[place], pa.int32()), "sketch": pa.array([sketches[i] for i in place.tolist()], pa.binary())}))
+    give_back()
+    return pa.concat_tables(out)
 
 
 def candidate_groups(docs: DataFrame, n: int, bands: Bands, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """(sig, least, key) of every group with several classes: each other member with a lesser one of its group.
-
-    The rows of a group form a tree: members of a chunk hang on the chunk's least, these on the least of all.
-    """
-    spark = docs.sparkSession
-    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    schema = pa.schema([("part", pa.int32()), ("sig", pa.binary()), ("key", pa.binary()), ("tree", pa.binary())])
-
-    def chunk_rows(sets: dict[int, np.ndarray], number: int):
-        made_sigs = [signatures(s, bands) for s in sets.values()]
-        sig = np.concatenate(made_sigs)
-        key = np.repeat(np.fromiter(sets, np.int64, len(sets)), [len(x) for x in made_sigs])
-        sig, key, least, first = _grouped(sig, key)
-        tree = np.stack([sig[~first].view(np.int64), least[~first], key[~first]])
-        sig, key = sig[first], key[first]
-        part = (sig % np.uint64(parts)).astype(np.int64)
-        order = np.argsort(part, kind="stable")
-        ends = np.searchsorted(part[order], np.arange(parts + 1))
-        for p in range(parts):
-            own = order[ends[p] : ends[p + 1]]
-            inner = tree[:, (number + p) % parts :: parts]  # dealt out evenly, whatever the signature
-            if len(own) or inner.shape[1]:
-                yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([sig[own].tobytes()]), pa.array([key[own].tobytes()]), pa.array([np.ascontiguousarray(inner).tobytes()])], schema=schema)
+    """(sig, least, key) of every group of several classes, each other member with a lesser one of its group, and
+    (null, null, key, size, sketch) of every class. The rows of a group form a tree: members of a chunk hang on the
+    chunk's least, these on the least of all."""
+    parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches):
         hashes, sets, size, number = _Hashes(), {}, 0, 0
@@ -175,21 +274,101 @@ def candidate_groups(docs: DataFrame, n: int, bands: Bands, chunk_bytes: int = C
                     sets[k] = s
                     size += s.nbytes
             if size >= chunk_bytes:
-                yield from chunk_rows(sets, number)
+                yield from _packed_chunk(sets, number, parts, bands)
                 sets, size, number = {}, 0, number + 1
                 give_back()
         if sets:
-            yield from chunk_rows(sets, number)
+            yield from _packed_chunk(sets, number, parts, bands)
+        sets = {}
+        give_back()
+
+    packed = docs.select("text").mapInArrow(run, "part int, sig binary, at binary, known binary, tree binary, keys array<bigint>, sizes array<int>, sketches array<binary>")
+    return packed.groupBy("part").applyInArrow(_meet, _GROUP)
+
 
-    def meet(rows: pa.Table) -> pa.Table:
-        column = lambda name, kind: np.frombuffer(b"".join(rows.column(name).to_pylist()), kind)
-        sig, key, least, first = _grouped(column("sig", np.uint64), column("key", np.int64))
-        inner = [np.frombuffer(x, np.int64).reshape(3, -1) for x in rows.column("tree").to_pylist()]
-        every = np.concatenate([np.stack([sig[~first].view(np.int64), least[~first], key[~first]]), *inner], axis=1)
-        return pa.table({name: pa.array(np.ascontiguousarray(x)) for name, x in zip(("sig", "least", "key"), every, strict=True)})
+def distinct_members(groups: DataFrame) -> DataFrame:
+    """(sig, key) of all members; of groups of the same classes, one is left."""
+    tree = groups.where("sig IS NOT NULL")
+    members = tree.select("sig", "key").union(tree.select("sig", F.col("least").alias("key"))).distinct()
+    about = members.groupBy("sig").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("key")).alias("h"), F.bit_xor(F.xxhash64("key", F.lit(1))).alias("g"))
+    one = about.groupBy("n", "h", "g").agg(F.min("sig").alias("sig")).select("sig", "n")
+    return members.join(one, "sig").select("sig", "key", F.col("n").alias("members"))
 
-    packed = docs.select("text").mapInArrow(run, "part int, sig binary, key binary, tree binary")
-    return packed.groupBy("part").applyInArrow(meet, "sig bigint, least bigint, key bigint")
+
+def _near(sketches: list[bytes], sizes: np.ndarray, num: int, den: int, rows: slice, columns: slice) -> np.ndarray:
+    """Distances of sketches, rows by columns; -1 where sets can't be similar."""
+    width = min(map(len, sketches)) // 8
+    x = np.stack([np.bitwise_xor.reduce(np.frombuffer(s, np.uint64).reshape(-1, width), axis=0) for s in sketches])
+    a, b, la, lb = x[rows], x[columns], sizes[rows], sizes[columns]
+    most = (den - num) * (la[:, None] + lb[None, :]) // (den + num)
+    out = np.empty(most.shape, np.int64)
+    step = max(1, (4 << 20) // max(1, 8 * width * len(b)))
+    for i in range(0, len(a), step):
+        out[i : i + step] = np.bitwise_count(a[i : i + step, None, :] ^ b[None, :, :]).sum(axis=2)
+    low, high = np.minimum(la[:, None], lb[None, :]), np.maximum(la[:, None], lb[None, :])
+    return np.where((out <= most) & (den * low >= num * high), out, -1)
+
+
+def near_pairs(members: DataFrame, classes: DataFrame, labels: DataFrame | None, num: int, den: int, nearest: bool, block_members: int = BLOCK_MEMBERS) -> DataFrame:
+    """Pairs of a group that sketches don't rule out, between different components: (a, b, d), d the sketches' distance.
+
+    With nearest, each member's nearest of its group only, as (key, other, distance); else all, once for each group.
+    """
+    if labels is not None:
+        members = members.join(labels.select(F.col("node").alias("_node"), "label"), F.col("key") == F.col("_node"), "left").select("sig", "key", "members", F.coalesce("label", "key").alias("label"))
+        spread = members.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("sig")
+        members = members.join(spread, "sig", "left_semi")
+    else:
+        members = members.withColumn("label", F.col("key"))
+    rows = members.join(classes.select(F.col("key").alias("_key"), "size", "sketch"), F.col("key") == F.col("_key"))
+    blocks = F.ceil(F.col("members") / block_members).cast("int")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("key", "sig"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    rows = rows.select("sig", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "key", "label", "size", "sketch")
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("d", pa.int64())])
+
+    def compare(rows: pa.Table, low: int, high: int) -> pa.RecordBatch | None:
+        key, label, size = (rows.column(c).to_numpy() for c in ("key", "label", "size"))
+        if len(key) < 2 or (label == label[0]).all():
+            return None
+        split = int(np.searchsorted(rows.column("block").to_numpy(), high)) if low != high else 0
+        first, second = (slice(0, split), slice(split, None)) if low != high else (slice(None), slice(None))
+        if low != high and not 0 < split < len(key):
+            return None
+        d = _near(rows.column("sketch").to_pylist(), size.astype(np.int64), num, den, first, second)
+        d[label[first][:, None] == label[second][None, :]] = -1
+        if nearest:
+            far = np.where(d < 0, np.iinfo(np.int64).max, d)
+            i, j = np.arange(len(far)), far.argmin(axis=1)
+            ok = d[i, j] >= 0
+            a, b, at = key[first][i[ok]], key[second][j[ok]], d[i[ok], j[ok]]
+            if low != high:
+                j, i = np.arange(far.shape[1]), far.argmin(axis=0)
+                ok = d[i, j] >= 0
+                a, b, at = np.append(a, key[second][j[ok]]), np.append(b, key[first][i[ok]]), np.append(at, d[i[ok], j[ok]])
+        else:
+            i, j = np.nonzero(np.triu(d >= 0, 1) if low == high else d >= 0)
+            a, b, at = key[first][i], key[second][j], d[i, j]
+            a, b = np.minimum(a, b), np.maximum(a, b)
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(at)], schema=schema) if len(a) else None
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            one = pa.Table.from_batches([batch])
+            held = one if held is None else pa.concat_tables([held, one])
+            sig, low, high = (held.column(c).to_numpy() for c in ("sig", "low", "high"))
+            starts = np.flatnonzero((sig[1:] != sig[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])) + 1
+            if not len(starts):
+                continue
+            for a, b in zip([0, *starts[:-1].tolist()], starts.tolist(), strict=True):
+                if (out := compare(held.slice(a, b - a), low[a], high[a])) is not None:
+                    yield out
+            held = held.slice(int(starts[-1]))
+        if held is not None and held.num_rows and (out := compare(held, held.column("low")[0].as_py(), held.column("high")[0].as_py())) is not None:
+            yield out
+
+    together = rows.repartition(int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")), "sig", "low", "high")
+    return together.sortWithinPartitions("sig", "low", "high", "block", "key").mapInArrow(run, "a bigint, b bigint, d bigint")
 
 
 def _bloom(keys: DataFrame, most_blocks: int = MAX_BLOOM_BLOCKS) -> np.ndarray:
@@ -203,31 +382,6 @@ def _bloom(keys: DataFrame, most_blocks: int = MAX_BLOOM_BLOCKS) -> np.ndarray:
     return out
 
 
-def sets_of(docs: DataFrame, n: int, keys: DataFrame) -> DataFrame:
-    """(key, features) for the classes in keys, once each. A Bloom filter keeps most others from being shuffled."""
-    wanted = docs.sparkSession.sparkContext.broadcast(_bloom(keys))
-    schema = pa.schema([("key", pa.int64()), ("features", pa.binary())])
-
-    def run(batches):
-        hashes, given = _Hashes(), set()
-        for b in small_batches(batches):
-            out = []
-            for text in b.column("text").to_pylist():
-                s = shingles(text, n, hashes)
-                if len(s) and (k := class_key(s)) not in given:
-                    out.append((k, s))
-            if out:
-                held = _holds(wanted.value, np.array([k for k, _ in out], np.int64))
-                out = [x for x, ok in zip(out, held.tolist(), strict=True) if ok]
-                if len(given) > 1_000_000:
-                    given.clear()
-                given.update(k for k, _ in out)
-                yield made({"key": [k for k, _ in out], "features": [s.tobytes() for _, s in out]}, schema)
-
-    found = docs.select("text").mapInArrow(run, "key bigint, features binary")
-    return found.join(keys, "key", "left_semi").groupBy("key").agg(F.max("features").alias("features"))
-
-
 def _xxhash64(x: np.ndarray) -> np.ndarray:
     """Spark's xxhash64 of bigints, seed 42."""
     p1, p2, p3, p4, p5 = (np.uint64(p) for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
@@ -245,8 +399,36 @@ def _holds(filter_: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return np.all([(words[:, i] >> ((h >> np.uint64(6 * i + 4)) & np.uint64(63))) & np.uint64(1) for i in range(8)], axis=0)
 
 
+def classes_of(docs: DataFrame, n: int, wanted: DataFrame | None = None) -> DataFrame:
+    """(doc_id, mark, n_shingles, key, features) for each row (doc_id, text, mark); key is null for the empty set.
+
+    features, the set, stand once a task for the classes that a Bloom filter of wanted (key) lets pass.
+    """
+    held = docs.sparkSession.sparkContext.broadcast(_bloom(wanted)) if wanted is not None else None
+    schema = pa.schema([("doc_id", pa.int64()), ("mark", pa.int64()), ("n_shingles", pa.int64()), ("key", pa.int64()), ("features", pa.binary())])
+
+    def run(batches):
+        hashes, given = _Hashes(), set()
+        for b in small_batches(batches):
+            sets = [shingles(t, n, hashes) for t in b.column("text").to_pylist()]
+            keys = [class_key(s) if len(s) else None for s in sets]
+            features: list = [None] * len(sets)
+            if held is not None:
+                fresh = [i for i, k in enumerate(keys) if k is not None and k not in given]
+                ok = _holds(held.value, np.array([keys[i] for i in fresh], np.int64)).tolist() if fresh else []
+                if len(given) > 1_000_000:
+                    given.clear()
+                for i, yes in zip(fresh, ok, strict=True):
+                    if yes and keys[i] not in given:
+                        given.add(keys[i])
+                        features[i] = sets[i].tobytes()
+            yield made({"doc_id": b.column("doc_id"), "mark": b.column("mark"), "n_shingles": [len(s) for s in sets], "key": keys, "features": features}, schema)
+
+    return docs.mapInArrow(run, "doc_id bigint, mark bigint, n_shingles bigint, key bigint, features binary")
+
+
 def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Those of pairs (a, b) whose sets are similar enough, exactly.
+    """(u, v): those of the distinct pairs (a, b) whose sets are similar enough, exactly.
 
     b's set goes to a; a with very many partners is dealt out over salts, to each of which its own set goes too.
     """
@@ -281,125 +463,75 @@ def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
     return together.sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first()).mapInArrow(run, "u bigint, v bigint")
 
 
-def _open_members(groups: DataFrame, labels: DataFrame) -> DataFrame:
-    """(sig, key, label) of the groups that span several components."""
-    members = groups.select("sig", "key").union(groups.select("sig", F.col("least").alias("key"))).distinct()
-    members = members.join(labels, F.col("key") == F.col("node"), "left").select("sig", "key", F.coalesce("label", "key").alias("label"))
-    spread = members.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("sig")
-    return cut(members.join(spread, "sig", "left_semi"))
-
-
-def intersections(sets: list[np.ndarray]) -> np.ndarray:
-    """The sizes of all intersections of the sets, as a matrix whose upper half counts."""
-    m = len(sets)
-    doc = np.repeat(np.arange(m), [len(s) for s in sets])
-    _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    order = np.lexsort((doc, column))
-    doc, column = doc[order], column[order]
-    starts = np.cumsum(count) - count
-    out = np.zeros(m * m, np.int64)
-    for d in np.unique(count[(count > 1) & (count <= 24)]).tolist():  # in few sets: count their pairs
-        rows = doc[starts[count == d][:, None] + np.arange(d)]
-        for i in range(d):
-            for j in range(i + 1, d):
-                out += np.bincount(rows[:, i] * m + rows[:, j], minlength=m * m)
-    out = out.reshape(m, m)
-    many = np.flatnonzero(count > 24)
-    for i in range(0, len(many), 2048):  # in many: a product of incidence matrices
-        some = many[i : i + 2048]
-        x = np.zeros((m, len(some)), np.float32)
-        for c, (a, n) in enumerate(zip(starts[some].tolist(), count[some].tolist(), strict=True)):
-            x[doc[a : a + n], c] = 1
-        out += (x @ x.T).astype(np.int64)
-    return out
-
+def _nearest(found: DataFrame) -> DataFrame:
+    """Each class's nearest partner, as distinct pairs (a, b)."""
+    best = found.groupBy("a").agg(F.min(F.struct("d", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
+    return best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
-def open_links(members: DataFrame, sets: DataFrame, num: int, den: int, block_sets: int = BLOCK_SETS) -> DataFrame:
-    """(u, v): links between the components of members (sig, key, label), at least one for each two that are linked.
 
-    Members are compared if a chain of groups connects them, so all of a group are.
-    """
-    least = members.groupBy("sig").agg(F.min("key").alias("least"))
-    clusters = connected(members.join(least, "sig").select(F.col("key").alias("u"), F.col("least").alias("v")))
-    every = members.select("key", "label").distinct().join(clusters.withColumnRenamed("label", "cluster"), F.col("key") == F.col("node"))
-    every = cut(every.select("key", F.col("label").alias("part_of"), "cluster").join(sets, "key"))
-    size = every.groupBy("cluster").agg(F.greatest(F.ceil(F.count("*") / block_sets), F.ceil(F.sum(F.length("features")) / BLOCK_BYTES)).cast("int").alias("blocks"))
-    every = every.join(size, "cluster").withColumn("block", F.pmod(F.hash("key"), "blocks")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    every = every.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
-
-    def meet(rows: pa.Table) -> pa.Table:
-        u, v = [], []
-        label = rows.column("part_of").to_numpy()
-        if len(set(label.tolist())) > 1:
-            key = rows.column("key").to_numpy()
-            given = [np.frombuffer(x, np.uint64) for x in rows.column("features").to_pylist()]
-            both, n = intersections(given), np.array([len(s) for s in given])
-            i, j = np.nonzero(np.triu(den * both >= num * (n[:, None] + n[None, :] - both), 1) & (label[:, None] != label[None, :]))
-            seen = set()
-            for a, b in zip(i.tolist(), j.tolist(), strict=True):
-                pair = (min(label[a], label[b]), max(label[a], label[b]))
-                if pair not in seen:
-                    seen.add(pair)
-                    u.append(int(key[a]))
-                    v.append(int(key[b]))
-        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
-
-    return every.select("cluster", "low", "high", "key", "part_of", "features").groupBy("cluster", "low", "high").applyInArrow(meet, "u bigint, v bigint")
-
-
-def link_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+def _labelled(docs: DataFrame, n: int, num: int, den: int, chunk_bytes: int, block_members: int) -> DataFrame:
+    """(doc_id, mark, n_shingles, key, label) for each row (doc_id, text, mark); label is the class's component."""
+    spark, bands = docs.sparkSession, Bands(num, den)
+    groups = keep(candidate_groups(docs, n, bands, chunk_bytes), "groups")
+    settle(spark)
+    members = keep(distinct_members(groups), "members")
+    found = None
+    if not members.isEmpty():
+        classes = groups.where("sig IS NULL").select("key", "size", "sketch")
+        found = keep(near_pairs(members, classes, None, num, den, True, block_members), "near")
+        found = None if found.isEmpty() else found
+    if found is None:
+        return classes_of(docs, n).select("doc_id", "mark", "n_shingles", "key", F.col("key").alias("label"))
+    pairs = keep(_nearest(found), "pairs")
+    rows = keep(classes_of(docs, n, found.select(F.col("a").alias("key")).distinct()), "rows")
+    sets = keep(rows.where("features IS NOT NULL").groupBy("key").agg(F.max("features").alias("features")), "sets")
+    edges = keep(verified(pairs, sets, num, den), "edges")
+    settle(spark)
+    for nearest in (True, False):
+        labels = keep(connected(edges), "labels")
+        more = near_pairs(members, classes, labels, num, den, nearest, block_members)
+        more = _nearest(more) if nearest else more.select("a", "b").distinct()
+        more = keep(more.join(pairs, ["a", "b"], "left_anti"), "more")
+        if more.isEmpty() and not nearest:
+            break
+        edges = keep(edges.union(verified(more, sets, num, den)), "edges")
+        pairs = pairs.union(more)
+        settle(spark)
+    else:
+        labels = keep(connected(edges), "labels")
+    some = rows.select("doc_id", "mark", "n_shingles", "key")
+    return some.join(labels.select("node", "label"), F.col("key") == F.col("node"), "left").select(*some.columns, F.coalesce("label", "key").alias("label"))
+
+
+def link_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, chunk_bytes: int = CHUNK_BYTES, block_members: int = BLOCK_MEMBERS) -> DataFrame:
     """(doc_id, n_shingles, key, component_id) for each row of docs."""
     ship(docs.sparkSession)
-    docs = pick(docs, {"doc_id": "bigint", "text": "string"})
-    bands = Bands(num, den)
-    rows = keep(classes(docs, n), "classes")
-    groups = keep(candidate_groups(docs, n, bands, chunk_bytes), "groups")
-    nothing = docs.sparkSession.createDataFrame([], "node bigint, label bigint")
-    pairs = cut(groups.groupBy(F.col("key").alias("b")).agg(F.min("least").alias("a")).select("a", "b"))
-    labels = nothing
-    if not pairs.isEmpty():
-        wanted = groups.select("key").union(groups.select(F.col("least").alias("key"))).distinct()
-        sets = keep(sets_of(docs, n, cut(wanted)), "sets")
-        edges = cut(verified(pairs, sets, num, den))
-        labels = cut(connected(edges))
-        open_ = _open_members(groups, labels)
-        if not open_.isEmpty():
-            drawn = open_.groupBy("sig").agg(F.min_by(F.struct("key", "label"), F.xxhash64("sig", "key")).alias("p"))
-            more = open_.join(drawn, "sig").where("label <> p.label").groupBy("key").agg(F.min_by("p.key", F.xxhash64("key", "sig")).alias("other"))
-            more = more.select(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b"))
-            more = cut(more.distinct().join(pairs, ["a", "b"], "left_anti"))
-            edges = cut(edges.union(verified(more, sets, num, den)))
-            labels = cut(connected(edges))
-            open_ = _open_members(groups, labels)
-            if not open_.isEmpty():
-                labels = cut(connected(edges.union(open_links(open_, sets, num, den))))
-    by_key = rows.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("first_id"))
-    by_key = by_key.join(labels, F.col("key") == F.col("node"), "left").select("key", "first_id", F.coalesce("label", "key").alias("label"))
-    least = by_key.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    by_key = by_key.join(least, "label").select(F.col("key").alias("k"), "component_id")
-    joined = rows.where("key is not null").join(by_key, F.col("key") == F.col("k")).select("doc_id", "n_shingles", "key", "component_id")
-    alone = rows.where("key is null").select("doc_id", "n_shingles", "key", F.col("doc_id").alias("component_id"))
-    return joined.unionByName(alone)
-
-
-def keep_first(docs: DataFrame, **how) -> DataFrame:
-    """Documents without near-duplicates: of each component the row with the least doc_id; empty texts stay."""
-    docs = pick(docs, DOCUMENT)
-    n = how.get("n", 5)
-    found = link_components(docs, **how)
-    first = found.where("key is not null").groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("f")).select(F.col("f.doc_id").alias("d"), F.col("f.key").alias("k"))
-    kinds = {"bigint": pa.int64(), "string": pa.string()}
-    schema = pa.schema([*[(c, kinds[k]) for c, k in DOCUMENT.items()], ("key", pa.int64())])
+    docs = pick(docs, {"doc_id": "bigint", "text": "string"}).withColumn("mark", F.lit(0).cast("bigint"))
+    rows = keep(_labelled(docs, n, num, den, chunk_bytes, block_members), "labelled")
+    least = rows.where("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("n"))
+    # Components of one row need no join.
+    several = least.where("n > 1").select(F.col("label").alias("l"), "component_id")
+    joined = rows.join(several, F.col("label") == F.col("l"), "left")
+    return joined.select("doc_id", "n_shingles", "key", F.when(F.col("l").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
-    def run(batches):
-        hashes = _Hashes()
-        for b in small_batches(batches):
-            sets = [shingles(t, n, hashes) for t in b.column("text").to_pylist()]
-            yield made({**{c: b.column(c) for c in DOCUMENT}, "key": [class_key(s) if len(s) else None for s in sets]}, schema)
 
-    keyed = docs.mapInArrow(run, ", ".join([*[f"{c} {k}" for c, k in DOCUMENT.items()], "key bigint"]))
-    stay = keyed.join(first, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("key") == F.col("k"))).dropDuplicates(["doc_id", "key"])
-    return stay.select(*DOCUMENT).unionByName(keyed.where("key is null").select(*DOCUMENT))
+def keep_first(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, chunk_bytes: int = CHUNK_BYTES, block_members: int = BLOCK_MEMBERS) -> DataFrame:
+    """Documents without near-duplicates: of each component the row with the least doc_id (null last); empty texts stay.
+
+    Of rows of one doc_id that differ in text, that whose text has the least 64-bit hash stays; of repeated rows, one,
+    with the least (lang, source, n_chars), nulls first.
+    """
+    ship(docs.sparkSession)
+    docs = pick(docs, DOCUMENT)
+    marked = docs.withColumn("mark", F.xxhash64("text"))
+    rows = keep(_labelled(marked.select("doc_id", "text", "mark"), n, num, den, chunk_bytes, block_members), "labelled")
+    full = rows.where("label IS NOT NULL")
+    first = full.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")).alias("f"))
+    chosen = first.select(F.coalesce("f.doc_id", F.lit(0)).alias("d"), F.col("f.none").alias("z"), F.col("f.mark").alias("m"))
+    keyed = marked.select("*", F.coalesce("doc_id", F.lit(0)).alias("d"), F.col("doc_id").isNull().alias("z"), F.col("mark").alias("m"), F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]").alias("full"))
+    stay = keyed.where("full").join(chosen, ["d", "z", "m"])
+    one = stay.withColumn("at", F.row_number().over(Window.partitionBy("d", "z", "m").orderBy("lang", "source", "n_chars"))).where("at = 1")
+    return one.select(*DOCUMENT).unionByName(keyed.where("NOT full").select(*DOCUMENT))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -159,33 +159,39 @@ def near_copies():
     return rows + [(len(rows) + i, t) for i, t in enumerate(["", None, "  \n", "A b", "a B", "a b C D", "A B C D"])]
 
 
-@pytest.mark.parametrize(("n", "num", "den"), [(4, 85, 100), (2, 60, 100)])
+@pytest.mark.parametrize(("n", "num", "den"), [(4, 85, 100), (2, 60, 100), (1, 50, 100)])
 def test_components_by_all_pairs(spark, n, num, den):
     rows = near_copies()
     df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.link_components(df, n=n, num=num, den=den, chunk_bytes=20_000).collect()}
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.link_components(df, n=n, num=num, den=den, chunk_bytes=20_000, block_members=8).collect()}
     assert got == jaccard_components(rows, n, num, den)
 
 
-def test_open_groups_in_blocks(spark):
-    """Sets that all share one group but are similar only in a chain; small blocks."""
+def test_sketches_never_rule_out_similar_sets():
+    draw, bands = np.random.default_rng(4), jaccard.Bands(4, 5)
+    for _ in range(400):
+        a = np.unique(draw.integers(0, 2**63, draw.integers(1, 900), dtype=np.uint64))
+        b = np.unique(np.append(a[draw.random(len(a)) > draw.random() * 0.2], draw.integers(0, 2**63, draw.integers(0, 1 + len(a) // 8), dtype=np.uint64)))
+        if not len(b):
+            continue
+        sizes = np.array([len(a), len(b)])
+        d = jaccard._near([jaccard.sketch(a, bands), jaccard.sketch(b, bands)], sizes, 4, 5, slice(0, 1), slice(1, 2))[0, 0]
+        both = len(np.intersect1d(a, b))
+        if 5 * both >= 4 * (sizes.sum() - both):
+            assert 0 <= d <= sizes.sum() - 2 * both
+            sig, owner = jaccard.signatures([a, b], bands)
+            assert sizes[0] == sizes[1] == both or set(sig[owner == 0].tolist()) & set(sig[owner == 1].tolist())
+
+
+@pytest.mark.parametrize("block_members", [300, 1024])
+def test_one_group_of_many_near_copies(spark, block_members):
+    """3000 copies of one text, each with a few words of its own: many pairs link, and many lie just beyond."""
     r = random.Random(5)
-    base = [f"v{i}" for i in range(120)]
-    rows = [(i, " ".join(base[(i * 3) : (i * 3) + 60])) for i in range(20)]
-    sets = {i: jaccard.shingles(t, 1, jaccard._Hashes()) for i, t in rows}
-    members = spark.createDataFrame([(7, jaccard.class_key(s), jaccard.class_key(s)) for s in sets.values()], "sig bigint, key bigint, label bigint")
-    table = spark.createDataFrame([(jaccard.class_key(s), bytearray(s.tobytes())) for s in sets.values()], "key bigint, features binary")
-    links = {frozenset((x.u, x.v)) for x in jaccard.open_links(members, table, 85, 100, block_sets=4).collect()}
-    key = {i: jaccard.class_key(s) for i, s in sets.items()}
-    want = {frozenset((key[i], key[j])) for i in sets for j in sets if i < j and 100 * len(np.intersect1d(sets[i], sets[j])) >= 85 * len(np.union1d(sets[i], sets[j]))}
-    assert links == want and want and r
-
-
-def test_intersections():
-    draw = np.random.default_rng(4)
-    sets = [np.unique(draw.integers(0, 200, draw.integers(1, 150))).astype(np.uint64) for _ in range(60)]
-    both = jaccard.intersections(sets)
-    assert all(both[i, j] == len(np.intersect1d(sets[i], sets[j])) for i in range(60) for j in range(i + 1, 60))
+    base = [f"v{i}" for i in range(60)]
+    rows = [(i, " ".join(w if r.random() > 0.01 else f"x{r.randrange(10**6)}" for w in base)) for i in range(3000)] + [(5000 + i, " ".join(base[::-1])) for i in range(900)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in jaccard.link_components(df, 4, 85, 100, block_members=block_members).collect()}
+    assert got == jaccard_components(rows, 4, 85, 100)
 
 
 def test_odd_near_duplicates(spark):

@@ -1,7 +1,7 @@
 """Main text of HTML pages: a linear-chain conditional random field over DOM leaf blocks, decoded by Viterbi.
 
 A page is read once into leaf blocks, runs of text between the bounds of block elements; each knows its open
-elements by what their tags, classes, ids and roles say. The field has a weight for each feature of a block and for
+elements by what their tags, classes, ids and roles say, and the nearest that says anything apart. The field has a weight for each feature of a block and for
 each pair of neighbouring verdicts (main text or not). It is trained here on labelled pages that `labelled_page`
 composes at random from the parts that pages are made of, by gradient ascent on the exact log-likelihood.
 
@@ -39,21 +39,40 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 LIKE_P = frozenset(("p", "h1", "h2", "h3", "h4", "h5", "h6"))
 ENDS_OWN = {"li": ("ul", "ol", "menu"), "td": ("tr", "table"), "th": ("tr", "table"), "tr": ("table",), "dt": ("dl",), "dd": ("dl",), "option": ("select",)}
-GROUPS = tuple(
-    (name, re.compile(rf"(?:^|[\s_-])(?:{words})", re.I))
-    for name, words in (
-        ("menu", "nav|menu|breadcrumb|toolbar|tabs|pagination"),
-        ("head", "site-?header|page-?header|header|masthead|banner|logo|topbar"),
-        ("foot", "footer|copyright|legal|colophon|bottom|imprint"),
-        ("side", "sidebar|aside|widget|rail|complementary|related|recommend|popular|trending"),
-        ("ad", "ads?(?:$|[\\s_-])|advert|sponsor|promo|adsbox|adslot|banner-?ad"),
-        ("notice", "cookie|consent|notice|alert|gdpr|popup|modal|overlay|warning|dialog"),
-        ("talk", "comment|disqus|respond|replies|reply|discussion|reader"),
-        ("form", "form|login|search|subscribe|newsletter|sign-?up"),
-        ("share", "share|social|follow"),
-        ("text", "article|content|post|entry|story|main|body|text|prose"),
-    )
-)
+#: What the parts of class names, ids and roles say, as whole words. In one name, text gives way to any other group.
+GROUPS = {
+    "menu": "nav navs navbar navigation menu menus menubar breadcrumb breadcrumbs toolbar tabs pagination pager subnav topnav sidenav",
+    "head": "header siteheader pageheader masthead banner logo topbar",
+    "foot": "foot footer sitefooter pagefooter copyright legal colophon bottom imprint",
+    "side": "sidebar sidebars aside widget widgets rail complementary related recommend recommended recommendations popular trending",
+    "ad": "ad ads advert adverts advertisement advertisements advertising sponsor sponsors sponsored promo promos promotion adsbox adslot adbox adsense",
+    "notice": "cookie cookies consent notice notices alert alerts gdpr popup popups modal overlay warning dialog",
+    "talk": "comment comments commentlist disqus respond replies reply discussion discussions reader readers",
+    "form": "form forms login search searchbox subscribe subscription newsletter newsletters signup signin register",
+    "share": "share sharing social follow",
+    "text": "article articles content contents post posts entry story stories main body text prose",
+}
+_GROUP_OF = {word: group for group, words in GROUPS.items() for word in words.split()}
+#: A name with such a part tells of what an element lacks, or how a page is laid out.
+_STATES = frozenset("no not non without with has have hide free is layout".split())
+#: Names that begin so and end in a word of text, or are such a word, outweigh other names of their element.
+_STRONG = frozenset("article post entry story prose".split())
+_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+
+
+def said_by(names: str) -> frozenset:
+    """The groups that an element's names belong to."""
+    out, strong = set(), False
+    for name in names.split():
+        parts = [p.lower() for p in _PARTS.findall(name)]
+        groups = {_GROUP_OF[p] for p in parts if p in _GROUP_OF}
+        if not groups or not _STATES.isdisjoint(parts):
+            continue
+        strong |= groups == {"text"} and parts[0] in _STRONG
+        out |= groups - {"text"} or groups
+    return frozenset({"text"} if strong else out)
+
+
 _TAGS = frozenset("article main section nav header footer aside form figure table ul ol blockquote pre dialog button select label details fieldset menu head address".split())
 _SAYS = (
     ("rights", re.compile(r"©|\(c\)|copyright|all rights|droits|derechos|rechte", re.I)),
@@ -61,6 +80,8 @@ _SAYS = (
     ("sign", re.compile(r"subscribe|sign (?:up|in)|log ?in|newsletter|password|e-?mail", re.I)),
     ("sold", re.compile(r"advert|sponsor|promo|buy now|offer", re.I)),
 )
+#: Where a block says that it is inside the text, its place on the page says nothing.
+_INSIDE = frozenset(("in article", "in main", "named text"))
 _END = re.compile(r"[.!?…。:;][\"'»”)]?$")
 
 
@@ -93,29 +114,28 @@ def tags(page: str):
 def leaf_blocks(page: str | None):
     """(text, features) of each leaf block with text, in page order."""
     page = page or ""
-    root = ("", frozenset())
-    stack: list[tuple[str, frozenset]] = [root]
+    stack: list[tuple[str, frozenset, frozenset]] = [("", frozenset(), frozenset())]
     held: list[str] = []
     linked, in_link = 0, 0
     out = []
 
-    def own(tag: str, attributes: str) -> frozenset:
-        more = set()
-        if tag in _TAGS:
-            more.add(f"in {tag}")
-        if "=" in attributes:
+    def opened(tag: str, attributes: str) -> tuple[str, frozenset, frozenset]:
+        """The element with what it and those around it say, and what the nearest that says anything does."""
+        _, around, nearest = stack[-1]
+        more = {f"in {tag}"} if tag in _TAGS else set()
+        if "=" in attributes and tag not in ("html", "body"):
             names = " ".join(x for a, b, c in _NAMES.findall(attributes) if (x := a or b or c))
-            if names:
-                more.update(f"named {g}" for g, p in GROUPS if p.search(names))
+            more.update(f"named {g}" for g in (said_by(names) if names else ()))
+        near = frozenset(f"nearest {x}" for x in more) or nearest
         if attributes and _HIDDEN.search(attributes) and _HIDDEN.search(_OTHER.sub(lambda m: m[1] or "=", attributes)):
             more.add("hidden")
-        return frozenset(more)
+        return tag, around | more, near
 
     def flush() -> None:
         nonlocal linked
         text = " ".join(_html.unescape("".join(held)).split())
         if text:
-            out.append((text, [*stack[-1][1], *told(text, linked, stack[-1][0])]))
+            out.append((text, [*stack[-1][1], *stack[-1][2], *told(text, linked, stack[-1][0])]))
         held.clear()
         linked = 0
 
@@ -153,7 +173,7 @@ def leaf_blocks(page: str | None):
                     pop_to(p, ("article", "div", "section", "body", "li", "td", "blockquote"))
             if tag in ENDS_OWN:
                 pop_to(tag, ENDS_OWN[tag])
-            stack.append((tag, stack[-1][1] | own(tag, attributes)))
+            stack.append(opened(tag, attributes))
     if at < len(page):
         held.append(page[at:] if not page[at:].startswith("<") or " " in page[at : at + 2] else "")
     flush()
@@ -176,10 +196,8 @@ def placed(blocks: list) -> list[tuple[str, list[str]]]:
     n = len(blocks)
     for i, (_, features) in enumerate(blocks):
         features.append("any")
-        if i == 0:
-            features.append("first")
-        if i == n - 1:
-            features.append("last")
+        if n > 1 and not _INSIDE.intersection(features):
+            features += ["first"] if i == 0 else ["last"] if i == n - 1 else []
     return blocks
 
 
@@ -305,16 +323,25 @@ def labelled_page(seed: int) -> tuple[str, list[str]]:
         if r.random() < 0.1:
             parts.append(talk())
         inner = "".join(parts)
+        if r.random() < 0.12:
+            return some(inner, f"<div>{inner}</div>", f'<div class="{some("col-8", "page", "wrap", "container", word())}">{inner}</div>')
+        if r.random() < 0.3:
+            tag, noise = some("article", "article", "main", "div"), [f"post-{r.randint(1, 9999)}", *r.sample(("no-sidebar", "has-header", "page-with-nav", "content-sidebar", "ads-free", "commentary", "hentry", "has-thumbnail", "layout-wide", "without-comments", word()), r.randint(0, 3))]
+            r.shuffle(noise)
+            return f'<{tag} class="{some("article-body ", "post ", "entry-content ", "") if tag != "div" else some("post-content ", "article-body ")}{" ".join(noise)}">{inner}</{tag}>'
         return some(f"<article>{inner}</article>", f"<article>{inner}</article>", f"<main>{inner}</main>", f'<div class="{some("content", "post-body", "entry-content", "article-text", "story")}">{inner}</div>', f"<main><article>{inner}</article></main>", f'<section class="post">{inner}</section>')
 
-    before = [f() for f in (head, menu, notice, ad, side, form) if r.random() < 0.45]
+    bare = r.random() < 0.12
+    before = [] if bare else [f() for f in (head, menu, notice, ad, side, form) if r.random() < 0.45]
     r.shuffle(before)
     body = article()
-    after = [f() for f in (talk, side, ad, form, notice, menu) if r.random() < 0.35]
+    after = [] if bare else [f() for f in (talk, side, ad, form, notice, menu) if r.random() < 0.35]
     r.shuffle(after)
-    if r.random() < 0.85:
+    if not bare and r.random() < 0.85:
         after.append(foot())
-    page = f"<!DOCTYPE html><html><head><title>{sentence(1, 5)}</title><style>p{{margin:0}}</style><script>var t='</p>';</script></head><body>{''.join(before)}{body}{''.join(after)}{some('</body></html>', '')}"
+    start, end = some(("", ""), ("", ""), ('<div id="page" class="site">', "</div>"), ('<div class="wrapper">', "</div>"), ('<div class="container row">', "</div>"))
+    names = some("", "", "", ' class="no-sidebar has-header"', ' class="page-with-nav home blog"', ' id="top" class="js ads sidebar"')
+    page = f"<!DOCTYPE html><html><head><title>{sentence(1, 5)}</title><style>p{{margin:0}}</style><script>var t='</p>';</script></head><body{names}>{start}{''.join(before)}{body}{''.join(after)}{end}{some('</body></html>', '')}"
     return page, main
 
 

@@ -193,6 +193,38 @@ def test_html_attributes_of_any_length(size, quote):
     assert [t for t, _ in html.leaf_blocks(f"<p title=it{quote}s>One.</p><p>It{quote}s two.</p>")] == ["One.", f"It{quote}s two."]
 
 
+ONE = "<p>One short sentence stands here.</p>"
+TWO = "<p>A second one follows it, and it is somewhat longer than the first.</p>"
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        (f"<article>{ONE}</article>", 1),
+        *[(f'<article class="{c}">{ONE}{TWO}</article>', 2) for c in ("no-sidebar", "has-header", "page-with-nav", "article-body content-sidebar", "ads-free", "commentary", "")],
+        *[(f'<body class="{c}"><article>{ONE}{TWO}</article></body>', 2) for c in ("no-sidebar has-header", "sidebar menu footer", "js ads")],
+        (f"<html><body><main>{ONE}</main></body></html>", 1),
+        (f"<body><h1>A title of words</h1>{ONE}{TWO}</body>", 3),
+        (f"<nav><a href=x>Home</a></nav><article>{ONE}</article><footer>(c) 2020 Somebody</footer>", 1),
+        (f"<div class=wrap><div class=sidebar><h3>Other</h3>{TWO}</div><div class=entry-content>{ONE}{TWO}</div></div><div class=comments>{ONE}</div>", 2),
+        (f"<header class=site-header><h1>Site</h1></header><article><h1>A title of words</h1>{ONE}<aside class=widget>{TWO}</aside>{TWO}</article><div id=disqus>{ONE}</div><footer>{ONE}</footer>", 3),
+        (f"<div class=cookie-notice>{TWO}</div><div id=main><div class=post>{ONE}{TWO}<div class=post-footer>Shared by many.</div></div></div>", 2),
+    ],
+)
+def test_html_pages_that_no_composer_made(page, want):
+    got = html.main_text(page, html.trained()).split("\n\n")
+    said = ["A title of words", "One short sentence stands here.", "A second one follows it, and it is somewhat longer than the first."]
+    assert got == {1: said[1:2], 2: said[1:], 3: said}[want]
+
+
+def test_html_rows(spark):
+    rows = [(1, "u", f"<article>{ONE}</article>", 1), (1, "u", f"<article>{ONE}</article>", 2), (2, None, None, 3), (None, "v", "", 4), (3, "w", " \n ", 5)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string, n_chars int").selectExpr("*", "'x' as text", "html as HTML2")
+    got = sorted(map(tuple, html.extract(df).collect()), key=repr)
+    assert got == sorted([(1, "u", "One short sentence stands here.", 31)] * 2 + [(2, None, "", 0), (None, "v", "", 0), (3, "w", "", 0)], key=repr)
+    assert html.extract(df.where("false")).count() == 0
+
+
 def test_html_telling_words_anywhere_in_a_block():
     long = "Some words that say nothing come first here. " * 40
     for word, name in (("All rights reserved.", "rights"), ("Your privacy.", "cookies"), ("Sign up!", "sign"), ("A sponsor.", "sold")):

@@ -7,24 +7,29 @@ cosine. Parts are cut into blocks of bounded size by a hash, and a part's querie
 whole part, however many rows fall into one. Of equal vectors in a block only those with the smallest ids can be
 among the nearest, so the others aren't scored.
 
-Defined results: a vector that is null, empty, zero, or holds a null or non-finite component takes no part, nor
-does one of another length than the commonest, nor a null vec_id; rows with the query's vec_id are the query's own;
-fewer candidates than k give fewer rows; ties go to the smaller vec_id.
+The parts are learned for vectors of the commonest length. Those of each other length are a part of their own, which
+their queries search whole.
+
+Defined results: a vector that is null, empty, zero, or holds a null or non-finite component takes no part, nor does a
+null vec_id; a query's candidates are the vectors of its length; rows with the query's vec_id are the query's own; fewer
+candidates than k give fewer rows; ties go to the smaller vec_id.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import cut, made, pick, ship, small_batches, table
+from tessera.llm.common import keep, made, pick, ship, small_batches, table
 
 #: Vectors that the parts are fitted on; neighbours in the graph; rows a block and queries a chunk at most, about.
 SAMPLE_ROWS, NEIGHBOURS = 4096, 12
 BLOCK_ROWS, CHUNK_QUERIES = 4096, 1024
-PARTS, TARGET_RECALL = 16, 0.96
+#: Parts grow with the rows, a part for each ROWS_A_PART, between these bounds.
+PARTS, MOST_PARTS, ROWS_A_PART, TARGET_RECALL = 64, 256, 1 << 16, 0.93
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -142,7 +147,7 @@ def _matrix(column: pa.ChunkedArray | pa.Array, dims: int) -> np.ndarray:
     return np.frombuffer(raw, "<f8").reshape(-1, dims)
 
 
-def search(vectors: DataFrame, every: int = 50, k: int = 5, parts: int = PARTS, target: float = TARGET_RECALL, sample_rows: int = SAMPLE_ROWS, block_rows: int = BLOCK_ROWS, chunk_queries: int = CHUNK_QUERIES) -> DataFrame:
+def search(vectors: DataFrame, every: int = 50, k: int = 5, parts: int | None = None, target: float = TARGET_RECALL, sample_rows: int = SAMPLE_ROWS, block_rows: int = BLOCK_ROWS, chunk_queries: int = CHUNK_QUERIES) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of each row whose vec_id is divisible by every."""
     spark = vectors.sparkSession
     ship(spark)
@@ -154,24 +159,34 @@ def search(vectors: DataFrame, every: int = 50, k: int = 5, parts: int = PARTS,
     if lengths is None:
         return none
     dims = lengths.n
-    v = v.where(F.size("embedding") == dims)
-    sample = v.orderBy(F.xxhash64("vec_id"), "vec_id").select("embedding").limit(sample_rows).collect()
+    parts = parts or max(PARTS, min(MOST_PARTS, lengths["count"] // ROWS_A_PART))
+    sample = v.where(F.size("embedding") == dims).orderBy(F.xxhash64("vec_id"), "vec_id").select("embedding").limit(sample_rows).collect()
     router, probes = fit(np.array([r.embedding for r in sample]), parts, k, target)
     schema = pa.schema([("vec_id", pa.int64()), ("vector", pa.binary()), ("part", pa.int64()), ("probed", pa.list_(pa.int64()))])
 
     def assign(batches):
         for b in small_batches(batches, 4096):
-            x = np.array(b.column("embedding").flatten().to_numpy(zero_copy_only=False), float).reshape(-1, dims)
-            order, ids = router.order(unit(x)), b.column("vec_id").to_numpy(zero_copy_only=False)
-            asks = ids % every == 0
-            yield made({"vec_id": ids, "vector": [r.tobytes() for r in x.astype("<f8")], "part": order[:, 0], "probed": [o.tolist() if a else None for o, a in zip(order[:, :probes], asks, strict=True)]}, schema)
-
-    indexed = cut(v.mapInArrow(assign, "vec_id bigint, vector binary, part bigint, probed array<bigint>"))
+            ids, lists = b.column("vec_id").to_numpy(zero_copy_only=False), b.column("embedding")
+            sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+            flat = np.array(lists.flatten().to_numpy(zero_copy_only=False), "<f8")
+            ends = np.cumsum(sizes)
+            # A part for each length but the commonest, numbered by it below zero.
+            part, probed = -sizes.astype(np.int64), [[-int(n)] for n in sizes]
+            usual = np.flatnonzero(sizes == dims)
+            if len(usual):
+                x = flat[(ends[usual] - dims)[:, None] + np.arange(dims)]
+                order = router.order(unit(x))
+                part[usual] = order[:, 0]
+                for i, o in zip(usual.tolist(), order[:, :probes].tolist(), strict=True):
+                    probed[i] = o
+            yield made({"vec_id": ids, "vector": [flat[e - n : e].tobytes() for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)], "part": part, "probed": [o if i % every == 0 else None for o, i in zip(probed, ids.tolist(), strict=True)]}, schema)
+
+    indexed = keep(v.mapInArrow(assign, "vec_id bigint, vector binary, part bigint, probed array<bigint>"), "indexed")
     asking = indexed.where("probed is not null").select(F.col("vec_id").alias("query_id"), F.col("vector").alias("question"), F.explode("probed").alias("part"))
     # One row a part: how many blocks it has and how many chunks its queries make.
     counts = indexed.groupBy("part").count().select("part", F.ceil(F.col("count") / block_rows).cast("int").alias("blocks"))
     asked = asking.groupBy("part").count().select("part", F.ceil(F.col("count") / chunk_queries).cast("int").alias("chunks"))
-    plan = F.broadcast(cut(counts.join(asked, "part")))  # at most as many rows as there are parts
+    plan = keep(counts.join(asked, "part"), "plan")  # a row for each part and length; broadcast where that is small
     rows = indexed.join(plan, "part").select("vec_id", "vector", "part", F.pmod(F.xxhash64("vec_id"), "blocks").alias("block"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1).cast("array<bigint>")).alias("chunk"))
     asking = asking.join(plan, "part").select("query_id", "question", F.col("part").alias("part"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1).cast("array<bigint>")).alias("block"), F.pmod(F.xxhash64("query_id"), "chunks").alias("chunk"))
     out = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
@@ -179,6 +194,7 @@ def search(vectors: DataFrame, every: int = 50, k: int = 5, parts: int = PARTS,
     def meet(candidates: pa.Table, queries: pa.Table) -> pa.Table:
         found = []
         if candidates.num_rows and queries.num_rows:
+            dims = len(queries.column("question")[0].as_py()) // 8
             found = nearest(queries.column("query_id").to_numpy(), _matrix(queries.column("question"), dims), candidates.column("vec_id").to_numpy(), _matrix(candidates.column("vector"), dims), k)
         return pa.table(dict(zip(out.names, zip(*found, strict=True), strict=True)) if found else {f.name: [] for f in out}, schema=out)
 

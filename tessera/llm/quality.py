@@ -166,9 +166,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, max_
     good = pick(labels, {"doc_id": "bigint", "quality": "int"}).dropna().groupBy("doc_id").agg(F.min("quality").alias("quality"))
     good = good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     some = pick(docs, {"doc_id": "bigint", "text": "string"}).join(F.broadcast(good.select("doc_id")), "doc_id")
-    rows = {}
-    for r in rule_statistics(some.select("doc_id", "text")).where(f"n_words >= {MIN_WORDS} AND 100 * n_repeat_words <= {MAX_REPEAT} * n_words").select("doc_id", "rates").limit(4 * sample_rows).collect():
-        rows[r.doc_id] = min(tuple(r.rates), rows.get(r.doc_id, tuple(r.rates)))
+    # Of rows with one doc_id the least rates count: at most sample_rows rows reach the driver.
+    fine = rule_statistics(some.select("doc_id", "text")).where(f"n_words >= {MIN_WORDS} AND 100 * n_repeat_words <= {MAX_REPEAT} * n_words")
+    rows = {r.doc_id: tuple(r.rates) for r in fine.groupBy("doc_id").agg(F.min("rates").alias("rates")).collect()}
     quality = {r.doc_id: r.quality for r in good.collect()}
     if len(rows) < 8:
         return None, float("inf")

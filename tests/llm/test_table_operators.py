@@ -117,8 +117,9 @@ def test_token_files(spark, sf_dir):
         assert [r.doc_id or -1 for r in got] == sorted(r.doc_id or -1 for r in got) or any(r.doc_id == 0 for r in got)
 
 
-def test_neighbours(spark, sf_dir):
-    v = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.1"])
+def test_neighbours(spark, sf):
+    v = spark.read.parquet(f"/root/testdata/{sf}/embeddings.parquet")
     rows = [(r.vec_id, [float(x) for x in r.embedding]) for r in v.collect()]
     got = {}
     for r in ann.search(v).collect():
@@ -139,11 +140,14 @@ def test_neighbours(spark, sf_dir):
 def test_neighbours_of_odd_vectors(spark):
     same = [(i, [1.0, 2.0]) for i in range(0, 400)]
     odd = [(1000, None), (1050, []), (1100, [0.0, 0.0]), (1150, [None, 1.0]), (1200, [float("nan"), 1.0]), (1250, [1.0, 2.0, 3.0]), (None, [1.0, 1.0]), (1300, [float("inf"), 1.0])]
+    odd += [(2000 + i, [1.0, float(i), 0.0]) for i in range(60)]
     df = spark.createDataFrame(same + odd, "vec_id bigint, embedding array<double>").selectExpr("*", "vec_id as part")
     got = {}
     for r in ann.search(df, block_rows=50, chunk_queries=3).collect():
         got.setdefault(r.query_id, []).append(r.vec_id)
-    assert set(got) == set(range(0, 400, 50)) and all(sorted(v) == [i for i in range(6) if i != q][:5] for q, v in got.items())
+    assert set(got) == {*range(0, 400, 50), 1250, 2000, 2050}
+    assert all(sorted(got[q]) == [i for i in range(6) if i != q][:5] for q in range(0, 400, 50))
+    assert sorted(got[2050]) == [2048, 2049, 2051, 2052, 2053] and len(got[1250]) == 5
     assert ann.search(df.where("false")).count() == 0 and ann.search(spark.createDataFrame([(0, [1.0])], "vec_id bigint, embedding array<double>")).count() == 0
 
 

@@ -11,6 +11,9 @@ from tessera.functions.text import collapse, relative_path
 SPACE_RANK = {"repo": 0, "url": 1, "registry": 2, "npm": 3, "pypi": 4, "smithery": 5, "skill": 0, "plugin": 1}
 OTHER_RANK, VALUE_CHARS = 99, 220
 REPO_HOSTS = ("github.com", "gitlab.com", "bitbucket.org")
+OWNER, REPO = "^[A-Za-z0-9_.-]{1,64}$", "^[A-Za-z0-9_.-]{1,100}$"
+DIALABLE, URL_CHARS = r"^https://[^/@{#]+(?:/[^{#]*)?$", 512
+DEEP_LINKS = ("tree", "blob", "src")
 
 
 def mint(kind: str, space: str, value: Column) -> Column:
@@ -50,18 +53,30 @@ def url_key(kind: str, url: Column) -> Column:
     return mint(kind, "url", F.when(host == "", F.trim(url)).otherwise(F.concat(host, F.regexp_replace(url_path(url), "/+$", ""))))
 
 
+#: Host, owner, repository and the rest of a repository's URL.
+REPO_URL = r"^(?:git\+)?https?://(?:[^/?#]*@)?(?i:www\.)?((?i:" + "|".join(h.replace(".", r"\.") for h in REPO_HOSTS) + r"))(?::[^/?#]*)?/+([A-Za-z0-9_.-]{1,64})/+([A-Za-z0-9_.-]{1,100}?)(?:\.git)?(?:/+([^?#]*))?(?:[?#].*)?$"
+
+
 def repo_of(url: Column) -> Column:
-    """struct<host, owner, repo, subpath> of a repository URL, else null."""
-    plain = F.regexp_replace(collapse(url, 513), r"^git\+", "")
-    host = F.regexp_replace(F.regexp_replace(url_host(plain), ":.*$", ""), r"^www\.", "")
-    parts = F.filter(F.split(url_path(plain), "/"), lambda s: s != "")
-    owner, repo = F.try_element_at(parts, F.lit(1)), F.regexp_replace(F.try_element_at(parts, F.lit(2)), r"\.git$", "")
-    rest = F.slice(parts, 3, 1000)
-    rest = F.when((F.size(rest) >= 2) & F.try_element_at(rest, F.lit(1)).isin("tree", "blob", "src"), F.slice(rest, 3, 1000)).otherwise(rest)
-    fine = plain.rlike("^https?://") & host.isin(*REPO_HOSTS) & owner.rlike("^[A-Za-z0-9_.-]{1,64}$") & repo.rlike("^[A-Za-z0-9_.-]{1,100}$")
-    return F.when(fine, F.struct(host.alias("host"), F.lower(owner).alias("owner"), F.lower(repo).alias("repo"), relative_path(F.array_join(rest, "/"), 200).alias("subpath")))
+    """struct<host, owner, repo, subpath> of a repository URL, else null. A deep link's branch isn't part of the path."""
+    plain = collapse(url, 513)
+    part = lambda i: F.regexp_extract(plain, REPO_URL, i)
+    rest = F.regexp_replace(part(4), "^(?:" + "|".join(DEEP_LINKS) + ")/+[^/]+(?:/+|$)", "")
+    return F.when(plain.rlike(REPO_URL), F.struct(F.lower(part(1)).alias("host"), F.lower(part(2)).alias("owner"), F.lower(part(3)).alias("repo"), relative_path(rest, 200).alias("subpath")))
+
+
+def repo_named(name: Column) -> Column:
+    """The same struct for owner/repo, which means GitHub; else null."""
+    parts = F.filter(F.split(F.regexp_replace(F.trim(name), r"\.git$", ""), "/"), lambda s: s != "")
+    owner, repo = F.try_element_at(parts, F.lit(1)), F.try_element_at(parts, F.lit(2))
+    return F.when(owner.rlike(OWNER) & repo.rlike(REPO), F.struct(F.lit("github.com").alias("host"), F.lower(owner).alias("owner"), F.lower(repo).alias("repo"), F.lit("").alias("subpath")))
+
+
+def repo_key(kind: str, repo: Column) -> Column:
+    place = F.concat_ws("/", repo["host"], repo["owner"], repo["repo"])
+    return F.when(repo.isNotNull(), mint(kind, "repo", F.concat(place, F.when(repo["subpath"] != "", F.concat(F.lit("#"), repo["subpath"])).otherwise(""))))
 
 
 def dialable(url: Column) -> Column:
-    """An https endpoint that can be called as it stands: no template, fragment or user part."""
-    return F.coalesce(url.rlike(r"^https://[^/?#@{}\s]+(?:[/?][^#{}\s]*)?$") & (F.length(url) <= 512), F.lit(False))
+    """An https endpoint that can be called as it stands: no template, fragment or user part, not too long."""
+    return F.coalesce(url.rlike(DIALABLE) & (F.length(url) <= URL_CHARS), F.lit(False))

@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.shared import keep
+
+#: Sets of a key that meet in one task; overrides that are broadcast.
+SETS_A_BLOCK, MOST_BROADCAST = 1000, 10_000
+
 
 def first_wins(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """One row a key: the first in a total order."""
@@ -39,16 +44,23 @@ def lend(df: DataFrame, key: str, signals: list[str]) -> DataFrame:
 def ambiguous(claims: DataFrame) -> DataFrame:
     """(key) of claims (key, claimant, space, value): some two claimants hold disjoint value sets in one space.
 
-    Where every claimant holds one value, more than one distinct value decides, without a join. Else distinct sets
-    meet pairwise, by key and space.
+    Where every claimant holds one value, more than one distinct value decides, without a join. Else distinct sets that
+    have no value in common meet by key and space.
     """
     held = claims.groupBy("key", "space", "claimant").agg(F.array_sort(F.collect_set("value")).alias("held"))
-    sets = held.groupBy("key", "space", "held").agg(F.lit(1).alias("one"))
+    sets = held.groupBy("key", "space", "held").agg(F.lit(1).alias("one")).select("key", "space", "held")
     shape = sets.groupBy("key", "space").agg(F.max(F.size("held")).alias("widest"), F.count("*").alias("n")).where("n > 1")
     plain = shape.where("widest = 1").select("key")
-    wide = sets.join(shape.where("widest > 1").select("key", "space"), ["key", "space"], "left_semi")
-    a, b = wide.alias("a"), wide.alias("b")
-    met = a.join(b, F.expr("a.key = b.key AND a.space = b.space AND a.held < b.held AND NOT arrays_overlap(a.held, b.held)")).select("a.key")
+    wide = sets.join(shape.where("widest > 1").select("key", "space", "n"), ["key", "space"])
+    # A value that all sets of a key hold leaves no two of them disjoint.
+    common = wide.select("key", "space", "n", F.explode("held").alias("value")).groupBy("key", "space", "value").agg(F.count("*").alias("holders"), F.first("n").alias("n")).where("holders = n")
+    wide = wide.join(common.select("key", "space").distinct(), ["key", "space"], "left_anti")
+    # The rest meet in blocks, so that a key with very many sets is many small tasks; a set leaves at its first match.
+    blocks = F.ceil(F.col("n") / SETS_A_BLOCK).cast("int")
+    dealt = wide.withColumn("block", F.pmod(F.hash("held"), blocks))
+    a = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).alias("a")
+    b = dealt.alias("b")
+    met = a.join(b, F.expr("a.key = b.key AND a.space = b.space AND a.other = b.block AND a.held < b.held AND NOT arrays_overlap(a.held, b.held)"), "left_semi").select("key")
     return plain.union(met).distinct()
 
 
@@ -68,29 +80,42 @@ def deny(entries: DataFrame, index: DataFrame, denied: DataFrame) -> tuple[DataF
 def overlay(entries: DataFrame, overrides: DataFrame, fields: list[str]) -> DataFrame:
     """Entries (key, fields...) corrected by overrides (key, fields map<string,string>); unmatched ones are created.
 
-    Adds curated_fields, what an override set, sorted and comma-joined. Overrides are written by people, so few.
+    Adds curated_fields, what an override set, sorted and comma-joined. Overrides are written by people: up to
+    MOST_BROADCAST of them are broadcast, so that entries aren't shuffled; more are joined as any other table.
     """
-    both = entries.join(overrides.select(F.col("key").alias("o_key"), F.col("fields").alias("o")), F.col("key") == F.col("o_key"), "full_outer")
+    given = overrides.select(F.col("key").alias("o_key"), F.col("fields").alias("o"))
+    few = given.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST
+    met = entries.join(F.broadcast(given) if few else given, F.col("key") == F.col("o_key"), "left").withColumn("created", F.lit(False))
+    known = entries.select("key").join(F.broadcast(given.select("o_key")) if few else given.select("o_key"), F.col("key") == F.col("o_key"), "left_semi").distinct()
+    absent = given.join(known, F.col("o_key") == F.col("key"), "left_anti")
+    new = absent.select(F.col("o_key").alias("key"), *[F.lit(None).cast(entries.schema[f].dataType).alias(f) for f in fields], "o", F.lit(True).alias("created"))
+    both = met.select("key", *fields, "o", "created").unionByName(new)
     put = [F.when(F.coalesce(F.map_contains_key("o", F.lit(f)), F.lit(False)), F.col("o")[f]).otherwise(F.col(f)).alias(f) for f in fields]
     named = F.array_join(F.array_sort(F.filter(F.map_keys("o"), lambda k: k.isin(*fields))), ",")
-    return both.select(F.coalesce("key", "o_key").alias("key"), *put, F.coalesce(named, F.lit("")).alias("curated_fields"), F.col("key").isNull().alias("created"))
+    return both.select("key", *put, F.coalesce(named, F.lit("")).alias("curated_fields"), "created")
 
 
-def assign_slugs(entries: DataFrame) -> DataFrame:
-    """(key, slug, given): entries (key, rank, slug) get unique slugs, the first by (rank, key) the plain one.
+def assign_slugs(entries: DataFrame, most_rounds: int = 100) -> DataFrame:
+    """(key, slug, given): entries (key, rank, slug) get unique slugs, as if served one by one in order of (rank, key).
 
-    A loser gets 27 characters and four hex digits of its key's hash, or 23 and eight where that is taken by a plain
-    slug or by an earlier loser. Two windows, by slug and by suffixed slug; no driver loop.
+    Each asks for its plain slug, then for 27 characters and four hex digits of its key's hash, then for 23 and eight. In
+    a round every slug goes to the first in order of those who ask for it, and the others ask for their next; that ends
+    where serving one by one ends. Who finds the last one taken too fails the allocation. Keys are distinct.
     """
-    by = Window.partitionBy("slug").orderBy("rank", "key")
     digest = F.sha2(F.col("key").cast("string"), 256)
-    tried = entries.withColumn("_n", F.row_number().over(by)).withColumn("_short", F.concat_ws("_", F.substring("slug", 1, 27), F.substring(digest, 1, 4)))
-    tried = tried.withColumn("_long", F.concat_ws("_", F.substring("slug", 1, 23), F.substring(digest, 1, 8)))
-    plain = tried.where("_n = 1").select(F.col("slug").alias("_taken"))
-    again = Window.partitionBy("_short").orderBy("rank", "key")
-    losers = tried.where("_n > 1").withColumn("_m", F.row_number().over(again)).join(plain, F.col("_short") == F.col("_taken"), "left")
-    given = F.when((F.col("_m") == 1) & F.col("_taken").isNull(), F.col("_short")).otherwise(F.col("_long"))
-    return tried.where("_n = 1").select("key", "slug", F.col("slug").alias("given")).union(losers.select("key", "slug", given.alias("given")))
+    asks = F.array("slug", F.concat_ws("_", F.substring("slug", 1, 27), F.substring(digest, 1, 4)), F.concat_ws("_", F.substring("slug", 1, 23), F.substring(digest, 1, 8)))
+    now = entries.select("key", "rank", "slug").withColumns({"asks": asks, "turn": F.lit(1)})
+    for _ in range(most_rounds):
+        now = keep(now, "slugs")
+        wanted = now.withColumn("given", F.element_at("asks", F.col("turn")))
+        first = wanted.groupBy("given").agg(F.min(F.struct("rank", "key")).alias("first"), F.count("*").alias("n")).where("n > 1").select("given", F.col("first.key").alias("holder"))
+        if first.isEmpty():
+            return wanted.select("key", "slug", "given")
+        met = wanted.join(first, "given", "left")
+        now = met.select("key", "rank", "slug", "asks", F.when(F.col("holder").isNull() | (F.col("holder") == F.col("key")), F.col("turn")).otherwise(F.col("turn") + 1).alias("turn"))
+        if (lost := now.where("turn > 3").select("key", "slug").first()) is not None:
+            raise ValueError(f"slug {lost.slug!r} of {lost.key!r} is taken, and so are its hashed ones")
+    raise RuntimeError(f"slugs didn't settle in {most_rounds} rounds")
 
 
 def diff(before: DataFrame, after: DataFrame) -> DataFrame:

@@ -9,8 +9,11 @@ FETCH = "source_id string, url string, sha256 string, entry_count bigint, page_c
 
 
 def fetches(spark: SparkSession, at: str) -> DataFrame:
-    """The headers and records of every *.json below a directory."""
-    return spark.read.schema(FETCH).option("multiLine", True).option("pathGlobFilter", "*.json").json(at)
+    """The headers and records of every *.json below a directory, by source id; none at all is an error."""
+    found = spark.read.schema(FETCH).option("multiLine", True).option("pathGlobFilter", "*.json").json(at)
+    if found.isEmpty():
+        raise ValueError(f"no recorded crawl in {at}")
+    return found.orderBy("source_id")
 
 
 def records(fetched: DataFrame) -> DataFrame:

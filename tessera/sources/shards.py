@@ -49,7 +49,12 @@ def write_shards(lines: DataFrame, root: str, kind: str) -> int:
 
 
 def scan_shards(spark: SparkSession, root: str, kind: str) -> DataFrame:
-    """(shard, key, line) of the published lines of a kind."""
+    """(shard, line, key) of the published lines of a kind; a directory that isn't there has none."""
+    from pyarrow import fs
+
+    files, base = fs.FileSystem.from_uri(root)
+    if files.get_file_info(f"{base}/{kind}").type == fs.FileType.NotFound:
+        return spark.createDataFrame([], "shard string, line string, key string")
     lines = spark.read.text(f"{root}/{kind}", pathGlobFilter="*.jsonl").select(F.regexp_extract(F.input_file_name(), "([0-9a-f]{2})[.]jsonl$", 1).alias("shard"), F.col("value").alias("line"))
     return lines.withColumn("key", F.get_json_object("line", "$.canonical_key"))
 

@@ -1,5 +1,7 @@
+import hashlib
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators import catalog, components
@@ -44,6 +46,9 @@ def test_components_by_key_leave_loners(spark):
 def test_overlapping_sets_are_not_ambiguous(spark):
     claims = [("r", 1, "npm", "a"), ("r", 2, "npm", "a"), ("r", 2, "npm", "b"), ("s", 1, "npm", "a"), ("s", 2, "npm", "b"), ("t", 1, "npm", "a"), ("t", 1, "npm", "b"), ("t", 2, "npm", "c")]
     assert rows(catalog.ambiguous(spark.createDataFrame(claims, "key string, claimant int, space string, value string"))) == [("s",), ("t",)]
+    # u: a ring of overlapping pairs, far apart ones disjoint; v: all hold one value.
+    more = [("u", i, "npm", f"p{j % 9}") for i in range(9) for j in (i, i + 1)] + [("v", i, "npm", x) for i in range(9) for x in ("all", f"p{i}")]
+    assert rows(catalog.ambiguous(spark.createDataFrame(more, "key string, claimant int, space string, value string"))) == [("u",)]
 
 
 def test_slugs_are_unique_and_the_strongest_keeps_its_own(spark):
@@ -52,6 +57,27 @@ def test_slugs_are_unique_and_the_strongest_keeps_its_own(spark):
     assert got["k0"] == "notion" and got["k3"] == "x" and len(set(got.values())) == 4 and got["k1"].startswith("notion_")
 
 
+def test_slugs_go_out_as_if_one_by_one(spark):
+    digest = lambda k: hashlib.sha256(k.encode()).hexdigest()
+
+    def served(entries):
+        taken, out = set(), {}
+        for rank, key, slug in sorted((r, k, s) for k, r, s in entries):
+            out[key] = next(x for x in (slug, f"{slug[:27]}_{digest(key)[:4]}", f"{slug[:23]}_{digest(key)[:8]}") if x not in taken)
+            taken.add(out[key])
+        return out
+
+    chain = [("k0", 0, "notion"), ("k1", 0, "notion"), ("k9", 0, "notion_" + digest("k1")[:4])]
+    many = [(f"m{i}", i % 3, f"s{i % 7}") for i in range(300)]
+    early = [("z", 3, "notion_" + digest("k1")[:4])]
+    for entries in (chain, many, chain + many + early):
+        got = {k: g for k, _, g in rows(catalog.assign_slugs(spark.createDataFrame(entries, "key string, rank int, slug string")))}
+        assert got == served(entries)
+    blocked = [("k0", 0, "notion"), ("a", 0, "notion_" + digest("k5")[:4]), ("b", 0, "notion_" + digest("k5")[:8]), ("k5", 1, "notion")]
+    with pytest.raises(ValueError):
+        catalog.assign_slugs(spark.createDataFrame(blocked, "key string, rank int, slug string"))
+
+
 def test_gate_is_strict(spark):
     before = spark.range(100).select(F.col("id").cast("string").alias("key"), F.lit("a").alias("line"))
     one = catalog.gate(catalog.diff(before, before.where("int(key) >= 6"))).first()

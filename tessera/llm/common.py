@@ -65,6 +65,12 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """What the optimizer takes df's size to be; 0 where it doesn't know."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size if size < 1 << 60 else 0
+
+
 def settle(spark: SparkSession) -> None:
     """Let Spark's cleaner take the shuffle files of finished steps; it looks only when the driver collects garbage."""
     gc.collect()

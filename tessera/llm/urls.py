@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import made, pick, ship, small_batches, table
+from tessera.llm.common import keep, made, pick, ship, small_batches, table
 
 #: (verdict, host, path); a rule fits its host and all subdomains, and paths that start with its own.
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
@@ -138,6 +138,7 @@ def filter_urls(pages: DataFrame, listed: DataFrame, rules=RULES, max_blocks: in
             yield made(dict(zip(schema.names, zip(*out, strict=True), strict=True)), schema)
 
     seen = pick(pages, {"page_id": "bigint", "url": "string"}).mapInArrow(run, "page_id bigint, url string, host string, path string, rule string, verdict string, possible array<string>")
+    seen = keep(seen, "seen")  # both branches read it, so that pages are scanned and parsed once
     columns = ["page_id", "url", "host", "path", "rule"]
     clear = seen.where("size(possible) = 0").select(*columns, F.coalesce("verdict", F.lit("allow")).alias("verdict"), F.lit(None).cast("string").alias("listed_key"))
     maybe = seen.where("size(possible) > 0").withColumn("row", F.monotonically_increasing_id()).withColumn("want", F.explode("possible"))

@@ -22,12 +22,15 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from tessera.llm.common import give_back, keep, pick, shared_dir, ship, small_batches, store
+from tessera.llm.common import estimated_bytes, give_back, keep, pick, shared_dir, ship, small_batches, store
 
 #: Bytes of text after which a chunk ends; a longer document is a chunk of its own.
 CHUNK_BYTES = 16 << 20
 ENCODE_AT_ONCE = 8192
+#: Bytes of input for each bucket of distinct words.
+BUCKET_BYTES = 64 << 20
 
 #: How texts may be split. Byte-level BPE always breaks before a single space or line end between solid characters,
 #: and after such a line end; BPE with word ends always breaks before white space, which it drops, and between a
@@ -246,7 +249,8 @@ def encode(docs: DataFrame, path: str, how: str = BYTE_LEVEL, chunk_bytes: int =
     """
     spark = docs.sparkSession
     ship(spark)
-    buckets = buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # More input has more distinct words: a bucket for each BUCKET_BYTES of it, so that none outgrows a task.
+    buckets = buckets or max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), estimated_bytes(docs) // BUCKET_BYTES)
     root = f"{shared_dir(spark)}/encoding-{uuid.uuid4().hex}"
 
     def run(batches):
@@ -333,10 +337,13 @@ def encode_within_chunks(docs: DataFrame, path: str, how: str = BYTE_LEVEL, chun
     return pick(docs, {"doc_id": "bigint", "text": "string"}).mapInArrow(run, "doc_id bigint, packed binary")
 
 
-def decode(ids: bytes, path: str) -> bytes:
-    """The text of ids, in UTF-8; each id is looked up in the table of pieces."""
-    table = pieces(path)
-    raw = b"".join([table[i] for i in np.frombuffer(ids, "<u4").tolist()])
+@cache
+def _piece_table(path: str) -> pa.Array:
+    return pa.array(pieces(path), pa.large_binary())
+
+
+def _text(raw: bytes) -> bytes:
+    """UTF-8, with what isn't replaced as the library does."""
     try:
         raw.decode()
         return raw
@@ -344,12 +351,37 @@ def decode(ids: bytes, path: str) -> bytes:
         return raw.decode("utf-8", "replace").encode()
 
 
+def decode(ids: bytes, path: str) -> bytes:
+    """The text of ids, in UTF-8: ids are the positions of their pieces, so the join with the pieces is one take."""
+    found = _piece_table(path).take(pa.array(np.frombuffer(ids, "<u4").astype(np.int64)))
+    if not len(found):
+        return b""
+    ends = np.frombuffer(found.buffers()[1], np.int64)
+    return _text(found.buffers()[2].slice(ends[0], ends[len(found)] - ends[0]).to_pybytes() if found.buffers()[2] else b"")
+
+
 def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
-    """(doc_id, text) of (doc_id, ids)."""
-    ship(encoded.sparkSession)
+    """(doc_id, text) of (doc_id, ids), by a join of every id with the table of pieces, which a vocabulary bounds.
 
-    def run(batches):
+    The pieces of a document come together again in order of position; rows with equal doc_id stay apart.
+    """
+    spark = encoded.sparkSession
+    ship(spark)
+    rows = keep(encoded.select("doc_id", "ids").withColumn("row", F.monotonically_increasing_id()), "encoded")
+    known = spark.createDataFrame([(i, bytearray(p)) for i, p in enumerate(pieces(path))], "id bigint, piece binary")
+
+    def spread(batches):
+        for b in small_batches(batches, 256):
+            each = [np.frombuffer(x or b"", "<u4").astype(np.int64) for x in b.column("ids").to_pylist()]
+            sizes = [len(x) for x in each]
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(b.column("row").to_numpy(), sizes)), pa.array(np.concatenate([np.arange(n) for n in sizes])), pa.array(np.concatenate(each))], names=["row", "at", "id"])
+
+    tokens = rows.select("row", "ids").mapInArrow(spread, "row bigint, at bigint, id bigint")
+    found = tokens.join(F.broadcast(known), "id").groupBy("row").agg(F.array_sort(F.collect_list(F.struct("at", "piece"))).alias("found"))
+    whole = rows.select("row", "doc_id").join(found, "row", "left").select("doc_id", F.unhex(F.array_join(F.transform("found", lambda x: F.hex(x["piece"])), "")).alias("raw"))
+
+    def texts(batches):
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([decode(x or b"", path).decode() for x in b.column("ids").to_pylist()], pa.string())], names=["doc_id", "text"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([_text(x or b"").decode() for x in b.column("raw").to_pylist()], pa.string())], names=["doc_id", "text"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id bigint, text string")
+    return whole.mapInArrow(texts, "doc_id bigint, text string")

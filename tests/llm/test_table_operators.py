@@ -137,6 +137,32 @@ def test_neighbours(spark, sf):
     assert hit >= 0.9 * 5 * len(got) and set(got) == set(ids[ids % 50 == 0])
 
 
+def test_token_files_of_hot_ids_and_small_files(spark):
+    """Most rows have one doc_id or none; files end after some ids; the reader seeks."""
+    rows = [(7 if i % 3 else None if i % 2 else i, " ".join(f"w{(i * k) % 91}" for k in range(i % 40))) for i in range(6000)]
+    docs, path = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5), bpe.vocabulary("word_bpe_49k.json")
+    files = tokenfiles.write_tokens(wordtable.encode_within_chunks(docs, path, wordtable.WORD_END), docs, slots=6, file_ids=9000)
+    assert files.where("piece > 0").count() and files.groupBy("slot").count().count() > 6
+    got = sorted(tokenfiles.read_tokens(files).collect(), key=lambda r: r.start)
+    tk = Tokenizer.from_file(path)
+    crc = lambda t: zlib.crc32(np.array([*tk.encode(t, add_special_tokens=False).ids, 2], "<u4").tobytes())
+    assert sorted((r.doc_id if r.doc_id is not None else -1, r.ids_crc32) for r in got) == sorted((d if d is not None else -1, crc(t)) for d, t in rows)
+    ids = [-1 if r.doc_id is None else r.doc_id for r in got]
+    assert ids == sorted(ids) and [r.start for r in got] == np.cumsum([0, *(r.n_tokens for r in got[:-1])]).tolist()
+
+
+def test_digests_are_the_library_s(spark, sf_dir):
+    path = bpe.vocabulary("byte_bpe_50k.json")
+    tk = Tokenizer.from_file(path)
+    texts = [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()] + ODD
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    want = {}
+    for i, t in enumerate(texts):
+        ids = tk.encode(t or "", add_special_tokens=False).ids
+        want[i] = (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(tk.decode(ids, skip_special_tokens=False).encode()).hexdigest())
+    assert {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in bpe.digest(docs, path).collect()} == want
+
+
 def test_neighbours_of_odd_vectors(spark):
     same = [(i, [1.0, 2.0]) for i in range(0, 400)]
     odd = [(1000, None), (1050, []), (1100, [0.0, 0.0]), (1150, [None, 1.0]), (1200, [float("nan"), 1.0]), (1250, [1.0, 2.0, 3.0]), (None, [1.0, 1.0]), (1300, [float("inf"), 1.0])]

@@ -16,6 +16,7 @@ def said(at):
 
 
 def test_queries_without_the_training_data_operators(tmp_path):
+    import tessera.plans.build  # noqa: F401
     from tessera.plans.queries import ORACLE_SQL, QUERIES
 
     shutil.copytree(ROOT, tmp_path / "a", ignore=shutil.ignore_patterns(".git", "llm", "corpus_pipeline.py", "__pycache__"))

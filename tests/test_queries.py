@@ -3,6 +3,7 @@ import decimal
 import duckdb
 import pytest
 
+import tessera.plans.build  # noqa: F401
 from tessera.plans.queries import ORACLE_SQL, QUERIES
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()

@@ -201,6 +201,27 @@ def _encode_words(distinct: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray
     return counts, np.concatenate(flat) if flat else np.zeros(0, np.uint32)
 
 
+#: Words that a worker remembers from chunk to chunk, with their ids, by vocabulary; its processes outlive tasks.
+MOST_KNOWN = 600_000
+_known: dict[str, tuple[pa.Array, np.ndarray, np.ndarray]] = {}
+
+
+def _encode_unknown(distinct: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """As _encode_words, but words of the worker's last chunks aren't encoded again."""
+    distinct = distinct.cast(pa.large_binary())
+    words, counts, flat = _known.get(path, (distinct[:0], np.zeros(0, np.int64), np.zeros(0, np.uint32)))
+    at = pc.index_in(distinct, value_set=words)
+    new = distinct.filter(pc.is_null(at))
+    new_counts, new_flat = _encode_words(new, path)
+    index = pc.fill_null(at, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+    index[index < 0] = len(words) + np.arange(len(new))
+    counts, flat = np.concatenate([counts, new_counts]), np.concatenate([flat, new_flat])
+    starts = np.cumsum(counts) - counts
+    own, ids = counts[index], gather(starts[index], counts[index], flat)
+    _known[path] = (pa.concat_arrays([words, new]), counts, flat) if len(counts) <= MOST_KNOWN else (distinct, own, ids)
+    return own, ids
+
+
 def _encode_bucket(path: str, rows: pa.Table) -> pa.Table:
     """All chunks' words of one bucket: each distinct word encoded once, and every chunk answered."""
     each = [unpack_words(x.as_py()) for x in rows.column("words")]
@@ -305,14 +326,15 @@ def encode(docs: DataFrame, path: str, how: str = BYTE_LEVEL, chunk_bytes: int =
 def encode_within_chunks(docs: DataFrame, path: str, how: str = BYTE_LEVEL, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """(doc_id, packed), without a shuffle: each chunk encodes its own distinct words once, and `unpack` gives ids.
 
-    A word is encoded again in each chunk that has it, so this takes more CPU than `encode`, and no disk.
+    A word is encoded again by each worker, and by one that has met too many others since; that takes more CPU than
+    `encode`, and no disk.
     """
     ship(docs.sparkSession)
     schema = pa.schema([("doc_id", pa.int64()), ("packed", pa.binary())])
 
     def chunk(held: list) -> pa.RecordBatch:
         ids, sizes, coded = _split(held, how)
-        counts, flat = _encode_words(coded.dictionary, path)
+        counts, flat = _encode_unknown(coded.dictionary, path)
         starts, numbers, at, out = np.cumsum(counts) - counts, coded.indices.to_numpy(zero_copy_only=False), 0, []
         for size in sizes.tolist():
             own = numbers[at : at + size]

@@ -60,8 +60,18 @@ def scan_shards(spark: SparkSession, root: str, kind: str) -> DataFrame:
 
 
 def violations(scanned: DataFrame, kind: str) -> DataFrame:
-    """(violation, key): blank lines, keys of another kind, lines in a wrong shard, keys that occur twice."""
-    wrong = F.when(F.col("key").isNull(), "not an entry").when(~F.startswith("key", F.lit(f"{kind}:")), "wrong kind").when(F.col("shard") != shard(F.col("key")), "wrong shard")
+    """(violation, key): lines that are blank, no entry, of another kind, in a wrong shard or not as an entry is
+    rendered (keys in order, no spaces, no carriage return), and keys that occur twice."""
+    # A VARIANT's keys are in order; of its whole numbers it doesn't know whether they were written with a point.
+    whole = lambda text: F.regexp_replace(text, r'("popularity":[0-9]+)\.0(?=[,}])', "$1")
+    rendered = F.to_json(F.try_parse_json("line"))
+    wrong = (
+        F.when(F.trim("line") == "", "blank line")
+        .when(F.col("key").isNull(), "not an entry")
+        .when(~F.startswith("key", F.lit(f"{kind}:")), "wrong kind")
+        .when(F.col("shard") != shard(F.col("key")), "wrong shard")
+        .when(F.col("line").contains("\r") | (whole(F.coalesce(rendered, F.lit(""))) != whole(F.col("line"))), "not canonical")
+    )
     single = scanned.select(wrong.alias("violation"), "key").where("violation IS NOT NULL")
     twice = scanned.groupBy("key").count().where("count > 1 AND key IS NOT NULL").select(F.lit("repeated key").alias("violation"), "key")
     return single.union(twice)

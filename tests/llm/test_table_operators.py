@@ -213,15 +213,26 @@ def test_sketches_never_rule_out_similar_sets():
             assert sizes[0] == sizes[1] == both or set(sig[owner == 0].tolist()) & set(sig[owner == 1].tolist())
 
 
-@pytest.mark.parametrize("block_members", [300, 1024])
-def test_one_group_of_many_near_copies(spark, block_members):
+def test_one_group_of_many_near_copies(spark):
     """3000 copies of one text, each with a few words of its own: many pairs link, and many lie just beyond."""
     r = random.Random(5)
     base = [f"v{i}" for i in range(60)]
-    rows = [(i, " ".join(w if r.random() > 0.01 else f"x{r.randrange(10**6)}" for w in base)) for i in range(3000)] + [(5000 + i, " ".join(base[::-1])) for i in range(900)]
+    texts = [" ".join(w if r.random() > 0.01 else f"x{r.randrange(10**6)}" for w in base) for _ in range(3000)]
+    sets = [jaccard.shingles(t, 4, jaccard._Hashes()) for t in texts]
+    column = {h: i for i, h in enumerate(np.unique(np.concatenate(sets)).tolist())}
+    x = np.zeros((len(sets), len(column)), np.float32)
+    for i, s in enumerate(sets):
+        x[i, [column[h] for h in s.tolist()]] = 1
+    both, size = (x @ x.T).astype(np.int64), np.array([len(s) for s in sets])
+    linked = 100 * both >= 85 * (size[:, None] + size[None, :] - both)
+    label = np.arange(len(sets))
+    while (new := np.where(linked, label[None, :], len(sets)).min(axis=1)).tolist() != label.tolist():
+        label = new
+    rows = list(enumerate(texts)) + [(5000 + i, " ".join(base[::-1])) for i in range(900)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
-    got = {x.doc_id: (x.n_shingles, x.component_id) for x in jaccard.link_components(df, 4, 85, 100, block_members=block_members).collect()}
-    assert got == jaccard_components(rows, 4, 85, 100)
+    got = {g.doc_id: g.component_id for g in jaccard.link_components(df, 4, 85, 100, block_members=300).collect()}
+    assert got == {**dict(enumerate(label.tolist())), **{5000 + i: 5000 for i in range(900)}}
+    assert 2 < len(set(label.tolist())) < 2500 and not linked.all()
 
 
 def test_odd_near_duplicates(spark):

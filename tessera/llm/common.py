@@ -66,9 +66,13 @@ def ship(spark: SparkSession) -> None:
 
 
 def estimated_bytes(df: DataFrame) -> int:
-    """What the optimizer takes df's size to be; 0 where it doesn't know."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return size if size < 1 << 60 else 0
+    """The size of the tables that df reads, each once; what the optimizer doesn't know the size of counts as none.
+
+    (Its estimate for df itself multiplies the sizes of what is joined.)
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(x for x in sizes if x < 1 << 60)
 
 
 def settle(spark: SparkSession) -> None:

@@ -21,6 +21,12 @@ def one(spark, source_id, payload, **how):
     return found[0] if found else None
 
 
+def several(spark, source_id, *payloads):
+    """The candidates of several records in one go, None where a record makes none."""
+    found = {r.upstream_id: r for r in P.SOURCES[source_id](records(spark, source_id, *payloads).coalesce(1)).collect()}
+    return [found.get(f"u{i}") for i in range(len(payloads))]
+
+
 def server(**more):
     return {"server": {"name": "io.acme/files", "title": "Files", "description": "Reads  files", "websiteUrl": "https://acme.dev", **more}, "_meta": {OFFICIAL: {"status": "active", "isLatest": True}}}
 
@@ -88,16 +94,15 @@ def test_github_topics(spark):
 
 def test_skills(spark):
     payload = {"skill_path": "skills/Do-It/SKILL.md", "repo": "https://github.com/Own/Repo", "frontmatter": {"name": "do-it", "description": "Does it", "disable-model-invocation": True, "allowed-tools": "Read, Write,Read"}, "marketplace": "m", "plugin": {"plugin": "p"}, "marketplace_repo": "own/market", "renamed_from": ["old"], "category": "CRM tools", "tags": ["A"], "commit_sha": "A" * 40, "marketplace_reviewed": "yes", "frontmatter_bytes": 99999}
-    c = one(spark, "marketplaces", payload)
+    second = {"path": "a/SKILL.md", "name": "Not A Name", "marketplaceRepo": "o/r", "model_invocable": False, "description": "flat", "skill": {"description": "nested", "license": "MIT"}}
+    gone = ({"skill_path": "a/README.md", "repo": "o/r"}, {"skill_path": "../SKILL.md", "repo": "o/r"}, {"skill_path": "a/SKILL.md"}, {"skill_path": "a b!/SKILL.md", "repo": "o/r"})
+    third = {"skill_path": "a/SKILL.md", "plugin_source": {"source_value": "own/deep", "kind": "github"}, "marketplace_repo": "x/y"}
+    c, flat, nested, *rest = several(spark, "marketplaces", payload, second, third, *gone)
     assert c["keys"] == ["skill:plugin:m/old/do-it", "skill:plugin:m/p/do-it", "skill:skill:github.com/own/repo/skills/do-it"] and c.primary_key == "skill:skill:github.com/own/repo/skills/do-it"
     assert (c.model_invocable, c.allowed_tools, c.category, c.source_ref, c.commit_sha, c.marketplace_reviewed, c.frontmatter_bytes) == (False, ["Read", "Write"], "CRM Tools", "own/repo/skills/Do-It", "a" * 40, True, 8192)
     assert c.icon_url == "https://github.com/own.png?size=128" and c.plugin.marketplace_repo == "own/market" and c.plugin.source_kind == "unknown"
-    flat = one(spark, "marketplaces", {"path": "a/SKILL.md", "name": "Not A Name", "marketplaceRepo": "o/r", "model_invocable": False, "description": "flat", "skill": {"description": "nested", "license": "MIT"}})
     assert (flat.skill_name, flat.name, flat.description, flat.license, flat.model_invocable, flat.plugin, flat.category) == ("a", "Not A Name", "flat", "MIT", False, None, "General")
-    for gone in ({"skill_path": "a/README.md", "repo": "o/r"}, {"skill_path": "../SKILL.md", "repo": "o/r"}, {"skill_path": "a/SKILL.md"}, {"skill_path": "a b!/SKILL.md", "repo": "o/r"}):
-        assert one(spark, "marketplaces", gone) is None
-    nested = one(spark, "marketplaces", {"skill_path": "a/SKILL.md", "plugin_source": {"source_value": "own/deep", "kind": "github"}, "marketplace_repo": "x/y"})
-    assert nested.repo.repo == "deep"
+    assert nested.repo.repo == "deep" and rest == [None] * 4
 
 
 def test_unknown_sources_and_records_without_a_name(spark):

@@ -40,6 +40,8 @@ CATEGORY_RULES = (
     ("Developer tools", "github|gitlab|git|ci|cd|deploy|vercel|netlify|lint|test|debug|sentry|observability|sdk|compiler|ide"),
 )
 OTHER_CATEGORY = "Developer tools"
+#: What notes call the program that connects to servers, and where records that people wrote say they come from.
+CONSUMER, CURATED_URL = "This client", "https://catalog.example/curated"
 CATEGORY_ICONS = {
     "Developer tools": "terminal", "Project management": "kanban", "Communication": "message-square", "Documents & knowledge": "notebook",
     "Payments & commerce": "credit-card", "CRM & support": "users", "Design": "palette", "Search & web": "search", "Data & infrastructure": "database",
@@ -109,8 +111,9 @@ def icon_url(qualified_name: Column, repo: Column) -> Column:
     return F.coalesce(own, F.when(repo["host"] == "github.com", avatar(repo["owner"])), F.lit(""))
 
 
-def stdio_note(identifier: Column) -> Column:
-    return collapse(F.concat(F.lit("Jhin does not spawn stdio servers. Host "), identifier, F.lit(" yourself and connect over HTTPS.")), NOTE)
+def stdio_note(identifier: Column, consumer: str = CONSUMER) -> Column:
+    """What whoever connects has to do about a server that only runs as a local process; consumer: what they connect with."""
+    return collapse(F.concat(F.lit(f"{consumer} does not spawn stdio servers. Host "), identifier, F.lit(" yourself and connect over HTTPS.")), NOTE)
 
 
 def terminated(note: Column) -> Column:

@@ -20,7 +20,14 @@ def shared_dir(spark: SparkSession) -> str:
         at = f"file://{tempfile.mkdtemp()}"
     if not context.getCheckpointDir():
         context.setCheckpointDir(at)
-    return at if "://" in at else f"file://{at.removeprefix('file:')}"
+    return qualified(spark, at)
+
+
+def qualified(spark: SparkSession, at: str) -> str:
+    """A path as a URI: one without a scheme lies in the cluster's default file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(at)
+    uri = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return re.sub("^file:/+", "file:///", uri)
 
 
 def keep(df: DataFrame, name: str) -> DataFrame:

@@ -19,6 +19,23 @@ def signal(value: Column, ceiling: int) -> Column:
     return F.when(value.isNotNull(), F.least(F.lit(1.0), F.greatest(F.lit(0.0), scaled)))
 
 
+def rounded(value: Column, decimals: int = DECIMALS) -> Column:
+    """A number of moderate size, rounded by its exact binary value, halves to the even digit.
+
+    (F.round takes the short decimal that the number is written as: 0.00015, which lies just below, would go up.)
+    """
+    twice = F.lit(2.0 * 10**decimals)
+    below = F.floor(value * twice / 2).cast("double")
+    # value * twice is high + low with no error left: split in two halves, each product is exact.
+    parted = value * F.lit(134217729.0)
+    head = parted - (parted - value)
+    high = value * twice
+    low = (head * twice - high) + (value - head) * twice
+    beyond = (high - (2 * below + 1)) + low
+    up = (beyond > 0) | ((beyond == 0) & (below % 2 != 0))
+    return (below + F.when(up, F.lit(1.0)).otherwise(0.0)) / F.lit(float(10**decimals))
+
+
 def popularity(parts: list[tuple[Column, int, float]]) -> Column:
     """The weighted mean of the signals that are there, lowered for those that aren't."""
     zero, seen, total = F.lit(0.0), F.lit(0.0), F.lit(0.0)
@@ -27,7 +44,7 @@ def popularity(parts: list[tuple[Column, int, float]]) -> Column:
         seen = seen + F.when(x.isNotNull(), F.lit(weight)).otherwise(zero)
         total = total + F.coalesce(x * F.lit(weight), zero)
     share = seen / F.lit(sum(w for _, _, w in parts))
-    return F.when(seen > 0, F.round(total / seen * (F.lit(COVERAGE_FLOOR) + F.lit(1 - COVERAGE_FLOOR) * share), DECIMALS)).otherwise(zero)
+    return F.when(seen > 0, rounded(total / seen * (F.lit(COVERAGE_FLOOR) + F.lit(1 - COVERAGE_FLOOR) * share))).otherwise(zero)
 
 
 def tier_rank(tier: Column) -> Column:

@@ -137,43 +137,39 @@ def built(merged: DataFrame) -> DataFrame:
     return df.withColumns({"auth_note": finish("auth_note"), "setup_note": finish("setup_note"), "schema_version": F.lit(1), "curated_fields": F.array().cast("array<string>")}).drop("_trusted", "component")
 
 
-def violations() -> Column:
-    """What is wrong with an entry, as an array of names; a good entry has none."""
-    url = lambda c, form: F.coalesce((F.col(c) != "") & ~(F.col(c).rlike(form) & (F.length(c) <= N.URL)), F.lit(False))
-    server, absent = F.col("kind") == "mcp", lambda c: F.col(c).isNull()
-    wrong = {
-        "canonical_key": absent("canonical_key") | ~F.col("canonical_key").rlike(N.KEY_FORM), "alias_keys": F.exists("alias_keys", lambda k: ~k.rlike(N.KEY_FORM)), "alias is canonical": F.array_contains("alias_keys", F.col("canonical_key")),
-        "slug": absent("slug") | ~F.col("slug").rlike(N.SLUG_FORM), "name": absent("name") | (F.col("name") == ""), "homepage": url("homepage", "^https://"), "docs_url": url("docs_url", "^https?://"),
-        "icon_url": url("icon_url", f"{N.SERVER_ICON}|{N.AVATAR}"), "popularity": ~F.col("popularity").between(0, 1), "sources": ~F.size("sources").between(1, N.SOURCES), "trust_tier": ~F.col("trust_tier").isin(*S.TIERS), "kind": ~F.startswith("canonical_key", F.concat("kind", F.lit(":"))),
-        "category": server & ~F.col("category").isin(*N.CATEGORY_ICONS), "icon": server & ~F.col("icon").isin(*N.ICONS), "connector_type": server & ~F.coalesce(F.col("connector_type").isin(*N.CONNECTORS), F.lit(True)),
-        "mcp_url": server & F.col("mcp_url").isNotNull() & ~K.dialable(F.col("mcp_url")), "connector_config": F.coalesce(F.size("connector_config") > 10, F.lit(False)),
-        "repo": ~server & absent("repo"), "skill_name": ~server & ~F.coalesce(F.col("skill_name").rlike(N.SKILL_NAME), F.lit(False)), "source_ref": ~server & ~F.coalesce(F.col("source_ref").rlike(r"^[A-Za-z0-9_.-]+/[A-Za-z0-9_.-]+(?:/.+)?$"), F.lit(False)),
-        "skill_path": ~server & ~F.coalesce(F.col("skill_path").endswith("/SKILL.md"), F.lit(False)), "commit_sha": ~server & F.coalesce((F.col("commit_sha") != "") & ~F.col("commit_sha").rlike(N.SHA1), F.lit(False)),
-    }
-    return F.filter(F.array(*[F.when(F.coalesce(bad, F.lit(True)), F.lit(name)) for name, bad in wrong.items()]), lambda x: x.isNotNull())
-
-
 class BuildError(ValueError):
     """A build that must not be published."""
 
 
-def build(candidates: DataFrame, curated: DataFrame | None = None, most_bad: int = BAD_ENTRIES) -> tuple[DataFrame, DataFrame]:
+def build(candidates: DataFrame, curated: DataFrame | None = None, most_bad: int = BAD_ENTRIES, overrides: DataFrame | None = None, denials: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(entries with unique slugs, entries left out with their violations).
 
-    Signals are lent, ambiguous keys demoted, components found, fused and built, in this order; a table is written
-    after candidates, components and entries, so that no plan holds all steps. Components of several kinds, and more
-    than most_bad bad entries, fail the build.
+    Overrides of several keys join what holds them; then signals are lent, ambiguous keys demoted, components found, fused
+    and built, denials and overrides applied, and slugs assigned, in this order; a table is written after candidates,
+    components and entries, so that no plan holds all steps. Components of several kinds, more than most_bad bad entries, and
+    overlays that contradict themselves or each other fail the build.
     """
+    from tessera.operators import constraints as V
+    from tessera.operators import curation as U
+
+    said = U.read_overrides(overrides) if overrides is not None else []
+    if said:
+        candidates = U.forced(candidates, said)
+        vouched = U.vouched(candidates.sparkSession, said)
+        curated = vouched if curated is None else curated.select("key").union(vouched)
     held = keep(with_lent_signals(keep(candidates, "projected")), "candidates")
     known = keep(with_components(demoted(held, ambiguous_keys(held))), "components")
     if (bad := impure(known).first()) is not None:
         raise BuildError(f"component {bad.component} holds {bad.kinds}")
     merged = keep(fused(known, curated), "merged")
-    entries = keep(built(merged).withColumn("violations", violations()), "entries")
+    entries = built(merged)
+    entries = keep(entries.withColumn("violations", V.violations(entries)), "entries")
     wrong = entries.where(F.size("violations") > 0)
     if (n := wrong.count()) > most_bad:
         raise BuildError(f"{n} entries are bad, more than {most_bad}")
     fine = entries.where(F.size("violations") == 0).drop("violations")
+    if said or denials is not None:
+        fine, _ = U.apply(fine, said, denials)
     slugs = C.assign_slugs(fine.select(F.col("canonical_key").alias("key"), S.tier_rank(F.col("trust_tier")).alias("rank"), "slug"))
     given = slugs.select(F.col("key").alias("_key"), "given")
     return fine.join(given, F.col("canonical_key") == F.col("_key")).withColumn("slug", F.col("given")).drop("_key", "given"), wrong

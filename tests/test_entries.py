@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_projections import OFFICIAL, records
 
+from tessera.operators import constraints as V
 from tessera.operators import entries as E
 from tessera.operators import projections as P
 
@@ -80,8 +81,9 @@ def test_canonical_lines(spark, build):
 def test_violations(spark, build):
     made, _, _ = build
     bad = made.where("kind = 'mcp'").limit(1)
-    for change, name in (({"slug": F.lit("No Slug")}, "slug"), ({"mcp_url": F.lit("http://x")}, "mcp_url"), ({"category": F.lit("Nope")}, "category"), ({"alias_keys": F.array("canonical_key")}, "alias is canonical"), ({"docs_url": F.lit("ftp://x")}, "docs_url"), ({"popularity": F.lit(1.5)}, "popularity")):
-        assert bad.withColumns(change).select(E.violations().alias("v")).first().v == [name]
+    for change, name in (({"slug": F.lit("No Slug")}, "slug"), ({"mcp_url": F.lit("http://x")}, "mcp_url"), ({"category": F.lit("Nope")}, "category"), ({"alias_keys": F.array("canonical_key")}, "alias is canonical"), ({"docs_url": F.lit("ftp://x")}, "docs_url"), ({"popularity": F.lit(1.5)}, "popularity"), ({"mcp_url": F.lit("https://a.b/x y")}, "mcp_url"), ({"mcp_url": F.lit("https://a.b/x}")}, "mcp_url"), ({"connector_config": F.expr("map('', 'x')")}, "connector_config")):
+        changed = bad.withColumns(change)
+        assert changed.select(V.violations(changed).alias("v")).first().v == [name]
     with pytest.raises(E.BuildError):
         one = P.project(records(spark, "npm", npm("a")))
         E.build(one.withColumn("url", F.lit("u")).withColumn("primary_key", F.lit("mcp:npm:a")).withColumn("keys", F.array(F.lit("mcp:npm:a b"))), most_bad=0)

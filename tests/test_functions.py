@@ -1,3 +1,6 @@
+import math
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -94,3 +97,12 @@ def test_text_of_a_number_is_empty(spark):
 @pytest.mark.parametrize(("url", "want"), [("https://a.b/c", True), ("http://a.b", False), ("https://a.b/{x}", False), ("https://u@a.b/", False), ("https://a.b/#f", False), (None, False)])
 def test_dialable(spark, url, want):
     assert value(spark, keys.dialable(F.col("u")), u=url) is want
+
+
+def test_rounding_is_python_s(spark):
+    r = random.Random(0)
+    values = [0.0, 1.0, 0.00015, 0.00025, 0.5, 0.99995, 0.00005] + [(2 * k + 1) / 20_000 for k in range(10_000)] + [r.random() for _ in range(50_000)]
+    values += [x for k in range(0, 10_000) for x in (math.nextafter((2 * k + 1) / 20_000, 0), math.nextafter((2 * k + 1) / 20_000, 1), k / 10_000)]
+    values += [(2 * k + 1) / 2**17 for k in range(2**15)]
+    got = spark.createDataFrame(list(enumerate(values)), "i int, x double").select("i", scoring.rounded(F.col("x")).alias("y")).collect()
+    assert len(values) > 100_000 and all(row.y == round(values[row.i], 4) for row in got)

@@ -23,6 +23,19 @@ def budget(df: DataFrame, group: list[str], order: list[Column], most: int) -> D
     return df.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= most).drop("_n")
 
 
+def first_rows(df: DataFrame, blocks: list[str], order: list[Column], most: int) -> DataFrame:
+    """The first so many rows in order of (blocks, order), without sorting them all: blocks are counted, the first that
+    together have so many rows are picked by a top-k, and only the last of them is cut."""
+    keys = [F.col(b).alias(f"_{i}") for i, b in enumerate(blocks)]
+    names = [f"_{i}" for i in range(len(blocks))]
+    counts = df.groupBy(*keys).agg(F.count("*").alias("_n")).orderBy(*names).limit(max(0, most))  # each has a row at least
+    before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).where(F.col("_before") < most)
+    met = df.join(F.broadcast(before), [F.col(b).eqNullSafe(F.col(n)) for b, n in zip(blocks, names, strict=True)])
+    whole = met.where(F.col("_before") + F.col("_n") <= most)
+    part = met.where(F.col("_before") + F.col("_n") > most).withColumn("_k", F.row_number().over(Window.partitionBy(*blocks).orderBy(*order)))
+    return whole.select(*df.columns).union(part.where(F.col("_before") + F.col("_k") <= most).select(*df.columns))
+
+
 def fuse(df: DataFrame, group: list[str], order: Column, fields: dict[str, Column], anywhere: dict[str, Column] | None = None) -> DataFrame:
     """For each group, each field's first informative value in the given order; `anywhere` flags are or-ed.
 
@@ -84,6 +97,8 @@ def overlay(entries: DataFrame, overrides: DataFrame, fields: list[str]) -> Data
     MOST_BROADCAST of them are broadcast, so that entries aren't shuffled; more are joined as any other table.
     """
     given = overrides.select(F.col("key").alias("o_key"), F.col("fields").alias("o"))
+    if (twice := given.groupBy("o_key").count().where("count > 1").first()) is not None:
+        raise ValueError(f"{twice.o_key!r} is corrected twice")
     few = given.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST
     met = entries.join(F.broadcast(given) if few else given, F.col("key") == F.col("o_key"), "left").withColumn("created", F.lit(False))
     known = entries.select("key").join(F.broadcast(given.select("o_key")) if few else given.select("o_key"), F.col("key") == F.col("o_key"), "left_semi").distinct()
@@ -98,19 +113,31 @@ def overlay(entries: DataFrame, overrides: DataFrame, fields: list[str]) -> Data
 def assign_slugs(entries: DataFrame, most_rounds: int = 100) -> DataFrame:
     """(key, slug, given): entries (key, rank, slug) get unique slugs, as if served one by one in order of (rank, key).
 
-    Each asks for its plain slug, then for 27 characters and four hex digits of its key's hash, then for 23 and eight. In
-    a round every slug goes to the first in order of those who ask for it, and the others ask for their next; that ends
-    where serving one by one ends. Who finds the last one taken too fails the allocation. Keys are distinct.
+    Each asks for its plain slug, then for 27 characters and four hex digits of its key's hash, then for 23 and eight. Who
+    is first to ask for a plain slug keeps it, unless the hashed slug of somebody before is the same; so only those who
+    come later to theirs, and whose plain slug they may take, go through rounds. In a round every slug goes to the first in
+    order of those who ask for it, and the others ask for their next; that ends where serving one by one ends. Who
+    finds the last one taken too fails the allocation. Keys are distinct.
     """
     digest = F.sha2(F.col("key").cast("string"), 256)
     asks = F.array("slug", F.concat_ws("_", F.substring("slug", 1, 27), F.substring(digest, 1, 4)), F.concat_ws("_", F.substring("slug", 1, 23), F.substring(digest, 1, 8)))
-    now = entries.select("key", "rank", "slug").withColumns({"asks": asks, "turn": F.lit(1)})
+    every = keep(entries.select("key", "rank", "slug", asks.alias("asks")), "slugs")
+    least = every.groupBy("slug").agg(F.min(F.struct("rank", "key")).alias("first"), F.count("*").alias("n"))
+    others = keep(every.join(least.where("n > 1").select(F.col("slug").alias("_s"), F.col("first.key").alias("_k")), F.col("slug") == F.col("_s")).where("key <> _k").select("key", "rank", "slug", "asks"), "contested")
+    if others.isEmpty():
+        return every.select("key", "slug", F.col("slug").alias("given"))
+    now, fresh = others.withColumn("turn", F.lit(2)), others
+    while not fresh.isEmpty():  # a holder who may be displaced asks for more in turn
+        asked = fresh.select(F.explode(F.slice("asks", 2, 2)).alias("slug")).distinct()
+        fresh = keep(every.join(asked, "slug", "left_semi").join(now.select("key"), "key", "left_anti").select("key", "rank", "slug", "asks"), "contested")
+        now = now.unionByName(fresh.withColumn("turn", F.lit(1)))
     for _ in range(most_rounds):
-        now = keep(now, "slugs")
+        now = keep(now, "contested")
         wanted = now.withColumn("given", F.element_at("asks", F.col("turn")))
         first = wanted.groupBy("given").agg(F.min(F.struct("rank", "key")).alias("first"), F.count("*").alias("n")).where("n > 1").select("given", F.col("first.key").alias("holder"))
         if first.isEmpty():
-            return wanted.select("key", "slug", "given")
+            settled = wanted.select(F.col("key").alias("_key"), "given")
+            return every.join(settled, F.col("key") == F.col("_key"), "left").select("key", "slug", F.coalesce("given", "slug").alias("given"))
         met = wanted.join(first, "given", "left")
         now = met.select("key", "rank", "slug", "asks", F.when(F.col("holder").isNull() | (F.col("holder") == F.col("key")), F.col("turn")).otherwise(F.col("turn") + 1).alias("turn"))
         if (lost := now.where("turn > 3").select("key", "slug").first()) is not None:

@@ -1,8 +1,9 @@
 """Connected components by contraction, on DataFrames.
 
-Each round hangs every node on the neighbour that a hash of the round ranks least, itself included, and goes on with
-the edges between what they hang on. Ranks are drawn anew, so a path shrinks by half or so a round whatever its ids,
-and a star in one round; edges never grow in number.
+Edges are reduced to forests where they lie, a chunk at a time. Then each round hangs every node on the neighbour that
+a hash of the round ranks least, itself included, and goes on with the edges between what they hang on. Ranks are drawn
+anew, so a path shrinks by half or so a round whatever its ids, and a star in one round; edges never grow in number.
+The last LAST_EDGES edges are finished in one task, so a small graph takes no rounds at all.
 
 A node with very many edges would make one task of a join on nodes. Such hubs, at most MOST_HUBS by the way their
 least degree is set, are looked up by broadcast instead; the others have fewer edges than that degree. Minima are
@@ -12,6 +13,8 @@ Spark can split, since nothing but the join needs them together.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +22,8 @@ from tessera.shared import keep
 
 #: Nodes of more than max(HUB_EDGES, edges / MOST_HUBS) edges are hubs: at most 2 * MOST_HUBS, of 16 bytes each.
 HUB_EDGES, MOST_HUBS = 64, 20_000
+#: Edges that a task holds at once when it drops those within what it has linked already; edges that one task finishes.
+FOREST_EDGES, LAST_EDGES = 1 << 20, 1 << 18
 
 
 def _keep(df: DataFrame) -> DataFrame:
@@ -38,17 +43,71 @@ def _looked_up(rows: DataFrame, at: str, stars: DataFrame, hubs: DataFrame | Non
     return done.select(*rows.columns).union(rest.select(*rows.columns))
 
 
-def connected(edges: DataFrame, most_rounds: int = 60, hub_edges: int = HUB_EDGES) -> DataFrame:
+def _least_of(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nodes of edges (u, v), and the least node that each can reach among them."""
+    nodes, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b = at[: len(u)], at[len(u) :]
+    label = np.arange(len(nodes))
+    while True:
+        low = np.minimum(label[a], label[b])
+        new = label.copy()
+        np.minimum.at(new, label[a], low)  # a node's label stands for all that carry it
+        np.minimum.at(new, label[b], low)
+        while not np.array_equal(new, new[new]):
+            new = new[new]
+        new = new[label]
+        if np.array_equal(new, label):
+            return nodes, nodes[label]
+        label = new
+
+
+def _numbers(column) -> np.ndarray:
+    """Node ids as numbers or, where they are text, as objects; both sort."""
+    return column.to_numpy(zero_copy_only=False)
+
+
+def forests(edges: DataFrame, most: int = FOREST_EDGES) -> DataFrame:
+    """(u, v) of edges with the same components, at most one for each node of a task's chunk: each hangs on the least that it
+    reaches there. Drops what a chunk says more than once, before anything is shuffled."""
+    kind = edges.schema["u"].dataType.simpleString()
+
+    def run(batches):
+        held, n = [], 0
+
+        def hung():
+            u, v = (np.concatenate([_numbers(b.column(c)) for b in held]) for c in ("u", "v"))
+            nodes, least = _least_of(u, v)
+            apart = nodes != least
+            return pa.RecordBatch.from_arrays([pa.array(nodes[apart], held[0].schema.field("u").type), pa.array(least[apart], held[0].schema.field("u").type)], names=["u", "v"])
+
+        for b in batches:
+            held.append(b)
+            n += b.num_rows
+            if n >= most:
+                yield hung()
+                held, n = [], 0
+        if n:
+            yield hung()
+
+    return edges.select("u", "v").mapInArrow(run, f"u {kind}, v {kind}")
+
+
+def connected(edges: DataFrame, most_rounds: int = 60, hub_edges: int = HUB_EDGES, last_edges: int = LAST_EDGES) -> DataFrame:
     """(node, label) of all nodes in edges (u, v): label is the least node that can be reached.
 
     Null ends and edges from a node to itself make no node; edges may repeat and have either direction.
     """
-    now = _keep(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u IS NOT NULL AND v IS NOT NULL AND u <> v").distinct())
+    plain = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u IS NOT NULL AND v IS NOT NULL AND u <> v")
+    now = _keep(forests(plain).distinct())
     steps = []
     for k in range(most_rounds):
         count = now.count()
         if not count:
             break
+        if count <= last_edges:  # few enough for one task, whatever the corpus
+            hung = forests(now.coalesce(1), last_edges + 1).select(F.col("u").alias("node"), F.col("v").alias("to"))
+            steps.append((_keep(hung.union(hung.select("to", "to").distinct())), None))
+            break
         rank = lambda c: F.struct(F.xxhash64(F.col(c), F.lit(k)).alias("r"), F.col(c).alias("to"))  # noqa: B023, E731
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         stars = both.groupBy("u").agg(F.min(rank("v")).alias("m"), F.count("*").alias("degree"))

@@ -149,9 +149,9 @@ def _created(plan: DataFrame, columns: list[str]) -> DataFrame:
     given |= {c: F.coalesce(given[c], F.array().cast(t)) for c, t in empty.items()} | {c: F.coalesce(given[c], F.lit(False)) for c in ("deprecated", "marketplace_reviewed")}
     given |= {"icon_url": F.coalesce(given["icon_url"], F.lit("")), **{s: F.lit(None).cast("bigint") for s in P.SIGNALS}}
     keys = {"component": F.lit(0).cast("bigint"), "kind": F.col("o_kind"), "canonical_key": F.col("owner"), "alias_keys": F.col("aliases"), "live_keys": F.array("owner"), "all_keys": F.array("owner"), "demoted_keys": F.array().cast("array<string>")}
-    merged = plan.select(*[c.alias(n) for n, c in {**given, **keys, "sources": F.array("reference"), "trust_tier": F.lit("curated")}.items()], "slug_from")
+    merged = E.keep(plan.select(*[c.alias(n) for n, c in {**given, **keys, "sources": F.array("reference"), "trust_tier": F.lit("curated")}.items()], "slug_from"), "created")
     made = E.built(merged)
-    return made.withColumn("slug", F.coalesce(slugify(F.col("slug_from")), "slug")).select(*columns)
+    return E.keep(made.withColumn("slug", F.coalesce(slugify(F.col("slug_from")), "slug")).select(*columns), "created")
 
 
 def corrected(entries: DataFrame, plan: DataFrame) -> DataFrame:

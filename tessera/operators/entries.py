@@ -153,11 +153,12 @@ def build(candidates: DataFrame, curated: DataFrame | None = None, most_bad: int
     from tessera.operators import curation as U
 
     said = U.read_overrides(overrides) if overrides is not None else []
+    candidates = keep(candidates, "projected")
     if said:
         candidates = U.forced(candidates, said)
         vouched = U.vouched(candidates.sparkSession, said)
         curated = vouched if curated is None else curated.select("key").union(vouched)
-    held = keep(with_lent_signals(keep(candidates, "projected")), "candidates")
+    held = keep(with_lent_signals(candidates), "candidates")
     known = keep(with_components(demoted(held, ambiguous_keys(held))), "components")
     if (bad := impure(known).first()) is not None:
         raise BuildError(f"component {bad.component} holds {bad.kinds}")

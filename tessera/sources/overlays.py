@@ -2,8 +2,15 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 
+from tessera.operators.curation import OVERRIDE, CurationError, check
+
+FILES = {"mcp": "mcp.yaml", "skill": "skills.yaml"}
+DENIED = "denylist.yaml"
+
 
 class OverlayError(ValueError):
     """An overlay that can't be taken as it stands."""
@@ -29,23 +36,62 @@ def load_yaml(text: str):
     return yaml.load(text, Loader)
 
 
-def overrides(spark: SparkSession, text: str) -> DataFrame:
-    """(key, aliases, fields) of the entries of a correction file; values as text."""
-    rows, seen = [], set()
-    for e in (load_yaml(text) or {}).get("entries") or []:
-        if e["key"] in seen:
-            raise OverlayError(f"repeated entry {e['key']!r}")
-        seen.add(e["key"])
-        rows.append((e["key"], sorted(e.get("aliases") or []), {k: str(v).lower() if isinstance(v, bool) else str(v) for k, v in (e.get("fields") or {}).items()}))
-    return spark.createDataFrame(rows, "key string, aliases array<string>, fields map<string,string>")
+def _entries(text: str, what: str) -> list[dict]:
+    held = load_yaml(text)
+    held = {} if held is None else held
+    if not isinstance(held, dict) or not isinstance(held.get("entries") or [], list) or not all(isinstance(e, dict) for e in held.get("entries") or []):
+        raise OverlayError(f"{what} is no mapping with a list of entries")
+    return held.get("entries") or []
+
+
+def _said(e: dict, kind: str | None) -> dict:
+    """One correction; kind: of its file, which a correction can't leave."""
+    key = e.get("key")
+    if not isinstance(key, str) or not key.strip():
+        raise OverlayError("a correction needs a key")
+    own = e.get("kind", kind or key.split(":", 1)[0])
+    if kind is not None and own != kind:
+        raise OverlayError(f"{key!r} of kind {own!r} is in the file of {kind!r}")
+    aliases, fields = e.get("aliases") or [], e.get("fields") or {}
+    if not isinstance(aliases, list) or not all(isinstance(a, str) for a in aliases):
+        raise OverlayError(f"{key!r} has aliases that are no list of keys")
+    if not isinstance(fields, dict):
+        raise OverlayError(f"{key!r} has fields that are no mapping")
+    return {"key": key.strip(), "kind": own, "aliases": sorted(set(aliases)), "fields": {k: json.dumps(v, ensure_ascii=False) for k, v in fields.items()}}
+
+
+def overrides(spark: SparkSession, *texts: str, kinds: tuple[str | None, ...] | None = None) -> DataFrame:
+    """(key, kind, aliases, fields) of the entries of correction files, values as JSON; no key twice in all of them.
+
+    kinds: what each file may correct; none for either.
+    """
+    try:
+        rows = check([_said(e, kind) for text, kind in zip(texts, kinds or [None] * len(texts), strict=True) for e in _entries(text, "a correction file")])
+    except CurationError as e:
+        raise OverlayError(str(e)) from e
+    return spark.createDataFrame([(r["key"], r["kind"], r["aliases"], r["fields"]) for r in rows], OVERRIDE)
 
 
 def denials(spark: SparkSession, text: str) -> DataFrame:
     """(key, reason) of a denial file; a reason has 8 to 300 characters."""
-    rows = [(e["key"], e["reason"]) for e in (load_yaml(text) or {}).get("entries") or []]
+    rows = [(e.get("key"), e.get("reason")) for e in _entries(text, "a denial file")]
     for key, reason in rows:
-        if not 8 <= len(reason or "") <= 300:
+        if not isinstance(key, str) or not isinstance(reason, str) or not 8 <= len(reason) <= 300:
             raise OverlayError(f"{key!r} needs a reason of 8 to 300 characters")
     if len({k for k, _ in rows}) < len(rows):
         raise OverlayError("a key is denied twice")
     return spark.createDataFrame(rows, "key string, reason string")
+
+
+def folder(spark: SparkSession, at: str) -> tuple[DataFrame, DataFrame]:
+    """(overrides, denials) of a folder's files; one that isn't there says nothing."""
+    from pyarrow import fs
+
+    def text(name: str) -> str:
+        files, path = fs.FileSystem.from_uri(f"{at}/{name}")
+        if files.get_file_info(path).type != fs.FileType.File:
+            return ""
+        with files.open_input_stream(path) as f:
+            return f.read().decode()
+
+    return overrides(spark, *[text(n) for n in FILES.values()], kinds=tuple(FILES)), denials(spark, text(DENIED))

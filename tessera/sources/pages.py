@@ -7,14 +7,16 @@ lists those.
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import fields as N
 from tessera.functions import lenient as L
 from tessera.functions.text import title_words
-from tessera.operators.catalog import first_wins
+from tessera.operators.catalog import budget, first_rows, first_wins
 from tessera.operators.projections import OFFICIAL
 
 # Where sources keep their lists and pages, what front matter may measure, forms of GitHub's clone URLs.
@@ -23,6 +25,11 @@ SERVERS, PACKAGES = "https://registry.modelcontextprotocol.io/v0/servers", "http
 FRONT_BYTES, PATH_CHARS, SKILL = 8192, 255, "SKILL.md"
 FULL_NAME = "^[A-Za-z0-9_.-]{1,64}/[A-Za-z0-9_.-]{1,100}$"
 CLONE_URL = r"^(?:(?:git\+)?(?:https?|ssh|git)://(?:[^@/]+@)?github\.com/|(?:git@)?github\.com:)([A-Za-z0-9_.-]{1,64})/([A-Za-z0-9_.-]{1,100}?)(?:\.git)?/?$"
+SHOWN, REPO_FILES, REF_CHARS, HEAD_REF = 1000, 500, 300, "HEAD"
+SKILL_KEYS = (
+    "allowed_tools category commit_sha description docs_url frontmatter_bytes icon_url license marketplace marketplace_repo marketplace_reviewed model_invocable name plugin renamed_from repo skill_name "
+    "skill_path skill_version source_ref tags"
+).split()
 CLIPPED = r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]"
 FRONT_MATTER = "name string, description string, version string, license string, allowed_tools array<string>, disable_model_invocation boolean, frontmatter_bytes int, fault string"
 
@@ -31,9 +38,16 @@ def _items(pages: DataFrame, path: str) -> DataFrame:
     return pages.select("page", "url", F.posexplode(L.items(F.col("payload"), path)).alias("pos", "item"))
 
 
-def _records(found: DataFrame, source_id: str, upstream_id: Column, url: Column) -> DataFrame:
+def _named(found: DataFrame, source_id: str, upstream_id: Column, url: Column) -> DataFrame:
     named = found.withColumns({"upstream_id": upstream_id, "at": url}).where("upstream_id <> ''")
-    return first_wins(named, ["upstream_id"], [F.col("page"), F.col("pos")]).select(F.lit(source_id).alias("source_id"), "upstream_id", F.col("at").alias("url"), F.col("item").alias("payload"))
+    return named.select("page", "pos", F.lit(source_id).alias("source_id"), "upstream_id", F.col("at").alias("url"), F.col("item").alias("payload"))
+
+
+def _records(named: DataFrame, most: int | None) -> DataFrame:
+    """The first occurrence of each record; of them, with `most`, the first so many in order of pages."""
+    once = first_wins(named, ["upstream_id"], [F.col("page"), F.col("pos")])
+    kept = once if most is None else first_rows(once, ["page"], [F.col("pos")], most)
+    return kept.select("source_id", "upstream_id", "url", "payload")
 
 
 def faults(pages: DataFrame, source_id: str) -> DataFrame:
@@ -43,16 +57,43 @@ def faults(pages: DataFrame, source_id: str) -> DataFrame:
     return pages.where(~(kind.startswith("ARRAY") | empty)).select("page", "url")
 
 
-def registry_records(pages: DataFrame, include_deleted: bool = False) -> DataFrame:
-    """The latest version of each server; deleted ones only if asked for, as tombstones of an incremental crawl."""
+def wire_faults(metadata: DataFrame) -> DataFrame:
+    """(source_id, page, fault) of page metadata (source_id, page, items, first_id, pages_said): pages that repeat the first
+    record of an earlier page, as npm does beyond its end, and empty pages below the last that the source says it has."""
+    own = metadata.where("first_id IS NOT NULL")
+    first = own.groupBy("source_id", "first_id").agg(F.min("page").alias("earliest"))
+    again = own.join(first, ["source_id", "first_id"]).where("page > earliest").select("source_id", "page", F.lit("wrapped").alias("fault"))
+    gap = metadata.where("items = 0 AND page < pages_said").select("source_id", "page", F.lit("empty below the last").alias("fault"))
+    return again.union(gap)
+
+
+def status_of(item: Column) -> Column:
+    """A registry item's status, of the first holder that gives one."""
+    return F.lower(L.first_text(L.text(item, f"$._meta{OFFICIAL}.status"), L.text(item, f"$.server._meta{OFFICIAL}.status"), L.text(item, "$.server.status")))
+
+
+def registry_items(pages: DataFrame, include_deleted: bool = False, updated_since: str | None = None) -> DataFrame:
+    """(page, pos, source_id, upstream_id, url, payload) of each server's latest versions, row by row, so for streams too.
+
+    Deleted ones only if asked for, as tombstones of an incremental crawl. updated_since (RFC 3339) keeps what changed from
+    then on, or doesn't say when it did; a window that hid deletions couldn't report one, so it asks for them.
+    """
     i = F.col("item")
-    # Either holder may say that a version is superseded; the first that gives a status counts.
+    # Either holder may say that a version is superseded.
     old = L.exactly(i, f"$._meta{OFFICIAL}.isLatest", False) | L.exactly(i, f"$.server._meta{OFFICIAL}.isLatest", False) | L.exactly(i, "$.server.isLatest", False) | L.exactly(i, "$.isLatest", False)
-    status = F.lower(L.first_text(L.text(i, f"$._meta{OFFICIAL}.status"), L.text(i, f"$.server._meta{OFFICIAL}.status"), L.text(i, "$.server.status")))
     found = _items(pages, "$.servers").where(~old)
-    found = found if include_deleted else found.where(status != "deleted")
+    if updated_since is not None:
+        at = F.try_to_timestamp(L.first_text(L.text(i, f"$._meta{OFFICIAL}.updatedAt"), L.text(i, f"$.server._meta{OFFICIAL}.updatedAt")))
+        found = found.where(at.isNull() | (at >= F.to_timestamp(F.lit(updated_since))))
+    if not include_deleted and updated_since is None:
+        found = found.where(status_of(i) != "deleted")
     name = L.first_text(L.text(i, "$.server.name"), L.text(i, "$.name"))
-    return _records(found, "registry", name, F.concat(F.lit(SERVERS + "/"), F.replace(F.url_encode(name), F.lit("+"), F.lit("%20")), F.lit("/versions")))
+    return _named(found, "registry", name, F.concat(F.lit(SERVERS + "/"), F.replace(F.url_encode(name), F.lit("+"), F.lit("%20")), F.lit("/versions")))
+
+
+def registry_records(pages: DataFrame, include_deleted: bool = False, updated_since: str | None = None, most: int | None = None) -> DataFrame:
+    """The latest version of each server, by registry_items."""
+    return _records(registry_items(pages, include_deleted, updated_since), most)
 
 
 def next_cursor(payload: Column) -> Column:
@@ -75,12 +116,12 @@ def pruned_detail(payload: Column) -> Column:
     )
 
 
-def smithery_records(pages: DataFrame, details: DataFrame, top: int = 500, web: str = "https://smithery.ai/server/") -> DataFrame:
+def smithery_records(pages: DataFrame, details: DataFrame, top: int = 500, web: str = "https://smithery.ai/server/", most: int | None = None) -> DataFrame:
     """Listed, active servers; the top ones by use, then name, with their detail (payload) below _detail, if there is one."""
     i = F.col("item")
     found = _items(pages, "$.servers").where(~(L.exactly(i, "$.unlisted", True) | L.exactly(i, "$.inactive", True)))
     name = L.text(i, "$.qualifiedName")
-    rows = _records(found, "smithery", name, F.concat(F.lit(web), name))
+    rows = _records(_named(found, "smithery", name, F.concat(F.lit(web), name)), most)
     best = rows.orderBy(F.desc(F.coalesce(L.count(F.col("payload"), "$.useCount"), F.lit(0))), "upstream_id").limit(top).select(F.col("upstream_id").alias("_best"))
     known = first_wins(details.withColumn("_name", L.text(F.col("payload"), "$.qualifiedName")), ["_name"], [F.col("url")]).select("_name", F.to_json(pruned_detail(F.col("payload")), {"ignoreNullFields": "false"}).alias("_json"))
     wanted = known.join(best, F.col("_name") == F.col("_best"), "left_semi")
@@ -91,21 +132,22 @@ def smithery_records(pages: DataFrame, details: DataFrame, top: int = 500, web:
     return joined.select("source_id", "upstream_id", "url", F.when(F.col("_json").isNull(), F.col("payload")).otherwise(with_detail).alias("payload"))
 
 
-def npm_records(pages: DataFrame) -> DataFrame:
+def npm_records(pages: DataFrame, most: int | None = None) -> DataFrame:
     """Packages that npm doesn't call insecure, in whatever way it says so."""
     i = F.col("item")
     flag = F.try_variant_get(i, "$.flags.insecure", "variant")
     kind = F.coalesce(L.kind_of(flag), F.lit("VOID"))
     insecure = F.when(kind == "STRING", F.try_variant_get(i, "$.flags.insecure", "string") != "").when(kind == "BOOLEAN", F.try_variant_get(i, "$.flags.insecure", "boolean")).when(kind.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)"), F.try_variant_get(i, "$.flags.insecure", "double") != 0).otherwise(kind.rlike("^(ARRAY|OBJECT)<.+>"))
     name = L.text(i, "$.package.name")
-    return _records(_items(pages, "$.objects").where(~insecure), "npm", name, F.concat(F.lit(PACKAGES), name))
+    return _records(_named(_items(pages, "$.objects").where(~insecure), "npm", name, F.concat(F.lit(PACKAGES), name)), most)
 
 
-def topic_records(pages: DataFrame) -> DataFrame:
+def topic_records(pages: DataFrame, most: int | None = None) -> DataFrame:
     """Repositories by their full name in lower case."""
     i = F.col("item")
     name = L.text(i, "$.full_name")
-    return _records(_items(pages, "$.items").where(name.contains("/")), "github_topics", F.lower(name), L.first_text(F.try_variant_get(i, "$.html_url", "string"), F.concat(F.lit("https://github.com/"), name)))
+    url = L.first_text(F.try_variant_get(i, "$.html_url", "string"), F.concat(F.lit("https://github.com/"), name))
+    return _records(_named(_items(pages, "$.items").where(name.contains("/")), "github_topics", F.lower(name), url), most)
 
 
 def window_bound(seen: DataFrame) -> DataFrame:
@@ -113,6 +155,33 @@ def window_bound(seen: DataFrame) -> DataFrame:
     return seen.groupBy("topic").agg(F.min(L.count(F.col("payload"), "$.stargazers_count")).alias("bound"))
 
 
+def star_windows(stars: DataFrame, windows: int, shown: int = SHOWN) -> DataFrame:
+    """(window, rows, bound) of (stars): a search shows the `shown` largest, and the next asks for at most the least of these.
+
+    Windows overlap in the rows tied at their bounds, so the largest windows * shown values decide all of them, in one
+    top-k; the descent ends where a window has no more than it shows, or doesn't get below its bound.
+    """
+    name = stars.columns[0]
+    kind = stars.schema[name].dataType.simpleString()
+    top = stars.select(F.col(name).alias("v")).where("v IS NOT NULL").orderBy(F.desc("v")).limit(windows * shown)
+
+    def descend(batches):
+        held = [b.column("v").to_numpy(zero_copy_only=False) for b in batches if b.num_rows]
+        v = -np.concatenate(held) if held else np.zeros(0)  # ascending
+        start, out = 0, []
+        while start < len(v) and len(out) < windows:
+            end = min(start + shown, len(v))
+            if out and -v[end - 1] == out[-1][2]:
+                break
+            out.append((len(out) + 1, end - start, -v[end - 1]))
+            if end - start < shown:
+                break
+            start = int(np.searchsorted(v, v[end - 1], side="left"))
+        yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int32()), pa.array([o[1] for o in out], pa.int32()), pa.array([float(o[2]) for o in out], pa.float64())], names=["window", "rows", "bound"])
+
+    return top.coalesce(1).mapInArrow(descend, "window int, rows int, bound double").select("window", "rows", F.col("bound").cast(kind).alias("bound"))
+
+
 def clip(text: Column, limit: int) -> Column:
     """One line of a source's text, cut; control characters become spaces."""
     return F.substring(F.trim(F.regexp_replace(F.regexp_replace(text, CLIPPED, " "), r"(?U)\s+", " ")), 1, limit)
@@ -179,15 +248,69 @@ def renames(manifests: DataFrame) -> DataFrame:
 
 def skill_files(found: DataFrame, trees: DataFrame) -> DataFrame:
     """(marketplace_repo, plugin, skill_path) of plugins: files below a plugin's root in its repository's tree (repo,
-    payload), at any depth but not at the top, and those in declared folders; too long ones go."""
+    payload), at any depth but not at the top, and those in declared folders; too long ones go.
+
+    A file meets plugins by its ancestors: each folder above it, the repository itself among them, is a root that some
+    plugin may have. So a monorepo's plugins and files meet by equality, a row for each folder above a file.
+    """
     tree = trees.select(F.lower("repo").alias("_repo"), F.explode(L.items(F.col("payload"), "$.tree")).alias("node"))
     n = F.col("node")
     files = tree.where(L.text(n, "$.type") == "blob").select("_repo", safe_path(L.text(n, "$.path")).alias("skill_path")).where(F.col("skill_path").endswith("/" + SKILL)).distinct()
+    parts = F.split("skill_path", "/")
+    above = F.transform(F.sequence(F.lit(0), F.size(parts) - 1), lambda k: F.array_join(F.slice(parts, F.lit(1), k), "/"))
+    rooted = files.select("_repo", "skill_path", F.explode(above).alias("_root"))
     mine = found.select("marketplace_repo", "plugin", F.lower("repo").alias("_own"), "plugin_root", "declared")
-    inside = (F.col("plugin_root") == "") | F.startswith("skill_path", F.concat("plugin_root", F.lit("/")))
-    listed = mine.join(files, F.col("_own") == F.col("_repo")).where(inside).select("marketplace_repo", "plugin", "skill_path")
-    stated = mine.where("_own IS NOT NULL").select("marketplace_repo", "plugin", "plugin_root", F.explode("declared").alias("dir")).select("marketplace_repo", "plugin", F.concat_ws("/", F.nullif("plugin_root", F.lit("")), F.nullif("dir", F.lit("")), F.lit(SKILL)).alias("skill_path"))
-    return listed.union(stated).where((F.length("skill_path") <= PATH_CHARS) & F.col("skill_path").contains("/")).distinct()
+    listed = mine.join(rooted, (F.col("_own") == F.col("_repo")) & (F.col("plugin_root") == F.col("_root"))).select("marketplace_repo", "plugin", "_own", "skill_path")
+    folder = lambda: F.concat_ws("/", F.nullif("plugin_root", F.lit("")), F.nullif("dir", F.lit("")))
+    stated = mine.where("_own IS NOT NULL").select("marketplace_repo", "plugin", "_own", "plugin_root", F.explode("declared").alias("dir")).select("marketplace_repo", "plugin", "_own", F.concat_ws("/", F.nullif(folder(), F.lit("")), F.lit(SKILL)).alias("skill_path"))
+    room = N.URL - F.length(docs_url(F.col("_own"), F.lit("")))
+    return listed.union(stated).where((F.length("skill_path") <= room) & F.col("skill_path").contains("/")).select("marketplace_repo", "plugin", "skill_path").distinct()
+
+
+def docs_url(repo: Column, path: Column) -> Column:
+    """Where a skill's file can be read."""
+    return F.concat(F.lit("https://github.com/"), repo, F.lit(f"/blob/{HEAD_REF}/"), path)
+
+
+def skill_records(manifests: DataFrame, trees: DataFrame, texts: DataFrame, reviewed: DataFrame | None = None, most: int | None = None, per_repo: int = REPO_FILES) -> DataFrame:
+    """Records of the skills that manifests (marketplace_repo, url, payload, page) lead to: plugins, their files in the trees
+    (repo, payload), at most per_repo of a repository, and the files' texts (repo, skill_path, text), which go no further than
+    their front matter. Files that aren't there or don't start with usable front matter make no record.
+
+    reviewed: (marketplace_repo) that people have read. most: the first so many records, in order of repositories.
+    """
+    p = plugins(manifests)
+    old = renames(manifests).select(F.col("marketplace_repo").alias("_m"), F.col("plugin").alias("_p"), "renamed_from")
+    visits = skill_files(p, trees).join(p.withColumnsRenamed({"description": "plugin_description", "license": "plugin_license"}), ["marketplace_repo", "plugin"])
+    visits = budget(visits.withColumn("_own", F.lower("repo")), ["_own"], [F.col("marketplace_repo"), F.col("plugin"), F.col("skill_path")], per_repo)
+    read = texts.select(F.lower("repo").alias("_at"), F.col("skill_path").alias("_path"), front_matter(F.col("text")).alias("f")).where("f.fault IS NULL")
+    shas = trees.select(F.lower("repo").alias("_tree"), F.lower(L.text(F.col("payload"), "$.sha")).alias("_sha")).groupBy("_tree").agg(F.min("_sha").alias("_sha"))
+    rows = visits.join(read, (F.col("_own") == F.col("_at")) & (F.col("skill_path") == F.col("_path"))).join(shas, F.col("_own") == F.col("_tree"), "left").join(old, (F.col("marketplace_repo") == F.col("_m")) & (F.col("plugin") == F.col("_p")), "left")
+    if reviewed is not None:
+        rows = rows.join(F.broadcast(reviewed.select(F.lower("marketplace_repo").alias("_reviewed")).distinct()), F.lower("marketplace_repo") == F.col("_reviewed"), "left")
+    rows = rows if most is None else first_rows(rows, ["_own"], [F.col("marketplace_repo"), F.col("plugin"), F.col("skill_path")], most)
+    owner, name = F.split("_own", "/")[0], F.split("_own", "/")[1]
+    folder = F.expr(f"substring(skill_path, 1, length(skill_path) - {len(SKILL) + 1})")
+    sha = F.when(F.col("source.sha") != "", F.col("source.sha")).otherwise(F.when(F.col("_sha").rlike(N.SHA1), F.col("_sha")).otherwise(""))
+    url = docs_url(F.col("repo"), F.col("skill_path"))
+    told = {
+        "skill_name": F.col("f.name"), "name": F.col("f.name"), "description": L.first_text(F.col("f.description"), F.col("plugin_description")), "category": F.col("category"), "source_ref": F.substring(F.concat_ws("/", "_own", folder), 1, REF_CHARS),
+        "skill_path": F.col("skill_path"), "commit_sha": sha, "model_invocable": ~F.coalesce("f.disable_model_invocation", F.lit(False)), "allowed_tools": F.col("f.allowed_tools"), "skill_version": F.col("f.version"), "frontmatter_bytes": F.col("f.frontmatter_bytes"),
+        "license": L.first_text(F.col("f.license"), F.col("plugin_license")), "tags": F.col("tags"), "docs_url": url, "icon_url": N.avatar(owner), "marketplace": F.col("marketplace"), "marketplace_repo": F.col("marketplace_repo"),
+        "marketplace_reviewed": F.col("_reviewed").isNotNull() if reviewed is not None else F.lit(False), "repo": F.struct(F.lit("github.com").alias("host"), owner.alias("owner"), name.alias("repo"), folder.alias("subpath")),
+        "plugin": F.struct("marketplace", "marketplace_repo", "plugin", "source.source_kind", "source.source_value", sha.alias("sha")), "renamed_from": F.coalesce("renamed_from", F.array().cast("array<string>")),
+    }
+    payload = F.to_json(F.struct(*[told[k].alias(k) for k in SKILL_KEYS]), {"ignoreNullFields": "false"})
+    return rows.select(F.lit("marketplaces").alias("source_id"), F.concat_ws("#", "marketplace_repo", "plugin", folder).alias("upstream_id"), url.alias("url"), F.parse_json(payload).alias("payload"))
+
+
+def more_than_pointers(records: DataFrame) -> DataFrame:
+    """(upstream_id, key) of skill records that hold a key that none may have, or a text longer than a URL, at any of their
+    two levels: nothing of a skill's instructions belongs in the catalog."""
+    top = records.select("upstream_id", F.explode(L.members(F.col("payload"), "$")).alias("key", "v"))
+    inner = top.select("upstream_id", "key", F.explode(F.concat(F.array("v"), L.items(F.col("v"), "$"), F.map_values(L.members(F.col("v"), "$")))).alias("x"))
+    long = inner.where(F.length(F.try_variant_get("x", "$", "string")) > N.URL).where(L.kind_of(F.col("x")) == "STRING").select("upstream_id", "key")
+    return top.where(~F.col("key").isin(*SKILL_KEYS)).select("upstream_id", "key").union(long).distinct()
 
 
 def front_matter(text: Column) -> Column:
@@ -232,4 +355,7 @@ def front_matter(text: Column) -> Column:
         rows = [one(t) for t in texts]
         return pd.DataFrame({n: pd.Series([r.get(n) for r in rows], dtype="object") for n in names})
 
-    return parse(text)
+    # Up to the closing line, or to where a block is too long in any case; a text without opening line goes no further than it.
+    plain = F.replace(F.replace(F.ltrim(F.coalesce(text, F.lit("")), F.lit("\ufeff")), F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
+    head = F.substring(plain, 1, FRONT_BYTES + 64)
+    return parse(F.when(F.startswith(head, F.lit("---\n")), F.coalesce(F.nullif(F.regexp_extract(head, r"(?s)^---\n(?:|.*?\n)---[^\S\n]*(?=\n|$)", 0), F.lit("")), head)).otherwise("no block"))

@@ -18,10 +18,10 @@ def test_recorded_crawls(spark, tmp_path):
 
 def test_shards_written_and_scanned(spark, tmp_path):
     root = f"file://{tmp_path}"
-    lines = spark.range(40).select(F.concat(F.lit("mcp:npm:"), "id").alias("key")).withColumn("line", F.to_json(F.struct(F.col("key").alias("canonical_key"))))
-    assert shards.write_shards(lines, root, "mcp") == 40 == shards.write_shards(lines, root, "mcp")
+    lines = spark.range(40).select(F.concat(F.lit("mcp:npm:"), "id").alias("key"), F.lit("mcp").alias("kind")).withColumn("line", F.to_json(F.struct(F.col("key").alias("canonical_key"))))
+    assert shards.publish(lines, root) == {"mcp": 40, "skill": 0}
     files = sorted((tmp_path / "mcp").glob("*.jsonl"))
-    assert len(files) == 256 and any(f.stat().st_size == 0 for f in files)
+    assert len(files) == 256 == len(list((tmp_path / "skill").glob("*.jsonl"))) and any(f.stat().st_size == 0 for f in files)
     assert all(f.read_text().splitlines() == sorted(f.read_text().splitlines()) for f in files)
     scanned = shards.scan_shards(spark, root, "mcp")
     assert scanned.count() == 40 and shards.violations(scanned, "mcp").count() == 0
@@ -30,8 +30,14 @@ def test_shards_written_and_scanned(spark, tmp_path):
 
 def test_overlays(spark):
     pytest.importorskip("yaml")
-    got = overlays.overrides(spark, "version: 1\nentries:\n- key: mcp:npm:a\n  aliases: [z, b]\n  fields: {name: A, deprecated: true}\n").first()
-    assert (got.key, got.aliases, got.fields) == ("mcp:npm:a", ["b", "z"], {"name": "A", "deprecated": "true"})
+    got = overlays.overrides(spark, "version: 1\nentries:\n- key: mcp:npm:a\n  aliases: ['mcp:npm:z', 'mcp:npm:b']\n  fields: {name: A, deprecated: true, tags: [x]}\n").first()
+    assert (got.key, got.kind, got.aliases, got.fields) == ("mcp:npm:a", "mcp", ["mcp:npm:b", "mcp:npm:z"], {"name": '"A"', "deprecated": "true", "tags": '["x"]'})
+    one = "entries:\n- {key: 'mcp:npm:a', fields: {name: A}}\n"
+    for texts in ((one, one), ("- a\n",), (one.replace("name", "iconUrl"),), (one.replace("{name: A}", "[name]"),), ("entries:\n- {key: 'mcp:npm:a', aliases: x}\n",), ("entries:\n- {fields: {}}\n",)):
+        with pytest.raises(overlays.OverlayError):
+            overlays.overrides(spark, *texts)
+    with pytest.raises(overlays.OverlayError):
+        overlays.overrides(spark, one, kinds=("skill",))
     assert overlays.denials(spark, "entries:\n- {key: k, reason: long enough}\n").count() == 1
     for bad in ("entries:\n- {key: k, reason: short}\n", "entries: []\nentries: []\n"):
         with pytest.raises(overlays.OverlayError):

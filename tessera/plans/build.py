@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators import entries as E
@@ -62,23 +62,102 @@ def key_sets(spark, sf_dir):
 @query("""WITH RECURSIVE w(k, bound) AS (SELECT 1, (SELECT min(o_totalprice) FROM (SELECT o_totalprice FROM orders ORDER BY o_totalprice DESC LIMIT 1000))
 UNION ALL SELECT k + 1, (SELECT min(o_totalprice) FROM (SELECT o_totalprice FROM orders WHERE o_totalprice <= bound ORDER BY o_totalprice DESC LIMIT 1000)) FROM w WHERE k < 5) SELECT k, bound FROM w""")
 def star_windows(spark, sf_dir):
-    """The descent of a search that shows at most 1000 rows: each window is bounded by the least of the one before."""
-    o, bound, out = read(spark, sf_dir, "orders").select("o_totalprice"), None, []
-    for k in range(1, 6):
-        shown = (o if bound is None else o.where(F.col("o_totalprice") <= F.lit(bound))).orderBy(F.desc("o_totalprice")).limit(1000)
-        bound = shown.agg(F.min("o_totalprice")).first()[0]
-        out.append((k, bound))
-    return spark.createDataFrame(out, f"k int, bound {o.dtypes[0][1]}")
-
-
-@query("""WITH k AS (SELECT s_suppkey AS id, 'nation:' || s_nationkey AS key FROM supplier UNION ALL SELECT s_suppkey, 'supplier:' || s_suppkey FROM supplier),
-d AS (SELECT key FROM k GROUP BY 1 HAVING count(*) > 1), o AS (SELECT * FROM (VALUES ('nation:1'), ('nation:99'), ('supplier:1')) t(key))
-SELECT 'demoted' AS what, id AS id, k.key AS key FROM k JOIN d ON k.key = d.key UNION ALL SELECT 'unresolved', NULL, o.key FROM o WHERE o.key NOT IN (SELECT key FROM k)""")
+    """The descent of a search that shows at most 1000 rows: each window is bounded by the least of the one before. Where
+    there are fewer than five, the last bound stands for the rest."""
+    found = S.star_windows(read(spark, sf_dir, "orders").select("o_totalprice"), windows=5)
+    five = spark.range(1, 6).select(F.col("id").cast("int").alias("k")).join(found, F.col("k") == F.col("window"), "left")
+    return five.select("k", F.min("bound").over(Window.orderBy("k")).alias("bound"))
+
+
+@query("""WITH e AS (SELECT s_suppkey AS id, ['mcp:npm:s' || s_suppkey, 'mcp:repo:github.com/n/' || s_nationkey] AS keys FROM supplier),
+d AS (SELECT key FROM (SELECT id, unnest(keys) AS key FROM e) WHERE key LIKE 'mcp:repo:%' GROUP BY 1 HAVING count(*) > 1), o AS (SELECT * FROM (VALUES ('mcp:npm:s1'), ('mcp:npm:nobody'), ('mcp:repo:github.com/n/1')) t(key)),
+k AS (SELECT id, key FROM (SELECT id, unnest(keys) AS key FROM e) WHERE key NOT IN (SELECT key FROM d))
+SELECT 'demoted' AS what, id, key FROM (SELECT id, unnest(keys) AS key FROM e) WHERE key IN (SELECT key FROM d) UNION ALL SELECT 'unresolved', NULL, key FROM o WHERE key NOT IN (SELECT key FROM k)""")
 def demoted_and_unresolved(spark, sf_dir):
-    """Keys that several rows claim, by row, and keys of overrides that no row claims."""
+    """Repository keys that suppliers with disjoint packages claim, by supplier, and keys of overrides that then nobody has."""
     s = read(spark, sf_dir, "supplier")
-    k = s.select(F.col("s_suppkey").alias("id"), F.concat(F.lit("nation:"), "s_nationkey").alias("key")).union(s.select("s_suppkey", F.concat(F.lit("supplier:"), "s_suppkey")))
-    shared = k.groupBy("key").count().where("count > 1").select("key")
-    asked = spark.createDataFrame([("nation:1",), ("nation:99",), ("supplier:1",)], "key string")
-    demoted = k.join(shared, "key", "left_semi").select(F.lit("demoted").alias("what"), F.col("id").cast("bigint").alias("id"), "key")
-    return demoted.union(asked.join(k.select("key"), "key", "left_anti").select(F.lit("unresolved"), F.lit(None).cast("bigint"), "key"))
+    keys = F.array(F.concat(F.lit("mcp:npm:s"), "s_suppkey"), F.concat(F.lit("mcp:repo:github.com/n/"), "s_nationkey"))
+    made = s.select(F.col("s_suppkey").alias("id"), F.lit("npm").alias("source_id"), F.col("s_suppkey").cast("string").alias("upstream_id"), keys[0].alias("primary_key"), keys.alias("keys"))
+    live = E.demoted(made, E.ambiguous_keys(made))
+    entries = live.select(F.col("live_keys")[0].alias("canonical_key"), F.slice("live_keys", 2, 16).alias("alias_keys"))
+    asked = spark.createDataFrame([("mcp:npm:s1",), ("mcp:npm:nobody",), ("mcp:repo:github.com/n/1",)], "key string")
+    return live.select(F.lit("demoted").alias("what"), "id", F.explode("demoted_keys").alias("key")).union(E.unresolved(entries, asked).select(F.lit("unresolved"), F.lit(None).cast("bigint"), "key"))
+
+
+# What `recorded` comes to: the keys, the components and the tiers of its servers, without the library.
+SERVERS = r"""s AS (SELECT s_suppkey AS i, s_nationkey AS n, s_acctbal > 0 AS dials, 'mcp:registry:io.example/' || lower(replace(s_name, '#', '-')) AS registry FROM supplier),
+k AS (
+  SELECT i, 'mcp:repo:github.com/n' || n || '/r' || i AS key, 's' AS what, dials AS fine FROM s UNION ALL SELECT i, registry, 's', dials FROM s UNION ALL SELECT i, 'mcp:url:s' || i || '.example/mcp', 's', dials FROM s WHERE dials
+  UNION ALL SELECT c_custkey, 'mcp:smithery:@c/' || lower(c_name), 'c', c_acctbal > 0 FROM customer UNION ALL SELECT c_custkey, 'mcp:url:s' || c_custkey || '.example/mcp', 'c', c_acctbal > 0 FROM customer
+  UNION ALL SELECT p_partkey, 'mcp:npm:p' || p_partkey, 'p', false FROM part UNION ALL SELECT p_partkey, 'mcp:repo:github.com/n' || p_size || '/r' || p_partkey, 'p', false FROM part
+  UNION ALL SELECT n_nationkey, 'mcp:repo:github.com/n' || n_nationkey || '/r1', 't', false FROM nation),
+m AS (SELECT what || i AS id, key, what, fine FROM k),
+e AS (SELECT DISTINCT a.id AS u, b.id AS v FROM m a JOIN m b ON a.key = b.key),
+r AS (SELECT u AS id, min(v) AS c FROM (SELECT e.u, f.v FROM e JOIN e f ON e.v = f.u UNION SELECT e.u, g.v FROM e JOIN e f ON e.v = f.u JOIN e g ON f.v = g.u) GROUP BY 1),
+ranked AS (SELECT c, key, what, fine, CASE split_part(key, ':', 2) WHEN 'repo' THEN 0 WHEN 'url' THEN 1 WHEN 'registry' THEN 2 WHEN 'npm' THEN 3 ELSE 5 END AS rank FROM m JOIN r USING (id)),
+servers AS (SELECT arg_min(key, (rank, key)) AS canonical_key, list_sort(list_distinct(list(key))) AS keys, CASE WHEN bool_or(what = 's' AND fine) THEN 'registry_verified' WHEN bool_or(what = 'c' AND fine) THEN 'smithery_verified' ELSE 'indexed' END AS tier FROM ranked GROUP BY c)"""
+
+
+@query(f"""WITH {SERVERS} SELECT canonical_key, array_to_string(list_filter(keys, lambda x: x <> canonical_key), ',') AS aliases, tier FROM servers""")
+def catalog_identities(spark, sf_dir):
+    """Keys, aliases and tier of every server that the build makes of the tables' records."""
+    made, _ = E.build(P.project(recorded(spark, sf_dir)))
+    return made.where("kind = 'mcp'").select("canonical_key", F.array_join("alias_keys", ",").alias("aliases"), F.col("trust_tier").alias("tier"))
+
+
+#: Corrections of the curated build: by a package's alias, of a new entry, joining two components; and denials, one by an alias.
+CURATED = [
+    ("mcp:npm:p7", "mcp", [], {"name": '"Seven"', "description": '"By its package"'}), ("mcp:npm:made-by-hand", "mcp", ["mcp:npm:made-too"], {"name": '"By hand"', "category": '"Design"'}),
+    ("mcp:npm:p11", "mcp", ["mcp:npm:p12"], {"homepage": '"https://joined.example"'}),
+]
+CURATED_DENIED = ["mcp:npm:p20", "mcp:npm:nobody"]
+
+
+@query(f"""WITH {SERVERS}, hit AS (SELECT s.*, list_contains(keys, 'mcp:npm:p7') AS seven, list_contains(keys, 'mcp:npm:p11') OR list_contains(keys, 'mcp:npm:p12') AS joined FROM servers s WHERE NOT list_contains(keys, 'mcp:npm:p20')),
+one AS (SELECT list_sort(list_distinct(flatten(list(keys)))) AS keys FROM hit WHERE joined),
+top AS (SELECT arg_min(key, (CASE split_part(key, ':', 2) WHEN 'repo' THEN 0 WHEN 'url' THEN 1 WHEN 'registry' THEN 2 WHEN 'npm' THEN 3 ELSE 5 END, key)) AS canonical_key FROM (SELECT unnest(keys) AS key FROM one))
+SELECT canonical_key, array_to_string(list_filter(keys, lambda x: x <> canonical_key), ',') AS aliases, CASE WHEN seven THEN 'curated' ELSE tier END AS tier, CASE WHEN seven THEN 'description,name' ELSE '' END AS curated_fields FROM hit WHERE NOT joined
+UNION ALL SELECT top.canonical_key, array_to_string(list_filter(one.keys, lambda x: x <> top.canonical_key), ','), 'curated', 'homepage' FROM one, top
+UNION ALL SELECT 'mcp:npm:made-by-hand', 'mcp:npm:made-too', 'curated', 'category,name'""")
+def curated_build(spark, sf_dir):
+    """The build with overlays: overrides land by alias, join what they name, make entries of their own; denials take the identity."""
+    from tessera.operators import curation as U
+
+    overrides = spark.createDataFrame(CURATED, U.OVERRIDE)
+    denials = spark.createDataFrame([(k, "not wanted") for k in CURATED_DENIED], "key string, reason string")
+    made, _ = E.build(P.project(recorded(spark, sf_dir)), overrides=overrides, denials=denials)
+    return made.where("kind = 'mcp'").select("canonical_key", F.array_join("alias_keys", ",").alias("aliases"), F.col("trust_tier").alias("tier"), F.array_join("curated_fields", ",").alias("curated_fields"))
+
+
+@query(r"""WITH p AS (SELECT page_id, regexp_replace(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1), '^/+|/+$', '', 'g') AS path, regexp_extract(url, '^[a-z]+://([^/?#]*)', 1) AS host FROM pages),
+f AS (SELECT DISTINCT host, array_to_string(list_filter(string_split(path, '/'), lambda x: x <> '' AND x <> '.'), '/') || '/SKILL.md' AS file FROM p WHERE path <> '' AND NOT contains(path, '..')),
+r AS (SELECT DISTINCT host, string_split(file, '/')[1] AS root FROM f)
+SELECT r.host || '/' || r.root AS plugin, count(*) AS files FROM r JOIN f ON r.host = f.host AND starts_with(f.file, r.root || '/') GROUP BY 1""")
+def skill_tree(spark, sf_dir):
+    """Files below plugins' roots: paths of pages as a repository's tree for each host, its top folders as plugins."""
+    from tessera.functions import keys as K
+
+    h = read(spark, sf_dir, "pages").select(K.url_host(F.col("url")).alias("host"), S.safe_path(K.url_path(F.col("url"))).alias("path")).where("path <> ''")
+    trees = h.groupBy(F.concat(F.lit("o/"), "host").alias("repo")).agg(F.to_json(F.struct(F.collect_set(F.struct(F.lit("blob").alias("type"), F.concat("path", F.lit("/SKILL.md")).alias("path"))).alias("tree"))).alias("t")).select("repo", F.parse_json("t").alias("payload"))
+    root = F.split("path", "/")[0]
+    plugins = h.select(F.concat(F.lit("o/"), "host").alias("repo"), root.alias("plugin_root"), F.concat_ws("/", "host", root).alias("plugin")).distinct().withColumns({"marketplace_repo": F.lit("o/m"), "declared": F.array().cast("array<string>")})
+    return S.skill_files(plugins, trees).groupBy("plugin").agg(F.count("*").alias("files"))
+
+
+@query("""WITH c AS (SELECT c_custkey, 'mcp:npm:' || lower(c_name) AS key, c_name, c_acctbal, c_mktsegment FROM customer)
+SELECT key, list_aggregate(list_filter([CASE WHEN c_acctbal < 0 THEN 'tool_count' END, CASE WHEN c_mktsegment <> 'BUILDING' THEN 'category' END, CASE WHEN c_custkey % 3 = 0 THEN 'mcp_url' END, CASE WHEN c_custkey % 5 = 0 THEN 'trust_tier' END,
+  CASE WHEN c_custkey % 7 = 0 THEN 'alias is canonical' END], lambda x: x IS NOT NULL), 'string_agg', ',') AS violations FROM c WHERE c_acctbal < 0 OR c_mktsegment <> 'BUILDING' OR c_custkey % 3 = 0 OR c_custkey % 5 = 0 OR c_custkey % 7 = 0""")
+def entry_violations(spark, sf_dir):
+    """What the table of constraints says of customers as entries, some of them spoilt."""
+    from tessera.operators import constraints as V
+
+    i = F.col("c_custkey")
+    key = F.concat(F.lit("mcp:npm:"), F.lower("c_name"))
+    made = read(spark, sf_dir, "customer").select(
+        key.alias("canonical_key"), F.lit("mcp").alias("kind"), F.when(i % 7 == 0, F.array(key)).otherwise(F.array().cast("array<string>")).alias("alias_keys"), F.lit("a").alias("slug"), F.col("c_name").alias("name"), F.lit("").alias("description"),
+        F.when(i % 5 == 0, "best").otherwise("indexed").alias("trust_tier"), F.array(F.struct(F.lit("npm").alias("source_id"), i.cast("string").alias("upstream_id"), F.lit("https://up.example").alias("url"))).alias("sources"),
+        F.when(F.col("c_mktsegment") == "BUILDING", "Design").otherwise(F.col("c_mktsegment")).alias("category"), F.lit("mcp").alias("icon"), F.when(i % 3 == 0, "https://a.example/{x}").alias("mcp_url"), F.when(F.col("c_acctbal") < 0, -1).otherwise(3).alias("tool_count"),
+    )
+    found = made.select(F.col("canonical_key").alias("key"), V.violations(made).alias("v")).where("size(v) > 0")
+    order = F.array(*[F.lit(x) for x in ("tool_count", "category", "mcp_url", "trust_tier", "alias is canonical")])
+    return found.select("key", F.array_join(F.concat(F.array_intersect(order, "v"), F.array_except("v", order)), ",").alias("violations"))

@@ -306,8 +306,9 @@ def first_wins_dedupe(spark, sf_dir):
 @query("SELECT user_id, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events) WHERE n <= 5 ORDER BY user_id, ts, event_id LIMIT 400")
 def budget_per_group(spark, sf_dir):
     """At most five events a user, then 400 in all: both limits are the feature."""
-    kept = C.budget(read(spark, sf_dir, "events"), ["user_id"], [F.col("ts"), F.col("event_id")], 5)
-    return kept.orderBy("user_id", "ts", "event_id").limit(400).select("user_id", "event_id")
+    order = [F.col("ts"), F.col("event_id")]
+    kept = C.budget(read(spark, sf_dir, "events"), ["user_id"], order, 5)
+    return C.first_rows(kept, ["user_id"], order, 400).select("user_id", "event_id")
 
 
 def _snapshots(spark, sf_dir):

@@ -213,17 +213,19 @@ def merged_violations(df: DataFrame) -> Column:
     return F.array_compact(F.array(*[F.when(~F.coalesce(c, F.lit(False)), F.lit(name)) for name, c in ok.items()]))
 
 
-def mistyped(v: Column, at: str, t, null: bool) -> Column:
-    """Whether what lies at a path of a VARIANT isn't of the type, at any depth; whole numbers may stand for doubles."""
+def mistyped(v: Column, at: str, t, null: bool, whole: bool = True) -> Column:
+    """Whether what lies at a path of a VARIANT isn't of the type, at any depth; whole numbers may stand for doubles. Objects
+    have all keys of their type if they have to be whole, else some, and never others."""
     got = F.try_variant_get(v, at, "variant")
     kind = F.coalesce(L.kind_of(got), F.lit("absent"))
     if isinstance(t, StructType):
         keys = F.array_sort(F.map_keys(F.coalesce(F.try_variant_get(got, "$", "map<string,variant>"), F.create_map().cast("map<string,variant>"))))
-        inner = [mistyped(got, f"$['{f.name}']", f.dataType, f.name in SIGNALS) for f in t.fields]
-        bad = ~kind.startswith("OBJECT") | (keys != F.array(*[F.lit(f.name) for f in sorted(t.fields, key=lambda f: f.name)])) | reduce(lambda a, b: a | b, inner)
+        known = F.array(*[F.lit(f.name) for f in sorted(t.fields, key=lambda f: f.name)])
+        inner = [(F.lit(whole) | F.array_contains(keys, f.name)) & mistyped(got, f"$['{f.name}']", f.dataType, f.name in SIGNALS, whole) for f in t.fields]
+        bad = ~kind.startswith("OBJECT") | (keys != known if whole else F.size(F.array_except(keys, known)) > 0) | reduce(lambda a, b: a | b, inner)
     elif isinstance(t, ArrayType):
         items = F.coalesce(F.try_variant_get(got, "$", "array<variant>"), F.array().cast("array<variant>"))
-        bad = ~kind.startswith("ARRAY") | F.exists(items, lambda x: mistyped(x, "$", t.elementType, False))
+        bad = ~kind.startswith("ARRAY") | F.exists(items, lambda x: mistyped(x, "$", t.elementType, False, whole))
     elif isinstance(t, MapType):
         values = F.map_values(F.coalesce(F.try_variant_get(got, "$", "map<string,variant>"), F.create_map().cast("map<string,variant>")))
         bad = ~kind.startswith("OBJECT") | F.exists(values, lambda x: L.kind_of(x) != "STRING")

@@ -165,7 +165,7 @@ def corrected(entries: DataFrame, plan: DataFrame) -> DataFrame:
     put = {}
     for f in {f.name: f for kind in V.KINDS for f in V.ENTRIES[kind] if f.name not in FIXED}.values():
         kind = V.spark_type(f.kind)
-        faulty.append(F.when(says(f.name) & V.mistyped(F.try_parse_json(F.col("said")[f.name]), "$", V.entry_field(f), f.null), F.lit(f.name)))
+        faulty.append(F.when(says(f.name) & V.mistyped(F.try_parse_json(F.col("said")[f.name]), "$", V.entry_field(f), f.null, whole=False), F.lit(f.name)))
         if f.name == "popularity_signals":
             put |= {s: F.when(says(f.name), F.try_variant_get(F.try_parse_json(F.col("said")[f.name]), f"$.{s}", "bigint")).otherwise(F.col(s)) for s in P.SIGNALS}
         elif f.name in columns:

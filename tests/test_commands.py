@@ -55,7 +55,7 @@ def test_build_export_stats_and_gate(spark, published, capsys):
     crawl(at / "fewer", 90)
     assert run("build", str(at / "fewer"), out, "2026-01-02T00:00:00Z")[0] == commands.REFUSED and bytes_of(at / "out") == before
     (at / "bad").mkdir()
-    (at / "bad/mcp.yaml").write_text(OVERLAY.replace("category: Design", "category: Nowhere"))
+    (at / "bad/mcp.yaml").write_text(OVERLAY.replace("category: Design", "Category: Design"))
     assert run("build", str(at / "crawl"), out, "2026-01-02T00:00:00Z", "--overlays", f"file://{at}/bad")[0] == commands.FAILED and bytes_of(at / "out") == before
     assert run("nothing")[0] == commands.WRONG_CALL
 

@@ -161,3 +161,54 @@ def entry_violations(spark, sf_dir):
     found = made.select(F.col("canonical_key").alias("key"), V.violations(made).alias("v")).where("size(v) > 0")
     order = F.array(*[F.lit(x) for x in ("tool_count", "category", "mcp_url", "trust_tier", "alias is canonical")])
     return found.select("key", F.array_join(F.concat(F.array_intersect(order, "v"), F.array_except("v", order)), ",").alias("violations"))
+
+
+@query("""WITH c AS (SELECT c_custkey AS i, 'mcp:npm:' || lower(c_name) AS key FROM customer)
+SELECT CASE WHEN i % 11 = 4 AND substr(sha256(key), 1, 2) <> '00' THEN 'wrong shard' ELSE 'not canonical' END AS violation, key FROM c WHERE (i % 11 = 4 AND substr(sha256(key), 1, 2) <> '00') OR i % 10 = 3
+UNION ALL SELECT 'absent icon', key FROM c WHERE i % 4 = 0 UNION ALL SELECT 'unknown aaa', key FROM c WHERE i % 6 = 1 UNION ALL SELECT 'mistyped deprecated', key FROM c WHERE i % 9 = 2
+UNION ALL SELECT 'invalid category', key FROM c WHERE i % 7 = 5 AND i % 4 <> 0 AND i % 6 <> 1 AND i % 9 <> 2""")
+def strict_verification(spark, sf_dir):
+    """Customers as published lines, some of them spoilt: what verification says of each. A line that doesn't read back strictly
+    isn't looked at as an entry."""
+    from tessera import commands
+    from tessera.operators.catalog import shard
+    from tessera.sources import shards
+
+    c = read(spark, sf_dir, "customer")
+    i = F.col("c_custkey")
+    made = c.select(
+        F.concat(F.lit("mcp:npm:"), F.lower("c_name")).alias("canonical_key"), F.lit("mcp").alias("kind"), F.lit("a").alias("slug"), F.col("c_name").alias("name"), F.lit("").alias("description"), F.lit("indexed").alias("trust_tier"), F.lit(0.25).alias("popularity"),
+        F.array(F.struct(F.lit("npm").alias("source_id"), i.cast("string").alias("upstream_id"), F.lit("https://up.example").alias("url"))).alias("sources"), F.when(i % 7 == 5, "Nowhere").otherwise("Design").alias("category"), F.lit("mcp").alias("icon"),
+    )
+    line = F.col("line")
+    number = F.regexp_extract("key", "([0-9]+)$", 1).cast("bigint")
+    for hit, old, new in ((number % 4 == 0, '"icon":"mcp",', ""), (number % 6 == 1, '{"alias_keys"', '{"aaa":1,"alias_keys"'), (number % 9 == 2, '"deprecated":false', '"deprecated":"no"'), (number % 10 == 3, '"kind":', '"kind": ')):
+        line = F.when(hit, F.replace(line, F.lit(old), F.lit(new))).otherwise(line)
+    at = F.when(number % 11 == 4, "00").otherwise(shard(F.col("key")))
+    scanned = E.keep(commands.lines(made).select(at.alias("shard"), line.alias("line"), "key", "kind"), "lines")
+    return shards.violations(scanned, "mcp").union(shards.unsound(scanned, "mcp"))
+
+
+@query("""SELECT 'registry' AS source, count(*) FILTER (s_suppkey % 5 > 2) AS kept, count(*) FILTER (s_suppkey % 5 = 2) AS unusable FROM supplier
+UNION ALL SELECT 'npm', count(*) FILTER (p_partkey % 3 > 0 AND p_partkey % 4 > 0), count(*) FILTER (p_partkey % 4 = 0) FROM part
+UNION ALL SELECT 'smithery', count(*) FILTER (c_custkey % 4 > 1), 0 FROM customer""")
+def source_drops(spark, sf_dir):
+    """Candidates that projections make of records, and records that lack what identifies them: registry servers deleted,
+    superseded or without a name, npm packages insecure or without a name, Smithery servers unlisted or inactive."""
+    t = lambda name: read(spark, sf_dir, name)
+    named = lambda i, k, rest, name: F.when(i % k == rest, "").otherwise(F.concat(F.lit(name), i.cast("string")))
+    s, p, c = F.col("s_suppkey"), F.col("p_partkey"), F.col("c_custkey")
+    rows = [
+        t("supplier").select(F.lit("registry").alias("source_id"), s.cast("string").alias("upstream_id"), F.to_json(F.struct(F.struct(named(s, 5, 2, "io.x/s").alias("name"), F.when(s % 5 == 0, "deleted").otherwise("active").alias("status"), F.when(s % 5 == 1, F.lit(False)).alias("isLatest")).alias("server"), F.struct(F.struct(F.when(s % 5 == 0, "deleted").otherwise("active").alias("status")).alias(P.OFFICIAL[2:-2])).alias("_meta"))).alias("text")),
+        t("part").select(F.lit("npm"), p.cast("string"), F.to_json(F.struct(F.struct(named(p, 4, 0, "p").alias("name")).alias("package"), F.struct((p % 3 == 0).alias("insecure")).alias("flags")))),
+        t("customer").select(F.lit("smithery"), c.cast("string"), F.to_json(F.struct(F.concat(F.lit("@c/"), c.cast("string")).alias("qualifiedName"), (c % 4 == 0).alias("unlisted"), (c % 4 == 1).alias("inactive")))),
+    ]
+    records = E.keep(rows[0].union(rows[1]).union(rows[2]).select("source_id", "upstream_id", F.lit("https://up.example/").alias("url"), F.parse_json("text").alias("payload")), "records")
+    sources = spark.createDataFrame([("registry",), ("npm",), ("smithery",)], "source string")
+    kept = None
+    for name in ("registry", "npm", "smithery"):
+        one = P.SOURCES[name](records).select("source_id")
+        kept = one if kept is None else kept.union(one)
+    counted = lambda df, c: df.groupBy(F.col("source_id").alias("source")).agg(F.count("*").alias(c))
+    zero = F.lit(0).cast("bigint")
+    return sources.join(counted(kept, "kept"), "source", "left").join(counted(P.unusable(records), "unusable"), "source", "left").select("source", F.coalesce("kept", zero).alias("kept"), F.coalesce("unusable", zero).alias("unusable"))

@@ -57,7 +57,7 @@ def test_fields_are_laid_over_one_at_a_time(curated, entries):
     one = by["mcp:repo:github.com/o/o"]  # found by its package
     assert (one.name, one.trust_tier, one.curated_fields, one.github_stars, one.npm_downloads_monthly) == ("Other", "curated", ["name", "popularity_signals"], 9, None)
     assert [s.source_id for s in one.sources] == ["curated", "npm"] and one.stdio_only and one.url_unverified and "mcp:npm:other" in one.alias_keys
-    assert by["mcp:registry:io.brave/search" if "mcp:registry:io.brave/search" in by else "mcp:url:mcp.brave.dev"].trust_tier == "registry_verified"
+    assert by["mcp:url:mcp.brave.dev"].trust_tier == "registry_verified"
 
 
 def test_overrides_of_one_entry_apply_in_order_of_key(curated):

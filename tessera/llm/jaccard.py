@@ -16,7 +16,9 @@ Groups of classes with one signature are gathered in chunks first, and only one
 others, so a frequent signature is no large group; groups of the same classes are one. Within a group, in blocks of
 bounded size, classes are compared by parity sketches: the parities of their features dealt into some bits differ in at
 most as many bits as the sets differ in features, so a sketch rules pairs out and never wrongly. What it leaves is
-verified on the sets: first each class's nearest, twice, and then all that still lie in different components.
+verified on the sets: first each class's nearest, twice, and then all that still lie in different components. A group of
+several blocks is a star at first: its members meet its least only. Later the members of its commonest component don't
+meet each other, so a group of near copies costs time linear in it, and only what isn't like its least costs more.
 
 Defined results: null and blank text is the empty set, linked with nothing; shorter texts are one shingle; rows with
 equal sets are linked; component_id is the least doc_id, null only if all in it are null. Class keys have 64 bits.
@@ -32,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import DOCUMENT, give_back, keep, made, pick, settle, ship, small_batches, table
+from tessera.llm.common import DOCUMENT, estimated_bytes, give_back, keep, made, pick, settle, ship, small_batches, table
 from tessera.operators.components import connected
 
 #: Bytes of sets after which a chunk ends; a larger set is a chunk of its own.
@@ -40,6 +42,8 @@ CHUNK_BYTES = 24 << 20
 #: A filter has at most so many blocks of 64 bytes; beyond 5 million keys it lets more pass, and a join takes those out.
 MAX_BLOOM_BLOCKS = 1 << 17
 MEMBERS_A_SALT = 2000
+#: Bytes of the tables read that make a part of the signatures; a part is met in one worker's memory.
+PART_BYTES = 32 << 20
 #: Members of a group that are compared at once with each other, or with so many others.
 BLOCK_MEMBERS = 1024
 #: How often a set with too many empty subsets is dealt anew.
@@ -263,7 +267,7 @@ def candidate_groups(docs: DataFrame, n: int, bands: Bands, chunk_bytes: int = C
     """(sig, least, key) of every group of several classes, each other member with a lesser one of its group, and
     (null, null, key, size, sketch) of every class. The rows of a group form a tree: members of a chunk hang on the
     chunk's least, these on the least of all."""
-    parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), estimated_bytes(docs) // PART_BYTES)
 
     def run(batches):
         hashes, sets, size, number = _Hashes(), {}, 0, 0
@@ -287,12 +291,43 @@ def candidate_groups(docs: DataFrame, n: int, bands: Bands, chunk_bytes: int = C
 
 
 def distinct_members(groups: DataFrame) -> DataFrame:
-    """(sig, key) of all members; of groups of the same classes, one is left."""
+    """(sig, key, members, least) of all members; of groups of the same classes, one is left."""
     tree = groups.where("sig IS NOT NULL")
     members = tree.select("sig", "key").union(tree.select("sig", F.col("least").alias("key"))).distinct()
-    about = members.groupBy("sig").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("key")).alias("h"), F.bit_xor(F.xxhash64("key", F.lit(1))).alias("g"))
-    one = about.groupBy("n", "h", "g").agg(F.min("sig").alias("sig")).select("sig", "n")
-    return members.join(one, "sig").select("sig", "key", F.col("n").alias("members"))
+    about = members.groupBy("sig").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("key")).alias("h"), F.bit_xor(F.xxhash64("key", F.lit(1))).alias("g"), F.min("key").alias("least"))
+    one = about.groupBy("n", "h", "g").agg(F.min(F.struct("sig", "least")).alias("m")).select("m.sig", "n", "m.least")
+    return members.join(one, "sig").select("sig", "key", F.col("n").alias("members"), "least")
+
+
+def _stars(members: DataFrame, block_members: int) -> DataFrame:
+    """Members with block, low and high: a group of one block meets as a whole; of a larger one, each block meets the
+    group's least, which goes to all of them, so there are as many rows as members and blocks."""
+    blocks = F.ceil(F.col("members") / block_members).cast("int")
+    own = F.pmod(F.xxhash64("key", "sig"), blocks).cast("int")
+    center, large = F.col("key") == F.col("least"), blocks > 1
+    rows = members.withColumn("label", F.col("key")).withColumn("at", F.explode(F.when(center, F.sequence(F.lit(0), blocks - 1)).otherwise(F.array(own))))
+    low, block = F.when(large, -1 - F.col("at")).otherwise(0), F.when(large & center, -1).otherwise(0)
+    return rows.select("sig", "key", "label", block.alias("block"), low.alias("low"), F.lit(0).alias("high"))
+
+
+def _rest(members: DataFrame, labels: DataFrame, block_members: int) -> DataFrame:
+    """Members of groups of several components, with block, low and high.
+
+    The members of a group's commonest component are dealt into blocks of their own, which meet the blocks of all
+    others; these also meet each other.
+    """
+    named = labels.select(F.col("node").alias("_node"), "label")
+    members = members.join(named, F.col("key") == F.col("_node"), "left").select("sig", "key", F.coalesce("label", "key").alias("label"))
+    sizes = members.groupBy("sig", "label").agg(F.count("*").alias("n"))
+    about = sizes.groupBy("sig").agg(F.sum("n").alias("all"), F.max(F.struct("n", "label")).alias("m")).where("all > m.n")
+    blocks = lambda n: F.ceil(n / block_members).cast("int")
+    about = about.select("sig", F.col("m.label").alias("common"), blocks(F.col("all") - F.col("m.n")).alias("others"), blocks(F.col("m.n")).alias("commons"))
+    rows = members.join(about, "sig").withColumn("is_common", F.col("label") == F.col("common"))
+    h = F.xxhash64("key", "sig")
+    block = F.when(F.col("is_common"), F.col("others") + F.pmod(h, F.col("commons"))).otherwise(F.pmod(h, F.col("others"))).cast("int")
+    last = F.col("others") + F.when(F.col("is_common"), 0).otherwise(F.col("commons")) - 1
+    rows = rows.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), last)))
+    return rows.select("sig", "key", "label", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
 
 
 def _near(sketches: list[bytes], sizes: np.ndarray, num: int, den: int, rows: slice, columns: slice) -> np.ndarray:
@@ -313,17 +348,10 @@ def near_pairs(members: DataFrame, classes: DataFrame, labels: DataFrame | None,
     """Pairs of a group that sketches don't rule out, between different components: (a, b, d), d the sketches' distance.
 
     With nearest, each member's nearest of its group only, as (key, other, distance); else all, once for each group.
+    Without labels every class is a component of its own, and large groups are stars.
     """
-    if labels is not None:
-        members = members.join(labels.select(F.col("node").alias("_node"), "label"), F.col("key") == F.col("_node"), "left").select("sig", "key", "members", F.coalesce("label", "key").alias("label"))
-        spread = members.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("sig")
-        members = members.join(spread, "sig", "left_semi")
-    else:
-        members = members.withColumn("label", F.col("key"))
-    rows = members.join(classes.select(F.col("key").alias("_key"), "size", "sketch"), F.col("key") == F.col("_key"))
-    blocks = F.ceil(F.col("members") / block_members).cast("int")
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("key", "sig"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    rows = rows.select("sig", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "key", "label", "size", "sketch")
+    rows = _stars(members, block_members) if labels is None else _rest(members, labels, block_members)
+    rows = rows.join(classes.select(F.col("key").alias("_key"), "size", "sketch"), F.col("key") == F.col("_key")).drop("_key")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("d", pa.int64())])
 
     def compare(rows: pa.Table, low: int, high: int) -> pa.RecordBatch | None:
@@ -479,11 +507,13 @@ def _labelled(docs: DataFrame, n: int, num: int, den: int, chunk_bytes: int, blo
     if not members.isEmpty():
         classes = groups.where("sig IS NULL").select("key", "size", "sketch")
         found = keep(near_pairs(members, classes, None, num, den, True, block_members), "near")
-        found = None if found.isEmpty() else found
+        large = members.where(F.col("members") > block_members).select("key")
+        found = None if found.isEmpty() and large.isEmpty() else found
     if found is None:
         return classes_of(docs, n).select("doc_id", "mark", "n_shingles", "key", F.col("key").alias("label"))
     pairs = keep(_nearest(found), "pairs")
-    rows = keep(classes_of(docs, n, found.select(F.col("a").alias("key")).distinct()), "rows")
+    # A member of a star that isn't like its least may still be like others.
+    rows = keep(classes_of(docs, n, found.select(F.col("a").alias("key")).union(large).distinct()), "rows")
     sets = keep(rows.where("features IS NOT NULL").groupBy("key").agg(F.max("features").alias("features")), "sets")
     edges = keep(verified(pairs, sets, num, den), "edges")
     settle(spark)

@@ -47,6 +47,17 @@ def test_mix_targets_and_copies(spark, most):
     assert mixing.mix(docs, broadcast_sources=most).count() == sum(r.copies for r in got)
 
 
+def test_mix_comes_near_targets_with_long_texts(spark):
+    """Sources of twenty texts, one of them a third of the source: single draws miss widely, chosen ones don't."""
+    rows = [(i, "w " * (20 + i % 37 if i // 40 else 400), f"s{i % 40:02}") for i in range(800)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    off = []
+    for trials in (1, mixing.TRIALS):
+        got = mixing.plan_mix(docs, trials=trials).groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("taken"), F.first("target").alias("target")).collect()
+        off.append(max(abs(r.taken / r.target - 1) for r in got))
+    assert len(got) == 40 and off[1] <= 0.05 < 0.2 < off[0]
+
+
 def test_odd_documents_everywhere(spark):
     docs = odd_documents(spark)
     empty = docs.where("false")

@@ -212,3 +212,21 @@ def source_drops(spark, sf_dir):
     counted = lambda df, c: df.groupBy(F.col("source_id").alias("source")).agg(F.count("*").alias(c))
     zero = F.lit(0).cast("bigint")
     return sources.join(counted(kept, "kept"), "source", "left").join(counted(P.unusable(records), "unusable"), "source", "left").select("source", F.coalesce("kept", zero).alias("kept"), F.coalesce("unusable", zero).alias("unusable"))
+
+
+@query("""WITH l AS (SELECT s_suppkey AS place, s_suppkey <= 2 AS seed, CASE WHEN s_suppkey % 13 = 0 THEN 'no name' ELSE 'o' || s_nationkey || '/r' || (s_suppkey % 40) END AS n FROM supplier),
+own AS (SELECT lower(n) AS repo, CASE WHEN bool_or(seed) THEN 'seed' ELSE 'reviewed' END AS origin, min(place) AS place, arg_min(n, place) AS full_name FROM l WHERE n <> 'no name' OR seed GROUP BY 1),
+f AS (SELECT c_custkey AS i, (CASE WHEN c_custkey % 7 = 0 THEN 'O' ELSE 'o' END) || c_nationkey || '/R' || (c_custkey % 40) AS n FROM customer WHERE c_custkey % 11 <> 0),
+t AS (SELECT lower(n) AS repo, arg_min(n, i) AS full_name FROM f WHERE lower(n) NOT IN (SELECT repo FROM own) GROUP BY 1)
+SELECT repo, full_name, origin, place, true AS visited FROM own UNION ALL SELECT repo, full_name, 'topic', NULL, false FROM t""")
+def discovery(spark, sf_dir):
+    """Repositories to visit and those that wait for a review: customers as a search's results, 100 a page, suppliers as
+    the reviewed list, its first two as seeds; some names are in capitals, some are no repository."""
+    c, s = read(spark, sf_dir, "customer"), read(spark, sf_dir, "supplier")
+    i = F.col("c_custkey")
+    name = F.when(i % 11 == 0, "no name").otherwise(F.concat(F.when(i % 7 == 0, "O").otherwise("o"), F.col("c_nationkey").cast("string"), F.lit("/R"), (i % 40).cast("string")))
+    items = c.groupBy(F.floor(i / 100).cast("int").alias("page")).agg(F.array_sort(F.collect_list(F.struct(i.alias("i"), name.alias("full_name")))).alias("items"))
+    pages = items.select("page", F.lit("https://up.example/").alias("url"), F.parse_json(F.to_json(F.struct("items"))).alias("payload"))
+    k = F.col("s_suppkey")
+    own = F.when(k % 13 == 0, "no name").otherwise(F.concat(F.lit("o"), F.col("s_nationkey").cast("string"), F.lit("/r"), (k % 40).cast("string")))
+    return S.discovered(pages, s.select(own.alias("full_name"), (k <= 2).alias("seed"), k.alias("place")))

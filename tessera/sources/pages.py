@@ -25,7 +25,7 @@ SERVERS, PACKAGES = "https://registry.modelcontextprotocol.io/v0/servers", "http
 FRONT_BYTES, PATH_CHARS, SKILL = 8192, 255, "SKILL.md"
 FULL_NAME = "^[A-Za-z0-9_.-]{1,64}/[A-Za-z0-9_.-]{1,100}$"
 CLONE_URL = r"^(?:(?:git\+)?(?:https?|ssh|git)://(?:[^@/]+@)?github\.com/|(?:git@)?github\.com:)([A-Za-z0-9_.-]{1,64})/([A-Za-z0-9_.-]{1,100}?)(?:\.git)?/?$"
-SHOWN, REPO_FILES, REF_CHARS, HEAD_REF = 1000, 500, 300, "HEAD"
+SHOWN, REPO_FILES, REF_CHARS, HEAD_REF, FULL_NAME_CHARS = 1000, 500, 300, "HEAD", 165
 SKILL_KEYS = (
     "allowed_tools category commit_sha description docs_url frontmatter_bytes icon_url license marketplace marketplace_repo marketplace_reviewed model_invocable name plugin renamed_from repo skill_name "
     "skill_path skill_version source_ref tags"
@@ -150,6 +150,26 @@ def topic_records(pages: DataFrame, most: int | None = None) -> DataFrame:
     return _records(_named(_items(pages, "$.items").where(name.contains("/")), "github_topics", F.lower(name), url), most)
 
 
+def discovered(pages: DataFrame, listed: DataFrame, only_listed: bool = True) -> DataFrame:
+    """(repo, full_name, origin, place, visited): the repositories that a search's pages and people's lists name, once each.
+
+    listed: (full_name, seed, place); Spark chooses the join by its size. Names in it that aren't
+    owner/name count among seeds only. Origins come in the order seed, reviewed, topic; the first place of a name in its
+    list, or its first occurrence on the pages, gives its spelling. With only_listed, what a search alone has found isn't
+    visited: those rows are the report of what waits for a review. Visits are in order of origin, place and repo.
+    Null names and pages without a list give nothing.
+    """
+    name = F.trim("full_name")
+    own = listed.select(name.alias("full_name"), F.coalesce("seed", F.lit(False)).alias("seed"), F.col("place").cast("bigint").alias("place"))
+    own = own.where(F.col("full_name").rlike(FULL_NAME) | (F.col("seed") & (F.col("full_name") != ""))).withColumn("repo", F.lower("full_name"))
+    first = F.min(F.struct((~F.col("seed")).alias("later"), "place", "full_name")).alias("m")
+    own = own.groupBy("repo").agg(first).select("repo", "m.full_name", F.when(F.col("m.later"), "reviewed").otherwise("seed").alias("origin"), "m.place")
+    found = _items(pages, LISTS["github_topics"]).withColumn("full_name", clip(L.text(F.col("item"), "$.full_name"), FULL_NAME_CHARS)).where(F.col("full_name").rlike(FULL_NAME))
+    found = found.groupBy(F.lower("full_name").alias("repo")).agg(F.min(F.struct("page", "pos", "full_name")).alias("m"))
+    found = found.join(own.select("repo"), "repo", "left_anti").select("repo", "m.full_name", F.lit("topic").alias("origin"), F.lit(None).cast("bigint").alias("place"))
+    return own.withColumn("visited", F.lit(True)).unionByName(found.withColumn("visited", F.lit(not only_listed)))
+
+
 def window_bound(seen: DataFrame) -> DataFrame:
     """(topic, bound): the fewest stars that a topic's window has shown; its next window asks for at most so many."""
     return seen.groupBy("topic").agg(F.min(L.count(F.col("payload"), "$.stargazers_count")).alias("bound"))

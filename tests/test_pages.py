@@ -49,6 +49,18 @@ def test_npm_and_topic_pages(spark):
     assert tuple(S.window_bound(seen).first()) == ("mcp", 3)
 
 
+def test_discovered_repositories(spark):
+    item = lambda *names: {"items": [{"full_name": n} for n in names]}
+    p = paged(spark, item("X/Second", "s/eed", "bad name", None, " new/One "), item("NEW/one", "r/ev", "x/second", "n" * 65 + "/r"), {"items": None}, {"other": 1})
+    listed = spark.createDataFrame([("S/Eed", True, 0), ("R/ev", False, 1), ("s/eed", False, 2), ("not a name", False, 3), ("odd seed", True, 4), (None, False, 5), ("r/EV", None, 6)], "full_name string, seed boolean, place int")
+    both = {("s/eed", "S/Eed", "seed", 0, True), ("odd seed", "odd seed", "seed", 4, True), ("r/ev", "R/ev", "reviewed", 1, True)}
+    for only in (True, False):
+        topics = {("x/second", "X/Second", "topic", None, not only), ("new/one", "new/One", "topic", None, not only)}
+        assert {tuple(r) for r in S.discovered(p, listed, only).collect()} == both | topics
+    assert S.discovered(p.where("false"), listed.where("false")).count() == 0
+    assert {r.origin for r in S.discovered(p, listed.where("false")).collect()} == {"topic"}
+
+
 @pytest.mark.parametrize(
     ("source", "want"),
     [

@@ -9,6 +9,7 @@ import zlib
 import numpy as np
 import pytest
 from helpers import ODD, jaccard_components, odd_documents
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tessera.llm import ann, bpe, chat, jaccard, tokenfiles, wordtable
@@ -235,6 +236,18 @@ def test_one_group_of_many_near_copies(spark):
     assert 2 < len(set(label.tolist())) < 2500 and not linked.all()
 
 
+def test_large_groups_make_rows_in_proportion(spark):
+    """A group of 5000 in blocks of 100: as stars, and when all but three members lie in one component."""
+    members = spark.range(5000).select(F.lit(7).cast("bigint").alias("sig"), F.col("id").alias("key"), F.lit(5000).cast("bigint").alias("members"), F.lit(0).cast("bigint").alias("least"))
+    stars = jaccard._stars(members, 100)
+    assert stars.count() == 4999 + 50 and stars.groupBy("low").agg(F.min("block").alias("b"), F.min("key").alias("k")).where("b = -1 AND k = 0").count() == 50
+    labels = spark.range(4997).select(F.col("id").alias("node"), F.lit(0).cast("bigint").alias("label"))
+    rest = jaccard._rest(members, labels, 100)
+    assert rest.count() == 4997 + 3 * 51 and rest.where("key < 4997").select("key").distinct().count() == 4997
+    pairs = rest.groupBy("low", "high").agg(F.sum(F.when(F.col("key") < 4997, 1).otherwise(0)).alias("common"), F.count("*").alias("n"))
+    assert pairs.where("n - common = 3").count() == pairs.count() == 51 and pairs.agg(F.sum("common")).first()[0] == 4997
+
+
 def test_odd_near_duplicates(spark):
     docs = odd_documents(spark)
     assert jaccard.link_components(docs).count() == len(ODD) and jaccard.link_components(docs.where("false")).count() == 0
@@ -258,3 +271,17 @@ def test_pipeline(spark, sf_dir):
     mixed = stages["mixing sources"](spark, clean, sf_dir)
     assert mixed.columns == docs.columns
     assert stages["bpe encoding"](spark, mixed, sf_dir).count() == mixed.count()
+
+
+def test_pipeline_stages_on_odd_rows(spark, sf_dir):
+    """Every stage by itself: null columns, blank and very long texts, repeated and null ids, clashing names, no rows."""
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    docs = odd_documents(spark)
+    columns, counts = ["doc_id", "text", "lang", "source", "n_chars"], {}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, sf_dir)
+        counts[name] = out.count()
+        assert name == "bpe encoding" or out.columns == columns
+        assert stage(spark, docs.where("false"), sf_dir).count() == 0
+    assert counts["quality rules"] < len(ODD) and counts["near duplicates"] == len(ODD) - 1
+    assert counts["personal data"] == len(ODD) == counts["bpe encoding"]

@@ -41,10 +41,10 @@ LIKE_P = frozenset(("p", "h1", "h2", "h3", "h4", "h5", "h6"))
 ENDS_OWN = {"li": ("ul", "ol", "menu"), "td": ("tr", "table"), "th": ("tr", "table"), "tr": ("table",), "dt": ("dl",), "dd": ("dl",), "option": ("select",)}
 #: What the parts of class names, ids and roles say, as whole words. In one name, text gives way to any other group.
 GROUPS = {
-    "menu": "nav navs navbar navigation menu menus menubar breadcrumb breadcrumbs toolbar tabs pagination pager subnav topnav sidenav",
+    "menu": "nav navs navbar navigation menu menus menubar breadcrumb breadcrumbs navbox toc toolbar tabs pagination pager subnav topnav sidenav",
     "head": "header siteheader pageheader masthead banner logo topbar",
     "foot": "foot footer sitefooter pagefooter copyright legal colophon bottom imprint",
-    "side": "sidebar sidebars aside widget widgets rail complementary related recommend recommended recommendations popular trending",
+    "side": "sidebar sidebars aside widget widgets rail infobox complementary related recommend recommended recommendations popular trending",
     "ad": "ad ads advert adverts advertisement advertisements advertising sponsor sponsors sponsored promo promos promotion adsbox adslot adbox adsense",
     "notice": "cookie cookies consent notice notices alert alerts gdpr popup popups modal overlay warning dialog",
     "talk": "comment comments commentlist disqus respond replies reply discussion discussions reader readers",
@@ -57,6 +57,12 @@ _GROUP_OF = {word: group for group, words in GROUPS.items() for word in words.sp
 _STATES = frozenset("no not non without with has have hide free is layout".split())
 #: Names that begin so and end in a word of text, or are such a word, outweigh other names of their element.
 _STRONG = frozenset("article post entry story prose".split())
+#: Groups that a word of text may follow in the name of an article: an alert-article is an article, a sponsored-post none.
+_BEFORE_TEXT = frozenset(("menu", "head", "foot", "notice", "text"))
+#: What an element says that may stand around text, and what says that something isn't text.
+_AROUND_TEXT = frozenset(("in article", "in main", "named text"))
+_NO_TEXT = frozenset(("in nav", "in aside", "in form", "in header", "in footer", "in dialog", "in button", "in select", "in label", "in menu", "hidden", *(f"named {g}" for g in GROUPS if g != "text")))
+_HEADS = frozenset(("in header", "in head", "named head"))
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
@@ -68,7 +74,7 @@ def said_by(names: str) -> frozenset:
         groups = {_GROUP_OF[p] for p in parts if p in _GROUP_OF}
         if not groups or not _STATES.isdisjoint(parts):
             continue
-        strong |= groups == {"text"} and parts[0] in _STRONG
+        strong |= groups == {"text"} and parts[0] in _STRONG or len(parts) > 1 and parts[-1] in _STRONG and groups <= _BEFORE_TEXT
         out |= groups - {"text"} or groups
     return frozenset({"text"} if strong else out)
 
@@ -126,6 +132,9 @@ def leaf_blocks(page: str | None):
         if "=" in attributes and tag not in ("html", "body"):
             names = " ".join(x for a, b, c in _NAMES.findall(attributes) if (x := a or b or c))
             more.update(f"named {g}" for g in (said_by(names) if names else ()))
+        if not _AROUND_TEXT.isdisjoint(around) and not more.isdisjoint(_HEADS):
+            # A header inside an article is the article's own: its title, not the page's banner.
+            more = more - _HEADS | {"own header"}
         near = frozenset(f"nearest {x}" for x in more) or nearest
         if attributes and _HIDDEN.search(attributes) and _HIDDEN.search(_OTHER.sub(lambda m: m[1] or "=", attributes)):
             more.add("hidden")
@@ -135,7 +144,9 @@ def leaf_blocks(page: str | None):
         nonlocal linked
         text = " ".join(_html.unescape("".join(held)).split())
         if text:
-            out.append((text, [*stack[-1][1], *stack[-1][2], *told(text, linked, stack[-1][0])]))
+            around = stack[-1][1]
+            plain = ["text alone"] if not _AROUND_TEXT.isdisjoint(around) and _NO_TEXT.isdisjoint(around) else []
+            out.append((text, [*around, *stack[-1][2], *plain, *told(text, linked, stack[-1][0])]))
         held.clear()
         linked = 0
 
@@ -296,7 +307,7 @@ def labelled_page(seed: int) -> tuple[str, list[str]]:
         if r.random() < 0.8:
             title = " ".join(word() for _ in range(r.randint(2, 9))).capitalize()
             main.append(title)
-            parts.append(some(f"<h1>{title}</h1>", f"<h2>{title}</h2>", f"<h1>{title}</h1>"))
+            parts.append(some(f"<h1>{title}</h1>", f"<h2>{title}</h2>", f"<h1>{title}</h1>", f"<header><h1>{title}</h1></header>", f'<div class="{some("post", "entry", "article", "story")}-{some("header", "head")}"><h1>{title}</h1></div>') if r.random() < 0.6 else f"<h1>{title}</h1>")
         for _ in range(r.choice((0, 1, 2, 3, 5, 8, 12)) or (not main)):
             text, kind = prose() if r.random() < 0.8 else sentence(1, 5), r.random()
             main.append(text)
@@ -311,9 +322,9 @@ def labelled_page(seed: int) -> tuple[str, list[str]]:
             elif kind < 0.82:
                 parts.append(f"<blockquote>{text}</blockquote>")
             elif kind < 0.9:
-                items = [sentence(2, 9) for _ in range(r.randint(1, 4))]
+                items = [sentence(2, 9) if kind < 0.86 else " ".join(word() for _ in range(r.randint(1, 4))) for _ in range(r.randint(1, 4))]
                 main[-1:] = items
-                parts.append("<ul>" + "".join(f"<li>{x}</li>" for x in items) + "</ul>")
+                parts.append("<ul>" + "".join(f"<li>{x}</li>" if kind < 0.86 else f'<li><a href="/{word()}">{x}</a></li>' for x in items) + "</ul>")
             else:
                 words = text.split(" ")
                 words[0] = f'<a href="x">{words[0]}</a>'

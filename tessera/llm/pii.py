@@ -1,7 +1,7 @@
 """Personal data: fixed base rules, and a boosted-tree verdict on further candidate spans.
 
 Generators with high recall propose overlapping spans (written-out e-mail addresses, national phone numbers of two
-groups or more, card numbers with odd separators or of 13 to 19 digits, version-6 addresses whole or compressed); boosted trees score each by its format and its context; a span
+groups or more or in one run, dates excepted, card numbers with odd separators or of 13 to 19 digits, version-6 addresses whole or compressed); boosted trees score each by its format and its context; a span
 is taken where the score passes its threshold, set to a precision of at least PRECISION on other such spans and on
 spans that other templates than those of training put into other sentences. No table marks spans, so both kinds are composed here. Base spans always stay;
 of overlapping further spans the more probable stays, and none may overlap a base span.
@@ -37,14 +37,18 @@ _DIGIT = re.compile(r"[0-9]")
 # Candidate patterns.
 _WRITTEN = re.compile(r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]{1,64}+ ?(?:\[at\]|\(at\)|\{at\}|(?<= )at(?= )) ?[a-z0-9-]{1,63}(?: ?(?:\[dot\]|\(dot\)|\{dot\}|(?<= )dot(?= )|\.) ?[a-z0-9-]{1,63}){1,6}")
 _WRITTEN_GATE = re.compile(r"(?i)[\[({]at[\])}]| at ")
-_NATIONAL = re.compile(r"(?<![\w+.-])(?:\([0-9]{2,5}\)|00[0-9]{1,3}|[0-9]{2,5})(?:[ ./-]{1,2}[0-9]{2,8}){1,5}(?![\w-])")
+# A number's parts, apart by a sign, blanks, or a sign between blanks; a part in brackets needs neither.
+_GAP = r"(?: [./-] |[ ./-]{1,2})"
+_NATIONAL = re.compile(rf"(?<![\w+.-])(?:\([0-9]{{2,5}}\)|00[0-9]{{1,3}}|[0-9]{{1,5}})(?:(?:{_GAP})?\([0-9]{{1,4}}\)(?:{_GAP})?[0-9]{{2,8}}|{_GAP}[0-9]{{2,8}}){{1,5}}(?![\w-])")
+_BARE = re.compile(r"(?<![\w+.,-])[0-9]{9,12}(?![\w-]|[.,][0-9])")
+_DATE = re.compile(r"(?:(?:19|20)[0-9]{2}([ ./-])(?:0?[1-9]|1[0-2])\1(?:0?[1-9]|[12][0-9]|3[01])|(?:0?[1-9]|[12][0-9]|3[01])([ ./-])(?:0?[1-9]|1[0-2])\2(?:19|20)[0-9]{2}|(?:0?[1-9]|1[0-2])([ ./-])(?:0?[1-9]|[12][0-9]|3[01])\3(?:19|20)[0-9]{2})")
 _SHORT_CARD = re.compile(r"(?<![\w.-])[0-9](?:[ -]?[0-9]){12,18}(?![\w-])")
 _ODD_CARD = re.compile(r"(?<![\w.-])[0-9]{4}(?:[ ._/-]{1,2}[0-9]{4}){3}(?![\w])")
 _SIX = re.compile(r"(?:(?<![\w:])|(?<=[^\W0-9A-Fa-f_]:))[0-9A-Fa-f]{0,4}+(?::[0-9A-Fa-f]{0,4}+){2,8}(?![\w:]|\.[0-9])")
 _SIX_GATE = re.compile(r":[0-9A-Fa-f]{0,4}:")
 _TELL = (
     ("email", re.compile(r"(?i)mail|contact|write|reach|correo|courriel|kontakt")),
-    ("phone", re.compile(r"(?i)phone|\btel|call|mobile|fax|cell|anruf|telefon|llam|appel|whatsapp")),
+    ("phone", re.compile(r"(?i)phone|\btel|\bcall|mobile|fax|\bcell|\bruf|anruf|erreich|handy|telefon|teléfono|llám|llam|móvil|\bappel|portable|joindre|whatsapp|\bdial|büro|\boffice|\bnumber(?: is|:)|nummer(?: ist|:)|numéro(?: est| :|:)|número(?: es|:)|\bring\b|\btext me|\bsms")),
     ("card", re.compile(r"(?i)card|visa|master|credit|debit|karte|tarjeta|carte|payment|paid")),
     ("ip", re.compile(r"(?i)\bip\b|address|host|server|login|adresse|direcci")),
     ("other", re.compile(r"(?i)order|invoice|version|isbn|date|ref|serial|no\.|number of|score|price|total|page|id\b|\$|€")),
@@ -99,9 +103,14 @@ def candidates(text: str) -> list[tuple[str, int, int]]:
     """Spans that may be personal data beyond the base ones; they may overlap."""
     out = []
     if _WRITTEN_GATE.search(text):
-        out += [("email", *m.span()) for m in _WRITTEN.finditer(text)]
+        for m in _WRITTEN.finditer(text):
+            out.append(("email", *m.span()))
+            # Where a sentence may end inside it, what is before that end is proposed as well.
+            stop = m.start() + m[0].find(". ")
+            if stop > m.start() and _WRITTEN.fullmatch(text, m.start(), stop):
+                out.append(("email", m.start(), stop))
     if _DIGIT.search(text):
-        out += [("phone", *m.span()) for m in _NATIONAL.finditer(text)]
+        out += [("phone", *m.span()) for p in (_NATIONAL, _BARE) for m in p.finditer(text) if 6 <= len(_DIGIT.findall(m[0])) <= 15 and not _DATE.fullmatch(m[0])]
         out += [("card", *m.span()) for p in (_ODD_CARD, _SHORT_CARD) for m in p.finditer(text)]
     if ":" in text and _SIX_GATE.search(text):
         out += sixes(text)
@@ -136,6 +145,8 @@ def features(text: str, kind: str, start: int, end: int) -> list[float]:
         float(len(groups) == 3 and groups[0][:2] in ("19", "20") and len(groups[0]) == 4), float(before[-1:].isalnum()), float(after[:1].isalnum()),
         span.count(":"), float("::" in span), float(bool(re.search(r"[0-9._%+-]", local))), float(". " in span), float(" at " in span.lower()),
         float(kind == "ip" and bool(re.search("[A-Fa-f]", span))), float(len(set(map(len, span.split(":")))) > 1),
+        len(groups[0]) if groups else 0, float(span[:1] == "0"), float(span[:1] == "1" and len(digits) == 11), float(bool(re.search(" [./-] ", span))), float("(0)" in span),
+        float(bool(re.fullmatch(r"(?i)\S+ at (?:\S+ dot )+(?:com|org|net|edu|io|de|fr|es|uk)", span))),
         *[float(bool(p.search(near))) for _, p in _TELL],
     ]
 
@@ -207,7 +218,9 @@ def _further(n: int, seed: int) -> list[tuple[str, int, int, str, int]]:
         return out if digit.search(out) else address()
 
     def one() -> tuple[str, str, str, int]:
-        what, filler = r.randrange(8), " ".join(word() for _ in range(r.randint(1, 6)))
+        what, filler = r.randrange(9), " ".join(word() for _ in range(r.randint(1, 6)))
+        if what == 8:
+            return "email", r.choice((filler, filler, "my address is ", "write ")), f"{word()}{r.choice(('', '', '.', '_'))}{word()} at {word()} dot {ending()}", 1
         if what in (0, 1):
             return "email", r.choice((filler, "mail: ", "please mail ", "contact me: ", "write to ")), f"{word()}{r.choice('._-')}{r.choice((word(), str(r.randrange(100))))} at {word()}.{ending()}", 1
         if what == 2:
@@ -265,6 +278,32 @@ def _numbers(n: int, seed: int) -> list[tuple[str, int, int, str, int]]:
     return out
 
 
+def _wide(n: int, seed: int) -> list[tuple[str, int, int, str, int]]:
+    """Such examples of phone numbers with a leading digit, with parts in brackets or far apart, or in one run of digits."""
+    r = random.Random(seed)
+    word = lambda: "".join(r.choice(("an", "er", "on", "th", "re", "st", "la", "de", "ou", "ing", "ver")) for _ in range(r.randint(1, 4)))
+    filled = lambda forms: re.sub("#", lambda _: r.choice("0123456789"), r.choice(forms))
+    called = ("call ", "tel: ", "phone ", "dial ", "my cell: ", "ring ", "text me at ", "Rufen Sie mich an: ", "ruf an ", "Handy ", "erreichbar unter ", "llámame al ", "mi móvil es ", "teléfono ", "appelez le ", "mon portable : ", "joindre au ", "my number is ", "Büro: ", "office ", "meine Nummer ist ", "mi número es ", "mon numéro est ")
+    other = ("order ", "ticket ", "order number: ", "invoice number is ", "score ", "total ", "ref ", "id ", "serial ", "invoice ", "version ", "Seite ", "pedido ", "commande ", "price ", "ratio ", "lot ")
+    fine = ("1-8##-###-####", "1 ### ### ####", "1.###.###.####", "1 (###) ###-####", "(###) ### - ####", "0### / #######", "0## / ### ## ##", "0## - #######", "00## (0)### ######", "0##########", "0########", "#########", "##########", "0# ## ## ## ##", "9## ### ###")
+    odd = ("# / #######", "#-##-###", "1 ### ###", "#.###.###", "## / ####", "# ### ### ###", "#########", "##########", "############", "###-###-###-###", "# - ## - ######", "#-###-#####-#")
+
+    out = []
+    for _ in range(n):
+        filler, what = " ".join(word() for _ in range(r.randint(1, 6))) + " ", r.randrange(5)
+        if what < 2:
+            lead, span, truth = r.choice(called), filled(fine), 1
+        elif what == 2:
+            lead, span, truth = r.choice((*other, filler)), filled(odd), 0
+        elif what == 3:
+            lead, span, truth = r.choice((*other, filler)), filled(fine), 0
+        else:
+            lead, span, truth = filler, filled(odd), 0
+        text = f"{word()} {word()} {lead}{span}"
+        out.append((text + r.choice(("", ".", ", ", " ")) + " " + word(), len(text) - len(span), len(text), "phone", truth))
+    return out
+
+
 #: Sentences, leads and forms that training doesn't use, in which thresholds are set: (kind, is personal data, lead, form).
 #: In a form, # is a digit, ~ a hexadecimal group, @ a name, and C and X a card number that passes or fails its check.
 _CARRIERS = (
@@ -273,6 +312,8 @@ _CARRIERS = (
 )
 _FORMS = (
     ("phone", 1, "; you can phone me on ", "(0##) #### ####"), ("phone", 1, ", Telefon ", "0## #######"), ("phone", 1, ", tel ", "###-####"), ("phone", 1, ", please call ", "### ### ####"), ("phone", 1, "; teléfono o whatsapp: ", "6## ## ## ##"),
+    ("phone", 1, ", call toll-free ", "1-800-###-####"), ("phone", 1, "; man erreicht mich unter ", "0### / ######"), ("phone", 1, "; llámanos al ", "9########"), ("phone", 1, "; vous pouvez me joindre au ", "0#########"), ("phone", 1, ", ruf mich an: ", "0### #######"),
+    ("phone", 0, ", ticket ", "##########"), ("phone", 0, ", of ", "#.###.###"), ("phone", 0, ", parcel ", "1-###-###-####"), ("phone", 0, ", about ", "### / ######"), ("phone", 0, ", account ", "0#########"),
     ("phone", 0, " on ", "0#/0#/20##"), ("phone", 0, ", invoice ", "####-####"), ("phone", 0, ", total ", "### ###"), ("phone", 0, ", pages ", "###-###"), ("phone", 0, " between ", "19##-20##"), ("phone", 0, ", version ", "##.##.###"), ("phone", 0, " with ", "## ### ###"),
     ("email", 1, ", write to ", "@.@ [at] @ [dot] org"), ("email", 1, "; kontakt: ", "@##(at)@.de"), ("email", 1, ", mail ", "@_@ at @ dot com"), ("email", 0, " and we looked ", "@ at @"), ("email", 0, " when she arrived ", "@ at @. @"), ("email", 0, " as ", "@ at @ dot @"),
     ("card", 1, ", paid by card ", "C"), ("card", 1, "; my visa: ", "C"), ("card", 0, ", order ", "X"), ("card", 0, ", serial no. ", "X"), ("card", 0, " with ", "X"),
@@ -304,11 +345,11 @@ def planted(n: int, seed: int) -> list[tuple[str, int, int, str, int]]:
 @cache
 def model(n: int = 3000, seed: int = 11) -> tuple[Boosted, dict[str, float]]:
     """Trees, and for each kind the lowest threshold that reaches the precision on planted spans."""
-    made_up = _examples(n, seed) + _further(n // 2, seed) + _numbers(n // 2, seed)
+    made_up = _examples(n, seed) + _further(n // 2, seed) + _numbers(n // 2, seed) + _wide(n // 2, seed)
     random.Random(seed).shuffle(made_up)
     trees = Boosted().fit(np.array([features(t, k, a, b) for t, a, b, k, _ in made_up]), np.array([e[4] for e in made_up]))
     # Each candidate that those texts give is judged by whether it overlaps what was planted as personal data.
-    held_out = planted(n, seed) + _examples(n // 2, seed + 1) + _further(n // 2, seed + 1) + _numbers(n // 2, seed + 1)
+    held_out = planted(n, seed) + _examples(n // 2, seed + 1) + _further(n // 2, seed + 1) + _numbers(n // 2, seed + 1) + _wide(n // 2, seed + 1)
     found = [(t, c, c[1] < e and s < c[2] and y) for t, s, e, _, y in held_out for c in candidates(t)]
     p, truth, kinds = trees.probability(np.array([features(t, *c) for t, c, _ in found])), np.array([y for *_, y in found], bool), np.array([c[0] for _, c, _ in found])
     least = {}

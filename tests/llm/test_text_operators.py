@@ -151,7 +151,7 @@ def test_added_spans():
     assert pii.redacted("a b@c.de f", [("email", 2, 8)]) == "a [EMAIL] f"
 
 
-@pytest.mark.parametrize("examples", [pii._examples, pii._further, pii._numbers, pii.planted])
+@pytest.mark.parametrize("examples", [pii._examples, pii._further, pii._numbers, pii._wide, pii.planted])
 def test_spans_held_out(examples):
     trees, least = pii.model()
     made = examples(1500, 4711)
@@ -176,6 +176,27 @@ def test_planted_in_documents(spark, sf_dir):
         assert found[i].n_email == before[i].n_email and found[i].n_spans == len(kept(found[i]))
 
 
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("Call 1-800-555-0199 for details.", ["1-800-555-0199"]),
+        ("Büro: 0171 / 2345678, bitte.", ["0171 / 2345678"]),
+        ("Ruf mich an: 0171 2345678", ["0171 2345678"]),
+        ("Erreichbar unter 0049 (0)30 901820", ["0049 (0)30 901820"]),
+        ("Mein Handy: 01712345678", ["01712345678"]),
+        ("Llámame al 612345678 por favor.", ["612345678"]),
+        ("Appelez le 01 23 45 67 89 demain.", ["01 23 45 67 89"]),
+        ("dial 1 (415) 555-2671", ["1 (415) 555-2671"]),
+        ("mail jane.doe[at]site[dot]org. Then wait.", ["jane.doe[at]site[dot]org"]),
+        ("contact me: ann(at)mill.de. Bis bald", ["ann(at)mill.de"]),
+        *[(t, []) for t in ("phone 2024-05-06", "call on 06.05.2024", "order 1-800-555-0199", "Ticket 8005550199", "version 1.200.3000", "ISBN 978-3-16-148410-0", "between 1990-1995", "account 0123456789", "In total 1.234.567 Euro", "We stayed at home. Then we left.", "look at site.com. Then go")],
+    ],
+)
+def test_spans_in_lines_by_hand(text, want):
+    trees, least = pii.model()
+    assert [text[a:b] for _, a, b in pii.all_spans(text, trees, least)[1]] == want
+
+
 def test_plain_dots_and_compressed_addresses():
     trees, least = pii.model()
     find = lambda t: [t[a:b] for _, a, b in pii.all_spans(t, trees, least)[1]]
@@ -253,6 +274,27 @@ def test_html_pages_that_no_composer_made(page, want):
     assert got == {1: said[1:2], 2: said[1:], 3: said}[want]
 
 
+LINKS = "<ul><li><a href=/a>First link</a></li><li><a href=/b>Second link</a></li></ul>"
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        (f"<nav><a href=/>Home</a></nav><div class='alert-article'><h1>Title here</h1>{ONE}{TWO}</div><footer>c</footer>", ["Title here", "1", "2"]),
+        (f"<header>Site</header><article><header><h1>Title here</h1></header>{ONE}{TWO}</article><footer>&copy; x</footer>", ["Title here", "1", "2"]),
+        (f"<div class=post><div class='post-header'><h1>Title here</h1></div>{ONE}{TWO}</div><div class=comments><p>Nice one.</p></div>", ["Title here", "1", "2"]),
+        (f"<article><h1>Title here</h1>{ONE}{LINKS}{TWO}</article>", ["Title here", "1", "First link", "Second link", "2"]),
+        (f"<main><header class='page-header'><h1>Title here</h1></header>{ONE}<aside class=related>{LINKS}</aside>{TWO}</main>", ["Title here", "1", "2"]),
+        (f"<article><h1>Title here</h1><table class=infobox><tr><td>Born</td><td>1950</td></tr></table>{ONE}<table><tr><td>Cell</td></tr></table>{TWO}</article>", ["Title here", "1", "Cell", "2"]),
+        (f"<div class='sponsored-post'><p>Buy this thing now.</p></div><article><h2>Title here</h2>{ONE}<nav class=toc>{LINKS}</nav>{TWO}<footer><p>Tags: a, b</p></footer></article>", ["Title here", "1", "2"]),
+        (f"<header class=site-header><h1>Site</h1>{LINKS}</header><article>{ONE}{TWO}</article>", ["1", "2"]),
+    ],
+)
+def test_html_titles_in_own_headers_and_links_in_text(page, want):
+    full = {"1": "One short sentence stands here.", "2": "A second one follows it, and it is somewhat longer than the first."}
+    assert html.main_text(f"<body>{page}</body>", html.trained()) == "\n\n".join(full.get(w, w) for w in want)
+
+
 def test_html_rows(spark):
     rows = [(1, "u", f"<article>{ONE}</article>", 1), (1, "u", f"<article>{ONE}</article>", 2), (2, None, None, 3), (None, "v", "", 4), (3, "w", " \n ", 5)]
     df = spark.createDataFrame(rows, "page_id bigint, url string, html string, n_chars int").selectExpr("*", "'x' as text", "html as HTML2")

@@ -11,6 +11,14 @@ from tessera.shared import keep
 SETS_A_BLOCK, MOST_BROADCAST = 1000, 10_000
 
 
+def held_back(df: DataFrame, condition: Column | str) -> DataFrame:
+    """df where the condition holds, tested on the columns of df as they are: an ordinary filter is pushed below the steps
+    that made them and written in their terms, which for columns built on columns grows to tens of thousands of terms,
+    planned on the driver and computed twice. A generator's output is where that ends."""
+    ok = F.expr(condition) if isinstance(condition, str) else condition
+    return df.select("*", F.explode_outer(F.array(ok)).alias("_ok")).where("_ok").drop("_ok")
+
+
 def first_wins(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """One row a key: the first in a total order."""
     w = Window.partitionBy(*keys).orderBy(*order)

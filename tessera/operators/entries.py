@@ -146,8 +146,8 @@ def build(candidates: DataFrame, curated: DataFrame | None = None, most_bad: int
 
     Overrides of several keys join what holds them; then signals are lent, ambiguous keys demoted, components found, fused
     and built, denials and overrides applied, and slugs assigned, in this order; a table is written after candidates,
-    components and entries, so that no plan holds all steps. Components of several kinds, more than most_bad bad entries, and
-    overlays that contradict themselves or each other fail the build.
+    demotion, components, fusion and entries, so that no plan holds all steps. Components of several kinds, more than most_bad
+    bad entries, and overlays that contradict themselves or each other fail the build.
     """
     from tessera.operators import constraints as V
     from tessera.operators import curation as U
@@ -159,7 +159,8 @@ def build(candidates: DataFrame, curated: DataFrame | None = None, most_bad: int
         vouched = U.vouched(candidates.sparkSession, said)
         curated = vouched if curated is None else curated.select("key").union(vouched)
     held = keep(with_lent_signals(candidates), "candidates")
-    known = keep(with_components(demoted(held, ambiguous_keys(held))), "components")
+    live = keep(demoted(held, ambiguous_keys(held)), "demoted")  # components read it more than once
+    known = keep(with_components(live), "components")
     if (bad := impure(known).first()) is not None:
         raise BuildError(f"component {bad.component} holds {bad.kinds}")
     merged = keep(fused(known, curated), "merged")

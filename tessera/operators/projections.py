@@ -16,6 +16,7 @@ from tessera.functions import fields as N
 from tessera.functions import keys as K
 from tessera.functions import lenient as L
 from tessera.functions.text import collapse, relative_path, title_words
+from tessera.operators.catalog import held_back
 
 # Where records keep things, and what they call transports.
 OFFICIAL, PUBLISHER = "['io.modelcontextprotocol.registry/official']", "['io.modelcontextprotocol.registry/publisher-provided']"
@@ -46,7 +47,7 @@ def candidates(df: DataFrame, kind: str, keys: list[Column], more_keys: Column |
     every = F.array(*keys) if more_keys is None else F.concat(F.array(*keys), more_keys)
     held = df.withColumn("_keys", F.array_sort(F.array_distinct(F.filter(every, lambda k: k.isNotNull()))))
     given = {"kind": F.lit(kind), "source_id": F.col("source_id"), "upstream_id": F.substring("upstream_id", 1, 200), "url": F.substring("url", 1, N.URL), "keys": F.col("_keys"), "primary_key": K.elect(F.col("_keys")), "trust_hint": F.lit("indexed"), **columns}
-    return held.where(F.size("_keys") > 0).select(*[given.get(c, F.lit(None)).cast(t).alias(c) for c, t in CANDIDATE.items()])
+    return held_back(held, F.size("_keys") > 0).select(*[given.get(c, F.lit(None)).cast(t).alias(c) for c, t in CANDIDATE.items()])
 
 
 def of_source(records: DataFrame, source_id: str) -> DataFrame:
@@ -89,7 +90,7 @@ def registry(records: DataFrame) -> DataFrame:
     meta = F.coalesce(F.try_variant_get(p, f"$._meta{OFFICIAL}", "variant"), F.try_variant_get(s, f"$._meta{OFFICIAL}", "variant"))
     df = df.withColumns({"full": L.text(s, "$.name"), "meta": meta})
     df = df.withColumns({"status": F.coalesce(F.nullif(F.lower(L.text(F.col("meta"), "$.status")), F.lit("")), F.lit("active")), "old": L.exactly(F.col("meta"), "$.isLatest", False) | L.exactly(s, "$.isLatest", False)})
-    df = df.where((F.col("full") != "") & (F.col("status") != "deleted") & ~F.col("old"))
+    df = held_back(df, (F.col("full") != "") & (F.col("status") != "deleted") & ~F.col("old"))
     inside = relative_path(L.text(s, "$.repository.subfolder"), 255)
     df = df.withColumns({"found": K.repo_of(L.text(s, "$.repository.url")), "inside": inside, "ordered": remotes_of(s), "packed": packages_of(s), "page": N.https(L.text(s, "$.websiteUrl"))})
     found = F.col("found")
@@ -120,7 +121,7 @@ def registry(records: DataFrame) -> DataFrame:
 def smithery(records: DataFrame) -> DataFrame:
     """Smithery: how much a server is used, its endpoint from the detail or its first http connection."""
     p = F.col("payload")
-    df = of_source(records, "smithery").withColumns({"qualified": L.text(p, "$.qualifiedName"), "gone": L.exactly(p, "$.unlisted", True) | L.exactly(p, "$.inactive", True)}).where("qualified <> '' AND NOT gone")
+    df = held_back(of_source(records, "smithery").withColumns({"qualified": L.text(p, "$.qualifiedName"), "gone": L.exactly(p, "$.unlisted", True) | L.exactly(p, "$.inactive", True)}), "qualified <> '' AND NOT gone")
     schema = lambda c: L.members(c, "$.configSchema.properties")
     df = df.withColumns({"detailed": F.coalesce(L.kind_of(F.try_variant_get(p, "$._detail", "variant")).rlike("^OBJECT<.+>"), F.lit(False)), "connections": L.items(p, "$._detail.connections")})
     df = df.withColumns({"over_http": F.filter("connections", lambda c: F.lower(L.text(c, "$.type")) == "http"), "settings": F.array_sort(F.array_distinct(F.flatten(F.transform("connections", lambda c: F.map_keys(schema(c))))))})
@@ -153,7 +154,7 @@ def smithery(records: DataFrame) -> DataFrame:
 def npm(records: DataFrame) -> DataFrame:
     """npm search hits: downloads, dependents and a repository; never an endpoint."""
     p = F.col("payload")
-    df = of_source(records, "npm").withColumns({"full": L.text(p, "$.package.name"), "insecure": L.yes(p, "$.flags.insecure")}).where("full <> '' AND NOT insecure")
+    df = held_back(of_source(records, "npm").withColumns({"full": L.text(p, "$.package.name"), "insecure": L.yes(p, "$.flags.insecure")}), "full <> '' AND NOT insecure")
     df = df.withColumns({"place": K.repo_of(L.text(p, "$.package.links.repository")), "page": N.https(L.text(p, "$.package.links.homepage")), "id200": F.substring("full", 1, 200)})
     package = F.struct(F.lit("npm").alias("registry_type"), F.col("id200").alias("identifier"), F.substring(L.text(p, "$.package.version"), 1, 64).alias("version"), F.lit("").alias("runtime_hint"), F.lit("stdio").alias("transport"))
     return candidates(
@@ -169,7 +170,7 @@ def github_topics(records: DataFrame) -> DataFrame:
     """Repositories found by topic: stars and forks; never an endpoint, never more than indexed."""
     p = F.col("payload")
     df = of_source(records, "github_topics").withColumns({"full": L.text(p, "$.full_name"), "web": L.text(p, "$.html_url"), "page": N.https(L.text(p, "$.homepage"))})
-    df = df.withColumn("place", F.coalesce(K.repo_of(F.col("web")), K.repo_named(F.col("full")))).where("place IS NOT NULL")
+    df = held_back(df.withColumn("place", F.coalesce(K.repo_of(F.col("web")), K.repo_named(F.col("full")))), "place IS NOT NULL")
     return candidates(
         df, "mcp", [K.repo_key("mcp", F.col("place"))], github_stars=L.count(p, "$.stargazers_count"), github_forks=L.count(p, "$.forks_count"),
         name=collapse(L.first_text(L.text(p, "$.name"), F.col("place.repo")), N.NAME), description=collapse(L.text(p, "$.description"), N.DESCRIPTION), homepage=F.col("page"),
@@ -185,7 +186,7 @@ def skills(records: DataFrame) -> DataFrame:
     first = lambda *names: F.coalesce(*[F.when(L.has(p, f"$.{n}"), F.try_variant_get(p, f"$.{n}", "variant")) for n in names])
     df = df.withColumns({"front": first("frontmatter", "skill_frontmatter", "skill"), "plug": first("plugin", "plugin_ref"), "origin": first("plugin_source", "source"), "repository": first("repo", "repository"), "path": relative_path(L.spelled(p, "$.skill_path", "$.skillPath", "$.path"), 255)})
     front, plug, origin, raw = (F.col(c) for c in ("front", "plug", "origin", "repository"))
-    df = df.where(F.col("path").endswith(SKILL_FILE)).withColumn("dir", F.expr(f"substring(path, 1, length(path) - {len(SKILL_FILE)})"))
+    df = held_back(df, F.col("path").endswith(SKILL_FILE)).withColumn("dir", F.expr(f"substring(path, 1, length(path) - {len(SKILL_FILE)})"))
     said = lambda *names: L.first_text(*[L.text(p, f"$['{n}']") for n in names], *[L.text(front, f"$['{n}']") for n in names])
     inner = F.when(F.coalesce(L.kind_of(origin).startswith("OBJECT<"), F.lit(False)), origin).otherwise(plug)
     given = F.when(L.text(raw, "$.host").isin(*K.REPO_HOSTS) & L.text(raw, "$.owner").rlike(K.OWNER) & L.text(raw, "$.repo").rlike(K.REPO), F.struct(L.text(raw, "$.host").alias("host"), F.lower(L.text(raw, "$.owner")).alias("owner"), F.lower(L.text(raw, "$.repo")).alias("repo"), relative_path(L.text(raw, "$.subpath"), 255).alias("subpath")))
@@ -205,7 +206,7 @@ def skills(records: DataFrame) -> DataFrame:
         "place": F.coalesce("given", F.try_element_at(parsed, F.lit(1)), K.repo_named(L.first_text(F.col("own_market"), F.col("inner_market")))), "market_repo": L.first_text(F.col("own_market"), F.col("plug_market")),
         "low": F.lower(F.trim("declared")), "base": F.lower(F.trim(F.element_at(F.split("dir", "/"), -1))),
     })
-    df = df.withColumn("skill", F.coalesce(named(F.col("low")), named(F.col("base")))).where("place IS NOT NULL AND skill IS NOT NULL")
+    df = held_back(df.withColumn("skill", F.coalesce(named(F.col("low")), named(F.col("base")))), "place IS NOT NULL AND skill IS NOT NULL")
     aliases = F.coalesce(*[F.when(L.has(p, f"$.{n}"), L.strings(p, f"$.{n}")) for n in ("aliases", "renamed_from", "previous_plugins")], F.array().cast("array<string>"))
     known = (F.col("market") != "") & (F.col("plugin_name") != "")
     plugin_keys = F.when(known, F.transform(F.concat(F.array("plugin_name"), aliases), lambda a: K.mint("skill", "plugin", F.concat_ws("/", "market", a, "skill")))).otherwise(F.array().cast("array<string>"))

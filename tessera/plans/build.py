@@ -11,11 +11,17 @@ from tessera.plans.queries import query, read
 from tessera.sources import pages as S
 
 
+def dealt(spark, sf_dir, table: str, key: str) -> DataFrame:
+    """A table dealt out before its rows of a few bytes become records or lines, of which a task does some thousand a second."""
+    return read(spark, sf_dir, table).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def recorded(spark, sf_dir) -> DataFrame:
     """Suppliers as registry servers, customers as Smithery's, parts as npm packages, nations as repositories, and pages
     as skills; suppliers and customers with one number share an endpoint, suppliers and parts share repositories."""
     digits = lambda c: F.col(c).cast("string")
-    s, c, p, n, g = (read(spark, sf_dir, t) for t in ("supplier", "customer", "part", "nation", "pages"))
+    s, c, p = dealt(spark, sf_dir, "supplier", "s_suppkey"), dealt(spark, sf_dir, "customer", "c_custkey"), dealt(spark, sf_dir, "part", "p_partkey")
+    n, g = read(spark, sf_dir, "nation"), read(spark, sf_dir, "pages")
     endpoint = lambda c: F.concat(F.lit("https://s"), digits(c), F.lit(".example/mcp"))
     repo = lambda owner, name: F.concat(F.lit("https://github.com/n"), digits(owner), F.lit("/r"), digits(name))
     server = F.struct(F.concat(F.lit("io.example/"), F.lower(F.replace("s_name", F.lit("#"), F.lit("-")))).alias("name"), F.lit("A server").alias("description"), F.struct(repo("s_nationkey", "s_suppkey").alias("url")).alias("repository"), F.when(F.col("s_acctbal") > 0, F.array(F.struct(F.lit("http").alias("type"), endpoint("s_suppkey").alias("url")))).alias("remotes"))
@@ -174,7 +180,7 @@ def strict_verification(spark, sf_dir):
     from tessera.operators.catalog import shard
     from tessera.sources import shards
 
-    c = read(spark, sf_dir, "customer")
+    c = dealt(spark, sf_dir, "customer", "c_custkey")
     i = F.col("c_custkey")
     made = c.select(
         F.concat(F.lit("mcp:npm:"), F.lower("c_name")).alias("canonical_key"), F.lit("mcp").alias("kind"), F.lit("a").alias("slug"), F.col("c_name").alias("name"), F.lit("").alias("description"), F.lit("indexed").alias("trust_tier"), F.lit(0.25).alias("popularity"),

@@ -120,3 +120,16 @@ def test_counts(spark, raw, want):
 
     df = spark.createDataFrame([(json.dumps({"k": raw}),)], "t string").select(F.parse_json("t").alias("v"))
     assert df.select(lenient.count(F.col("v"), "$.k").alias("n")).first().n == want
+
+
+def test_filters_stay_above_the_steps_that_they_test(spark, sf_dir):
+    from tessera.operators.catalog import held_back
+    from tessera.plans.build import recorded
+
+    made = recorded(spark, sf_dir)
+    for f in P.SOURCES.values():
+        plan = f(made)._jdf.queryExecution().optimizedPlan().toString()
+        assert max(len(line) for line in plan.splitlines() if "Filter" in line) < 2000
+    odd = spark.createDataFrame([(1, True), (2, False), (3, None)], "i int, ok boolean")
+    assert [(r.i, r.ok) for r in held_back(odd, "ok").collect()] == [(1, True)]
+    assert [r.i for r in held_back(odd, F.col("i") > 2).collect()] == [3]

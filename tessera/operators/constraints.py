@@ -235,9 +235,10 @@ def mistyped(v: Column, at: str, t, null: bool, whole: bool = True) -> Column:
     return F.coalesce(bad, F.lit(True)) & ((kind != "VOID") if null else F.lit(True))
 
 
-def line_faults(line: Column, kind: str) -> Column:
-    """What keeps a line from being an entry of the kind: no JSON object, unknown, absent and mistyped keys, by name."""
-    t, v = entry_type(kind), F.try_parse_json(line)
+def line_faults(v: Column, kind: str) -> Column:
+    """What keeps a line, parsed to a VARIANT, from being an entry of the kind: no JSON object, unknown, absent and mistyped
+    keys, by name."""
+    t = entry_type(kind)
     known = F.array(*[F.lit(f.name) for f in t.fields])
     keys = F.map_keys(F.try_variant_get(v, "$", "map<string,variant>"))
     nullable = {f.name for f in ENTRIES[kind] if f.null}
@@ -247,9 +248,14 @@ def line_faults(line: Column, kind: str) -> Column:
     return F.when(keys.isNull(), F.array(F.lit("not an entry"))).otherwise(F.concat(unknown, absent, F.array_compact(F.array(*typed))))
 
 
+def checked_lines(df: DataFrame, kind: str) -> DataFrame:
+    """df with faults, what keeps its line from being an entry; a line is parsed once, whatever is asked of it."""
+    return df.withColumn("_v", F.try_parse_json("line")).withColumn("faults", line_faults(F.col("_v"), kind)).drop("_v")
+
+
 def read_lines(df: DataFrame, kind: str) -> DataFrame:
     """df with entry, its line as a struct of the kind's type; only of lines without faults."""
-    return df.withColumn("entry", F.when(F.size(line_faults(F.col("line"), kind)) == 0, F.from_json("line", entry_type(kind))))
+    return checked_lines(df, kind).withColumn("entry", F.when(F.size("faults") == 0, F.from_json("line", entry_type(kind)))).drop("faults")
 
 
 def _property(f: Field) -> dict:

@@ -42,3 +42,12 @@ def test_overlays(spark):
     for bad in ("entries:\n- {key: k, reason: short}\n", "entries: []\nentries: []\n"):
         with pytest.raises(overlays.OverlayError):
             overlays.denials(spark, bad)
+
+
+def test_verification_parses_a_line_once(spark):
+    from tessera.sources import shards
+
+    lines = spark.createDataFrame([("00", "{}", "mcp:npm:a", "mcp")], "shard string, line string, key string, kind string")
+    asked = lambda df: df._jdf.queryExecution().optimizedPlan().toString().lower().count("parsejson")
+    assert asked(shards.unsound(lines, "mcp")) == 0  # the checked lines are a table
+    assert asked(shards.violations(lines, "mcp")) == 1

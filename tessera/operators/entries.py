@@ -146,7 +146,7 @@ def build(candidates: DataFrame, curated: DataFrame | None = None, most_bad: int
 
     Overrides of several keys join what holds them; then signals are lent, ambiguous keys demoted, components found, fused
     and built, denials and overrides applied, and slugs assigned, in this order; a table is written after candidates,
-    demotion, components, fusion and entries, so that no plan holds all steps. Components of several kinds, more than most_bad
+    demotion, components, fusion, entries and their checks, so that no plan holds all steps. Components of several kinds, more than most_bad
     bad entries, and overlays that contradict themselves or each other fail the build.
     """
     from tessera.operators import constraints as V
@@ -164,7 +164,7 @@ def build(candidates: DataFrame, curated: DataFrame | None = None, most_bad: int
     if (bad := impure(known).first()) is not None:
         raise BuildError(f"component {bad.component} holds {bad.kinds}")
     merged = keep(fused(known, curated), "merged")
-    entries = built(merged)
+    entries = keep(built(merged), "built")
     entries = keep(entries.withColumn("violations", V.violations(entries)), "entries")
     wrong = entries.where(F.size("violations") > 0)
     if (n := wrong.count()) > most_bad:

@@ -133,3 +133,13 @@ def test_filters_stay_above_the_steps_that_they_test(spark, sf_dir):
     odd = spark.createDataFrame([(1, True), (2, False), (3, None)], "i int, ok boolean")
     assert [(r.i, r.ok) for r in held_back(odd, "ok").collect()] == [(1, True)]
     assert [r.i for r in held_back(odd, F.col("i") > 2).collect()] == [3]
+
+
+def test_projections_of_the_build_are_planned_over_a_table(spark, sf_dir):
+    from tessera.plans.build import recorded
+
+    made = recorded(spark, sf_dir)
+    assert {r.source_id: r.n for r in made.groupBy("source_id").agg(F.count("payload").alias("n")).collect()}.keys() == P.SOURCES.keys()
+    for f in P.SOURCES.values():
+        plan = f(made)._jdf.queryExecution().optimizedPlan().toString()
+        assert "Repartition" not in plan and "Union" not in plan

@@ -20,6 +20,13 @@ def text(value: Column, path: str) -> Column:
     return F.when(kind_of(got) == "STRING", F.trim(F.try_variant_get(value, path, "string"))).otherwise("")
 
 
+def low(value: Column, path: str) -> Column:
+    """text in lower case. Only what was found is lowered: of lower(text(...)) Spark lowers the constant while it plans, for
+    which the driver sets up the tables of all letters, and that makes 3 GB of garbage there."""
+    got = F.try_variant_get(value, path, "variant")
+    return F.when(kind_of(got) == "STRING", F.lower(F.trim(F.try_variant_get(value, path, "string")))).otherwise("")
+
+
 #: The largest 64-bit count; larger numbers stop there.
 MOST = (1 << 63) - 1
 

@@ -32,12 +32,13 @@ def with_lent_signals(candidates: DataFrame) -> DataFrame:
 
 
 def ambiguous_keys(candidates: DataFrame) -> DataFrame:
-    """(key) of repository keys whose claimants hold disjoint keys in another space."""
+    """(key) of repository keys whose claimants hold disjoint keys in another space. Claims are written as a table, since what
+    compares them reads them several times, and each time they would be planned and replanned anew."""
     ids = F.concat_ws("\x1f", "source_id", "upstream_id", "primary_key")
     every = candidates.select(ids.alias("claimant"), "keys").distinct()
     repos = every.select("claimant", F.explode(F.filter("keys", lambda k: K.space_of(k) == "repo")).alias("key"))
     others = every.select("claimant", F.explode(F.filter("keys", lambda k: K.space_of(k) != "repo")).alias("value")).withColumn("space", K.space_of(F.col("value")))
-    return C.ambiguous(repos.join(others, "claimant").select("key", "claimant", "space", "value"))
+    return C.ambiguous(keep(repos.join(others, "claimant").select("key", "claimant", "space", "value"), "claims"))
 
 
 def demoted(candidates: DataFrame, ambiguous: DataFrame) -> DataFrame:
@@ -99,12 +100,15 @@ def fused(components: DataFrame, curated: DataFrame | None = None) -> DataFrame:
 
 
 def provisional_slug() -> Column:
-    """The first name that leaves a slug: registry, Smithery, npm, skill, repository, display name, key."""
+    """The first name that leaves a slug: registry, Smithery, npm, skill, repository, display name, key. They are an array, so
+    that the steps of a slug stand in the plan once: written out for each name, they made 12,000 lines of code that the driver
+    generated and then couldn't compile."""
     tail = lambda c: F.regexp_replace(c, "^.*/", "")
     bare = tail(F.col("registry_name"))
     bare = F.regexp_replace(F.regexp_replace(bare, "^(?:" + "|".join(PREFIXES) + ")(?=.)", ""), "(?<=.)(?:" + "|".join(SUFFIXES) + ")$", "")
     package = F.when(F.col("npm_package").startswith("@"), F.regexp_replace("npm_package", "^[^/]*/", "")).otherwise(F.col("npm_package"))
-    return F.coalesce(*[slugify(c) for c in (bare, tail(F.col("smithery_qualified_name")), package, F.col("skill_name"), F.col("repo.repo"), F.col("name"), tail(F.regexp_replace("canonical_key", "^.*:", "")))])
+    names = F.array(bare, tail(F.col("smithery_qualified_name")), package, F.col("skill_name"), F.col("repo.repo"), F.col("name"), tail(F.regexp_replace("canonical_key", "^.*:", "")))
+    return F.try_element_at(F.filter(F.transform(names, slugify), lambda s: s.isNotNull()), F.lit(1))
 
 
 def built(merged: DataFrame) -> DataFrame:

@@ -61,7 +61,7 @@ def packages_of(server: Column) -> Column:
         F.substring(L.spelled(p, "$.identifier", "$.name"), 1, 200).alias("identifier"),
         F.substring(L.text(p, "$.version"), 1, 64).alias("version"),
         F.substring(L.spelled(p, "$.runtimeHint", "$.runtime_hint"), 1, 32).alias("runtime_hint"),
-        F.when(L.text(p, "$.transport.type") == "", "stdio").otherwise(F.coalesce(N.looked_up(PACKAGE_TRANSPORTS, F.lower(L.text(p, "$.transport.type"))), F.lit("unknown"))).alias("transport"),
+        F.when(L.text(p, "$.transport.type") == "", "stdio").otherwise(F.coalesce(N.looked_up(PACKAGE_TRANSPORTS, L.low(p, "$.transport.type")), F.lit("unknown"))).alias("transport"),
     )
     named = F.filter(F.transform(L.items(server, "$.packages"), one), lambda p: p["identifier"] != "")
     return F.slice(F.array_sort(named), 1, N.PACKAGES)
@@ -73,7 +73,7 @@ def remotes_of(server: Column) -> Column:
     # Of names that differ in case alone, the first.
     fresh = lambda names: F.filter(F.transform(names, lambda n, i: F.struct(n.alias("n"), (F.array_position(F.transform(names, F.lower), F.lower(n)) == i + 1).alias("first"))), lambda x: x["first"])
     url = lambda r: collapse(L.text(r, "$.url"), N.URL)
-    transport = lambda r: F.coalesce(N.looked_up(REMOTE_TRANSPORTS, F.lower(L.text(r, "$.type"))), F.lit("unknown"))
+    transport = lambda r: F.coalesce(N.looked_up(REMOTE_TRANSPORTS, L.low(r, "$.type")), F.lit("unknown"))
     one = lambda r: F.struct(
         (F.array_position(F.array(*[F.lit(t) for t in N.TRANSPORTS]), transport(r))).alias("rank"), url(r).alias("at"),
         F.struct(transport(r).alias("transport"), url(r).alias("url"), url(r).contains("{").alias("templated"), F.slice(F.array_sort(F.transform(fresh(headers(r)), lambda x: x["n"])), 1, N.HEADERS).alias("header_names")).alias("remote"),
@@ -89,7 +89,7 @@ def registry(records: DataFrame) -> DataFrame:
     s = F.col("server")
     meta = F.coalesce(F.try_variant_get(p, f"$._meta{OFFICIAL}", "variant"), F.try_variant_get(s, f"$._meta{OFFICIAL}", "variant"))
     df = df.withColumns({"full": L.text(s, "$.name"), "meta": meta})
-    df = df.withColumns({"status": F.coalesce(F.nullif(F.lower(L.text(F.col("meta"), "$.status")), F.lit("")), F.lit("active")), "old": L.exactly(F.col("meta"), "$.isLatest", False) | L.exactly(s, "$.isLatest", False)})
+    df = df.withColumns({"status": F.coalesce(F.nullif(L.low(F.col("meta"), "$.status"), F.lit("")), F.lit("active")), "old": L.exactly(F.col("meta"), "$.isLatest", False) | L.exactly(s, "$.isLatest", False)})
     df = held_back(df, (F.col("full") != "") & (F.col("status") != "deleted") & ~F.col("old"))
     inside = relative_path(L.text(s, "$.repository.subfolder"), 255)
     df = df.withColumns({"found": K.repo_of(L.text(s, "$.repository.url")), "inside": inside, "ordered": remotes_of(s), "packed": packages_of(s), "page": N.https(L.text(s, "$.websiteUrl"))})
@@ -124,7 +124,7 @@ def smithery(records: DataFrame) -> DataFrame:
     df = held_back(of_source(records, "smithery").withColumns({"qualified": L.text(p, "$.qualifiedName"), "gone": L.exactly(p, "$.unlisted", True) | L.exactly(p, "$.inactive", True)}), "qualified <> '' AND NOT gone")
     schema = lambda c: L.members(c, "$.configSchema.properties")
     df = df.withColumns({"detailed": F.coalesce(L.kind_of(F.try_variant_get(p, "$._detail", "variant")).rlike("^OBJECT<.+>"), F.lit(False)), "connections": L.items(p, "$._detail.connections")})
-    df = df.withColumns({"over_http": F.filter("connections", lambda c: F.lower(L.text(c, "$.type")) == "http"), "settings": F.array_sort(F.array_distinct(F.flatten(F.transform("connections", lambda c: F.map_keys(schema(c))))))})
+    df = df.withColumns({"over_http": F.filter("connections", lambda c: L.low(c, "$.type") == "http"), "settings": F.array_sort(F.array_distinct(F.flatten(F.transform("connections", lambda c: F.map_keys(schema(c))))))})
     from_http = F.try_element_at(F.filter(F.transform("over_http", lambda c: L.spelled(c, "$.deploymentUrl", "$.url")), lambda u: u != ""), F.lit(1))
     df = df.withColumn("deployment", L.first_text(L.text(p, "$._detail.deploymentUrl"), F.coalesce(from_http, F.lit(""))))
     # What a client may have to name: the settings, and for each the header it goes to in the first connection with it.
@@ -189,7 +189,7 @@ def skills(records: DataFrame) -> DataFrame:
     df = held_back(df, F.col("path").endswith(SKILL_FILE)).withColumn("dir", F.expr(f"substring(path, 1, length(path) - {len(SKILL_FILE)})"))
     said = lambda *names: L.first_text(*[L.text(p, f"$['{n}']") for n in names], *[L.text(front, f"$['{n}']") for n in names])
     inner = F.when(F.coalesce(L.kind_of(origin).startswith("OBJECT<"), F.lit(False)), origin).otherwise(plug)
-    given = F.when(L.text(raw, "$.host").isin(*K.REPO_HOSTS) & L.text(raw, "$.owner").rlike(K.OWNER) & L.text(raw, "$.repo").rlike(K.REPO), F.struct(L.text(raw, "$.host").alias("host"), F.lower(L.text(raw, "$.owner")).alias("owner"), F.lower(L.text(raw, "$.repo")).alias("repo"), relative_path(L.text(raw, "$.subpath"), 255).alias("subpath")))
+    given = F.when(L.text(raw, "$.host").isin(*K.REPO_HOSTS) & L.text(raw, "$.owner").rlike(K.OWNER) & L.text(raw, "$.repo").rlike(K.REPO), F.struct(L.text(raw, "$.host").alias("host"), L.low(raw, "$.owner").alias("owner"), L.low(raw, "$.repo").alias("repo"), relative_path(L.text(raw, "$.subpath"), 255).alias("subpath")))
     df = df.withColumn("inner", inner)
     inner = F.col("inner")
     # Each text is read once; what is made of them comes in the next step.

@@ -217,7 +217,7 @@ def safe_path(path: Column) -> Column:
 def plugin_source(source: Column) -> Column:
     """struct<source_kind, source_value, path, ref, sha> of where a plugin lies: relative, url, git-subdir, github, npm or unknown."""
     kind_of, url = L.kind_of(source), clip(L.text(source, "$.url"), N.URL)
-    kind, path = F.lower(L.text(source, "$.source")), F.when(L.kind_of(F.try_variant_get(source, "$.path", "variant")) == "STRING", safe_path(L.text(source, "$.path"))).otherwise("")
+    kind, path = L.low(source, "$.source"), F.when(L.kind_of(F.try_variant_get(source, "$.path", "variant")) == "STRING", safe_path(L.text(source, "$.path"))).otherwise("")
     ref, sha = clip(L.text(source, "$.ref"), 200), F.lower(clip(L.text(source, "$.sha"), 64))
     sha = F.when(sha.rlike(N.SHA1), sha).otherwise("")
     shape = lambda kind, value, path=F.lit(""), ref=ref, sha=sha: F.struct(F.lit(kind).alias("source_kind"), value.alias("source_value"), path.alias("path"), ref.alias("ref"), sha.alias("sha"))
@@ -304,7 +304,7 @@ def skill_records(manifests: DataFrame, trees: DataFrame, texts: DataFrame, revi
     visits = skill_files(p, trees).join(p.withColumnsRenamed({"description": "plugin_description", "license": "plugin_license"}), ["marketplace_repo", "plugin"])
     visits = budget(visits.withColumn("_own", F.lower("repo")), ["_own"], [F.col("marketplace_repo"), F.col("plugin"), F.col("skill_path")], per_repo)
     read = texts.select(F.lower("repo").alias("_at"), F.col("skill_path").alias("_path"), front_matter(F.col("text")).alias("f")).where("f.fault IS NULL")
-    shas = trees.select(F.lower("repo").alias("_tree"), F.lower(L.text(F.col("payload"), "$.sha")).alias("_sha")).groupBy("_tree").agg(F.min("_sha").alias("_sha"))
+    shas = trees.select(F.lower("repo").alias("_tree"), L.low(F.col("payload"), "$.sha").alias("_sha")).groupBy("_tree").agg(F.min("_sha").alias("_sha"))
     rows = visits.join(read, (F.col("_own") == F.col("_at")) & (F.col("skill_path") == F.col("_path"))).join(shas, F.col("_own") == F.col("_tree"), "left").join(old, (F.col("marketplace_repo") == F.col("_m")) & (F.col("plugin") == F.col("_p")), "left")
     if reviewed is not None:
         rows = rows.join(F.broadcast(reviewed.select(F.lower("marketplace_repo").alias("_reviewed")).distinct()), F.lower("marketplace_repo") == F.col("_reviewed"), "left")

@@ -143,3 +143,41 @@ def test_projections_of_the_build_are_planned_over_a_table(spark, sf_dir):
     for f in P.SOURCES.values():
         plan = f(made)._jdf.queryExecution().optimizedPlan().toString()
         assert "Repartition" not in plan and "Union" not in plan
+
+
+def test_projections_leave_no_constant_to_be_lowered_by_the_planner(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from tessera.functions import lenient as L
+
+    rows = spark.createDataFrame([('{"a": " \u00c4Bc "}',), ('{"a": 7}',), ('{"a": null}',), ("{}",), ("no JSON",), (None,)], "s string").select(F.try_parse_json("s").alias("v"))
+    assert [(r.low, r.before) for r in rows.select(L.low(F.col("v"), "$.a").alias("low"), F.lower(L.text(F.col("v"), "$.a")).alias("before")).collect()] == [("\u00e4bc", "\u00e4bc"), *[("", "")] * 5]
+    records = spark.createDataFrame([], "source_id string, upstream_id string, url string, s string").withColumn("payload", F.try_parse_json("s")).drop("s")
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    try:
+        for f in P.SOURCES.values():  # Spark lowers both branches of such a CASE, the constant one on the driver
+            assert "lower(CASE" not in f(records)._jdf.queryExecution().analyzed().toString()
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+
+
+def test_claims_are_compared_over_a_table(spark):
+    from pyspark.sql import functions as F
+
+    from tessera.operators.entries import ambiguous_keys
+
+    claims = [("a", "mcp:repo:github.com/o/r", "mcp:npm:one"), ("b", "mcp:repo:github.com/o/r", "mcp:npm:two"), ("c", "mcp:repo:github.com/o/s", "mcp:npm:three")]
+    made = spark.createDataFrame([("npm", i, k, [k, v]) for i, k, v in claims], "source_id string, upstream_id string, primary_key string, keys array<string>")
+    found = ambiguous_keys(made.where(F.size("keys") > 1))
+    assert [r.key for r in found.collect()] == ["mcp:repo:github.com/o/r"]
+    assert "LogicalRDD" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_steps_of_a_slug_stand_in_the_plan_once(spark):
+    from tessera.operators.entries import provisional_slug
+
+    names = "registry_name string, smithery_qualified_name string, npm_package string, skill_name string, repo struct<repo: string>, name string, canonical_key string"
+    rows = [("io.x/mcp-Tool-server", "@q/n", None, None, None, None, "a:b:k"), ("...", "@q/N n", None, None, None, None, "a:b:k"), (None, None, "@s/pack", None, None, None, "a:b:k"), ("", "", "--", None, ("re.po",), "x", "a:b:k"), (None, None, None, None, None, "é", "mcp:npm:o/last"), (None, None, None, None, None, None, "::")]
+    made = spark.createDataFrame(rows, names).select(provisional_slug().alias("slug"))
+    assert [r.slug for r in made.collect()] == ["tool", "n_n", "pack", "re_po", "last", None]
+    assert made._jdf.queryExecution().optimizedPlan().toString().count("[^a-z0-9_]+") <= 2  # nullif may say it twice
